@@ -1,5 +1,10 @@
 """Importing this module registers every query."""
 
-from flightlake.plans import queries_expressions  # noqa: F401
+from flightlake.plans import (  # noqa: F401
+    queries_expressions,
+    queries_joins,
+    queries_model,
+    queries_serving,
+)
 
-FLAGSHIP = "training_class_counts"
+FLAGSHIP = "delay_classes_by_month"
