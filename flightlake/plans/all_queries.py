@@ -5,6 +5,8 @@ from flightlake.plans import (  # noqa: F401
     queries_joins,
     queries_model,
     queries_serving,
+    queries_sources,
+    queries_streaming,
 )
 
 FLAGSHIP = "delay_classes_by_month"
