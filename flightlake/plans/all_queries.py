@@ -3,10 +3,12 @@
 from flightlake.plans import (  # noqa: F401
     queries_expressions,
     queries_joins,
+    queries_manifest,
     queries_model,
     queries_serving,
     queries_sources,
     queries_streaming,
+    queries_tables,
 )
 
 FLAGSHIP = "delay_classes_by_month"
