@@ -7,36 +7,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.operators.numbering import number_rows
-from flightlake.operators.sizing import broadcast_if_small
+from flightlake.operators.sizing import is_small
 from flightlake.schemas import CATEGORICAL, NUMERIC
 from flightlake.session import materialize
 
-
-def fit_codes(df: DataFrame, column: str) -> DataFrame:
-    """Vocabulary table (value, code) of one column, written once."""
-    values = df.select(F.col(column).alias("value")).filter("value is not null").distinct()
-    codes = number_rows(values, ["value"]).select(
-        "value", (F.col("row_no") - 1).cast("int").alias("code")
-    )
-    return materialize(codes, f"codes-{column}")
+UNKNOWN = -1
 
 
-def apply_codes(df: DataFrame, column: str, codes: DataFrame, into: str) -> DataFrame:
-    """Replace nothing, add the code; values outside the vocabulary get -1."""
-    lookup = codes.select(F.col("value").alias(column), F.col("code").alias(into))
-    joined = df.join(broadcast_if_small(lookup), column, "left")
-    return joined.withColumn(into, F.coalesce(F.col(into), F.lit(-1)))
+def fit_codes(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
+    """Vocabulary table (column, value, code) of several columns.
 
+    All columns are read in one pass; the distinct values are combined on the
+    map side and numbered together, each column from 0.
+    """
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    )
+    values = df.select(cells.alias("cell")).select("cell.*").filter("value is not null").distinct()
+    numbered = number_rows(values, ["column", "value"])
+    # One row per column.
+    firsts = numbered.groupBy("column").agg(F.min("row_no").alias("first"))
+    codes = numbered.join(F.broadcast(firsts), "column").select(
+        "column", "value", (F.col("row_no") - F.col("first")).cast("int").alias("code")
+    )
+    return materialize(codes, "codes")
 
-def fit_all(df: DataFrame, columns: list[str] = CATEGORICAL) -> dict[str, DataFrame]:
-    return {c: fit_codes(df, c) for c in columns}
 
+def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORICAL, small: bool | None = None) -> DataFrame:
+    """Add ``<column>_code``; a value outside the vocabulary gets -1.
 
-def apply_all(df: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
-    """Codes for several columns, as ``<column>_code``."""
-    for column, codes in vocabularies.items():
-        df = apply_codes(df, column, codes, f"{column}_code")
-    return df
+    The vocabulary is broadcast when it was measured to be small (``small``
+    carries the answer of an earlier measuring), and joined by shuffle otherwise.
+    """
+    if small is None:
+        small = is_small(codes)
+    for column in columns:
+        lookup = codes.filter(F.col("column") == column).select(
+            F.col("value").alias(column), F.col("code").alias(f"{column}_code")
+        )
+        df = df.join(F.broadcast(lookup) if small else lookup, column, "left")
+    return df.fillna(UNKNOWN, [f"{c}_code" for c in columns])
 
 
 def string_indexer(columns: list[str] = CATEGORICAL) -> StringIndexer:

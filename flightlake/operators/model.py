@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.operators.encode import apply_all, assembler, fit_all
-from flightlake.schemas import LABEL
+from flightlake.operators.encode import apply_codes, assembler, fit_codes
+from flightlake.operators.sizing import is_small, spread
+from flightlake.schemas import CATEGORICAL, LABEL
 
 # Size and seed of the forest.
 TREES = 100
@@ -20,38 +22,33 @@ SCORING_COLUMNS = [VECTOR, "rawPrediction", "probability", "indices", "values"]
 
 
 class DelayModel:
-    """Vocabulary tables plus a fitted forest.
+    """A vocabulary table plus a fitted forest.
 
     Codes are continuous inputs (no nominal metadata on the vector), so the
     number of routes does not limit the tree bins.
     """
 
-    def __init__(self, vocabularies: dict[str, DataFrame], forest: PipelineModel):
-        self.vocabularies = vocabularies
-        self.forest = forest
+    def __init__(self, codes: DataFrame, forest: PipelineModel):
+        self.codes, self.forest = codes, forest
+        # Measured once, not per micro-batch.
+        self._small = is_small(codes)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add integer ``Prediction``; works on batch and streaming frames."""
-        coded = apply_all(df, self.vocabularies)
-        scored = self.forest.transform(coded)
-        codes = [f"{c}_code" for c in self.vocabularies]
+        scored = self.forest.transform(apply_codes(df, self.codes, CATEGORICAL, self._small))
         # drop ignores names that are absent
         return scored.withColumn("Prediction", F.col("prediction").cast("int")).drop(
-            *codes, *SCORING_COLUMNS
+            *[f"{c}_code" for c in CATEGORICAL], *SCORING_COLUMNS
         )
 
     def save(self, path: str) -> None:
-        for column, codes in self.vocabularies.items():
-            codes.write.mode("overwrite").parquet(f"{path}/codes/{column}")
+        self.codes.write.mode("overwrite").parquet(f"{path}/codes")
         self.forest.write().overwrite().save(f"{path}/forest")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, columns: list[str]) -> DelayModel:
-        vocabularies = {
-            c: spark.read.schema("value string, code int").parquet(f"{path}/codes/{c}")
-            for c in columns
-        }
-        return cls(vocabularies, PipelineModel.load(f"{path}/forest"))
+    def load(cls, spark: SparkSession, path: str) -> DelayModel:
+        codes = spark.read.schema("column string, value string, code int").parquet(f"{path}/codes")
+        return cls(codes, PipelineModel.load(f"{path}/forest"))
 
 
 def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassifier:
@@ -69,12 +66,19 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomFo
 
 
 def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> DelayModel:
-    """Fit codes and forest on a training set; all passes run on the executors."""
-    vocabularies = fit_all(df)
-    stages = PipelineModel([assembler()])
-    vectors = stages.transform(apply_all(df, vocabularies)).select(VECTOR, LABEL)
-    fitted: RandomForestClassificationModel = forest(trees, depth, seed).fit(vectors)
-    return DelayModel(vocabularies, PipelineModel([assembler(), fitted]))
+    """Fit codes and forest on a training set; all passes run on the executors.
+
+    ``df`` is read several times: give it a table.
+    """
+    codes = fit_codes(df)
+    vectors = assembler().transform(apply_codes(df, codes)).select(VECTOR, LABEL)
+    # The forest passes over the vectors once per group of nodes.
+    vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted: RandomForestClassificationModel = forest(trees, depth, seed).fit(vectors)
+    finally:
+        vectors.unpersist()
+    return DelayModel(codes, PipelineModel([assembler(), fitted]))
 
 
 def accuracy(scored: DataFrame, label: str = LABEL, prediction: str = "Prediction") -> DataFrame:

@@ -7,7 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.operators.sizing import broadcast_if_small
 from flightlake.schemas import FEATURES, MODEL_REF, RUN
+from flightlake.session import materialize
 
 # Stage names, in the order a version passes through them.
 STAGES = ["None", "Staging", "Production", "Archived"]
@@ -39,6 +41,8 @@ def promote(versions: DataFrame) -> DataFrame:
         .groupBy("name")
         .agg(F.max("version").alias("_chosen"))
     )
+    # One row per model, written and measured, so the versions are not shuffled.
+    newest = broadcast_if_small(materialize(newest, "newest"))
     joined = versions.join(newest, "name", "left")
     stage = (
         F.when(F.col("version") == F.col("_chosen"), F.lit("Production"))

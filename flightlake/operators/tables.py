@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake.operators.numbering import number_rows
 from flightlake.operators.serving import page
 from flightlake.operators.sizing import broadcast_if_small
-from flightlake.sources.loads import CORRUPT, TAB_NAMES, file_path, parse_strict
+from flightlake.sources.loads import CORRUPT, TAB_NAMES, accept, file_path, parse_strict
 
 # --- writing -----------------------------------------------------------------
 
@@ -287,10 +287,6 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return number_rows(placed, ["_file", "_block", "_id"], "line_no").select("value", "line_no")
 
 
-class InvalidRows(ValueError):
-    pass
-
-
 def insert_rows(
     lines: DataFrame,
     schema: T.StructType,
@@ -312,9 +308,8 @@ def insert_rows(
         parsed = lines.select("line_no", F.from_json("value", with_corrupt, options).alias("d")).select("line_no", "d.*")
     else:
         parsed = parse_strict(lines, schema, "line_no")
-    if not skip_invalid and not parsed.filter(F.col(CORRUPT).isNotNull()).isEmpty():
-        raise InvalidRows("the request holds invalid rows")
-    rows = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Without skipping, the lines are parsed into a staging table and counted there.
+    rows = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if skip_invalid else accept(parsed)
     known_as = F.concat(F.lit(f"{insert_id}_"), F.col("line_no").cast("string")) if insert_id else F.lit(None).cast("string")
     target = path + template_suffix
     rows.withColumn("insert_id", known_as).drop("line_no").write.mode("append").parquet(target)

@@ -48,8 +48,8 @@ def _(spark, sf):
         "Route", features.route_skip_nulls()
     )
     # Fitted on short flights only, so long routes are unknown.
-    codes = encode.fit_codes(rows.filter("Distance <= 700"), "Route")
-    return encode.apply_codes(rows.select("FlightNum", "Route"), "Route", codes, "Route_code")
+    codes = encode.fit_codes(rows.filter("Distance <= 700"), ["Route"])
+    return encode.apply_codes(rows.select("FlightNum", "Route"), codes, ["Route"])
 
 
 @query(
@@ -91,6 +91,21 @@ def _(spark, sf):
     )
 
 
+_CODED = ("Carrier", "Origin", "TailNum")
+
+
+@query(
+    "ordinal_encode_all",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", "{c}" AS "value", CAST(row_number() OVER (ORDER BY "{c}") - 1 AS INTEGER) AS code
+            FROM (SELECT DISTINCT "{c}" FROM flights)""" for c in _CODED
+    ),
+    "flights",
+)
+def _(spark, sf):
+    return encode.fit_codes(views.flights(spark, sf, *_CODED), list(_CODED))
+
+
 @query("train_test_split")
 def _(spark, sf):
     rows = views.flights(spark, sf, "FlightNum", "TailNum", "FlightDate")
@@ -170,7 +185,7 @@ def _(spark, sf):
     fitted_model, test = fitted(spark, sf)
     path = scratch_dir(spark, "model")
     fitted_model.save(path)
-    reloaded = model.DelayModel.load(spark, path, schemas.CATEGORICAL)
+    reloaded = model.DelayModel.load(spark, path)
     return model.confusion_counts(reloaded.transform(test))
 
 

@@ -17,12 +17,16 @@ _REST = ", ".join(
 
 @query(
     "flight_lookup",
-    f"""SELECT {_FLIGHT} FROM flights WHERE "Carrier" = 'Brand#4' AND "FlightDate" = '1997-08-19' AND "FlightNum" = '14483'
+    f"""SELECT {_FLIGHT} FROM flights WHERE ("FlightDate", "Carrier", "FlightNum") =
+          (SELECT ("FlightDate", "Carrier", "FlightNum") FROM flights ORDER BY "FlightDate" DESC, "Carrier", "FlightNum" LIMIT 1)
         ORDER BY {_FLIGHT} LIMIT 1""",
     "flights",
 )
 def _(spark, sf):
-    return serving.flight_lookup(views.flights(spark, sf, *FLIGHT), "Brand#4", "1997-08-19", "14483")
+    # The key looked up is that of the newest flight in the tables.
+    keys = views.flights(spark, sf, "FlightDate", "Carrier", "FlightNum")
+    date, carrier, number = keys.orderBy(F.col("FlightDate").desc(), "Carrier", "FlightNum").first()
+    return serving.flight_lookup(views.flights(spark, sf, *FLIGHT), carrier, date, number)
 
 
 @query(

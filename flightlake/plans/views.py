@@ -11,12 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions.clocks import iso_text
-from flightlake.functions.messages import emit_json
+from flightlake.operators.sizing import spread
 from flightlake.schemas import REQUEST
 
 
+# Tables that grow with the data and feed row-by-row work.
+_FACTS = {"lineitem", "events", "conversations"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows) if name in _FACTS else rows
 
 
 def _flight_columns() -> dict[str, Column]:
@@ -60,14 +65,18 @@ def flights(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     if {"Origin", "Distance", "AirTime"} & set(wanted):
         origin = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("sn_name"))
         supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-        supplier = supplier.join(origin, supplier.s_nationkey == origin.sn_key)
+        # One table at a time: Spark knows a file's size, but not a join's, so
+        # only this way small tables are broadcast by their real size.
         rows = rows.join(supplier, rows.l_suppkey == supplier.s_suppkey)
+        rows = rows.join(origin, rows.s_nationkey == origin.sn_key)
     if {"Dest", "Distance", "AirTime"} & set(wanted):
         dest = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
         customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-        customer = customer.join(dest, customer.c_nationkey == dest.cn_key)
         orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+        # Customers meet the orders first, so the line items are shuffled at
+        # most once, on the order key.
         orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        orders = orders.join(dest, orders.c_nationkey == dest.cn_key)
         rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
     return rows.select(*[expressions[c].alias(c) for c in wanted])
 
