@@ -40,7 +40,7 @@ def manufacturer_totals(airplanes: DataFrame) -> DataFrame:
 def manufacturer_series(airplanes: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
     """The totals in the nested form a chart reads, in bounded parts."""
     totals = manufacturer_totals(airplanes).withColumn("series", F.lit("Manufacturer"))
-    return bounded_lists(totals, ["series"], ["Manufacturer", "Total"], "data", max_rows=max_rows)
+    return bounded_lists(totals, ["series"], ["Manufacturer", "Total"], "data", max_rows=max_rows, unique=True)
 
 
 def flights_per_airplane(flights: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
@@ -56,7 +56,7 @@ def airplanes_per_carrier(flights: DataFrame, max_rows: int = LIST_ROWS) -> Data
     counts work on fleets, not on flights.
     """
     tails = flights.select("Carrier", "TailNum").filter("TailNum is not null").distinct()
-    lists = bounded_lists(tails, ["Carrier"], ["TailNum"], "TailNumbers", max_rows=max_rows)
+    lists = bounded_lists(tails, ["Carrier"], ["TailNum"], "TailNumbers", max_rows=max_rows, unique=True)
     sizes = lists.groupBy("Carrier").agg(F.sum(F.size("TailNumbers")).alias("FleetCount"))
     return lists.join(sizes, "Carrier")
 

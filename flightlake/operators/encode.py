@@ -24,7 +24,7 @@ def fit_codes(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
     )
     values = df.select(cells.alias("cell")).select("cell.*").filter("value is not null").distinct()
-    numbered = number_rows(values, ["column", "value"])
+    numbered = number_rows(values, ["column", "value"], unique=True)
     # One row per column.
     firsts = numbered.groupBy("column").agg(F.min("row_no").alias("first"))
     codes = numbered.join(F.broadcast(firsts), "column").select(

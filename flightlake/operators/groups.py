@@ -17,13 +17,15 @@ def bounded_lists(
     into: str,
     order: list[str | Column] | None = None,
     max_rows: int = LIST_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """One row per key and ``Part``, with an ordered array of at most ``max_rows``.
 
     A key with a third of all rows gets many parts instead of one huge array;
-    all rows are kept, and parts of one key follow each other in order.
+    all rows are kept, and parts of one key follow each other in order.  ``unique``
+    says that no two rows agree on keys and order.
     """
-    numbered = number_rows(df.select(*keys, *fields), [*keys, *(order or fields)])
+    numbered = number_rows(df.select(*keys, *fields), [*keys, *(order or fields)], unique=unique)
     item = F.struct("row_no", *fields)
     lists = numbered.groupBy(*keys, F.floor((F.col("row_no") - 1) / max_rows).alias("Part")).agg(
         F.sort_array(F.collect_list(item)).alias("_items")

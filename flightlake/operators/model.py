@@ -71,9 +71,9 @@ def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEE
     ``df`` is read several times: give it a table.
     """
     codes = fit_codes(df)
-    vectors = assembler().transform(apply_codes(df, codes)).select(VECTOR, LABEL)
+    vectors = assembler().transform(apply_codes(spread(df), codes)).select(VECTOR, LABEL)
     # The forest passes over the vectors once per group of nodes.
-    vectors = spread(vectors).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted: RandomForestClassificationModel = forest(trees, depth, seed).fit(vectors)
     finally:

@@ -13,7 +13,7 @@ from flightlake.session import materialize
 _TASK_SHIFT = 33
 
 
-def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no") -> DataFrame:
+def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no", unique: bool = False) -> DataFrame:
     """Add the 1-based position of each row in the total order ``order``.
 
     The rows are range-partitioned and sorted, so every task holds one bounded
@@ -24,10 +24,14 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no")
     Rows that tie on the order are told apart by their place in a first written
     copy.  So a value with very many rows still spreads over slices, and a task
     repeated after the loss of an executor meets the same rows in the same slices.
+    Where the order is ``unique`` (no ties), that copy is not needed.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    stable = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "unnumbered")
-    ranged = stable.repartitionByRange(*keys, F.col("_tie")).sortWithinPartitions(*keys, F.col("_tie"))
+    if unique:
+        ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    else:
+        stable = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "unnumbered")
+        ranged = stable.repartitionByRange(*keys, F.col("_tie")).sortWithinPartitions(*keys, F.col("_tie"))
     placed = materialize(ranged.drop("_tie").withColumn("_at", F.monotonically_increasing_id()), "numbered")
     within = F.lit((1 << _TASK_SHIFT) - 1)
     sliced = placed.select(

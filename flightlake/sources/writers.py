@@ -62,9 +62,9 @@ def write_indexed(df: DataFrame, keys: list[str], path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_batches(rows: DataFrame, order: list[str], size: int = BATCH_ROWS) -> DataFrame:
+def in_batches(rows: DataFrame, order: list[str], size: int = BATCH_ROWS, unique: bool = False) -> DataFrame:
     """Add ``batch_no``: exactly ``size`` rows each in the given order, the last one the rest."""
-    numbered = number_rows(rows, order)
+    numbered = number_rows(rows, order, unique=unique)
     return numbered.withColumn("batch_no", F.floor((F.col("row_no") - 1) / size))
 
 
