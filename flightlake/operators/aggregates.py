@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.features import histogram_bin
 from flightlake.operators.groups import LIST_ROWS, bounded_lists
+from flightlake.operators.sizing import broadcast_if_small
+from flightlake.session import materialize
 
 FLIGHT_FIELDS = ["Carrier", "FlightDate", "FlightNum", "Origin", "Dest"]
 
@@ -52,13 +54,16 @@ def flights_per_airplane(flights: DataFrame, max_rows: int = LIST_ROWS) -> DataF
 def airplanes_per_carrier(flights: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
     """Distinct tails of each carrier as bounded lists, with the whole fleet's size.
 
-    Distinct pairs come first (combined on the map side), so the lists and the
-    counts work on fleets, not on flights.
+    Distinct pairs come first (combined on the map side) and are written, so the
+    lists and the counts work on fleets, not on flights.
     """
-    tails = flights.select("Carrier", "TailNum").filter("TailNum is not null").distinct()
+    tails = materialize(
+        flights.select("Carrier", "TailNum").filter("Carrier is not null and TailNum is not null").distinct(),
+        "tails",
+    )
     lists = bounded_lists(tails, ["Carrier"], ["TailNum"], "TailNumbers", max_rows=max_rows, unique=True)
-    sizes = lists.groupBy("Carrier").agg(F.sum(F.size("TailNumbers")).alias("FleetCount"))
-    return lists.join(sizes, "Carrier")
+    sizes = materialize(tails.groupBy("Carrier").agg(F.count(F.lit(1)).alias("FleetCount")), "fleets")
+    return lists.join(broadcast_if_small(sizes), "Carrier")
 
 
 def fleet_counts(flights: DataFrame) -> DataFrame:

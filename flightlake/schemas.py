@@ -7,6 +7,7 @@ _TYPES = {
     "string": T.StringType(),
     "double": T.DoubleType(),
     "int": T.IntegerType(),
+    "bigint": T.LongType(),
     "timestamp": T.TimestampType(),
     "date": T.DateType(),
     "map": T.MapType(T.StringType(), T.StringType()),
@@ -57,6 +58,8 @@ MODEL_REF = _struct(
 
 RUN = _struct("run_id string, params map, features array, accuracy double")
 
+VERSION = _struct("name string, version bigint, stage string, run_id string")
+
 # Column roles of the delay model.
 CATEGORICAL = ["Carrier", "Origin", "Dest", "Route"]
 NUMERIC = ["DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
