@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions.features import route_or_null
+from flightlake.functions.messages import parsed_once
 
 # Stand-ins of the first policy.
 TEXT_DEFAULTS = {"Carrier": "AA", "Origin": "LAX", "Dest": "JFK"}
@@ -53,7 +54,7 @@ def fill_or_fail(lines: DataFrame, column: str = "value") -> DataFrame:
     the ``echo_`` ones.
     """
     fields = F.col("_fields")
-    parsed = lines.select(F.from_json(F.col(column), "map<string,string>").alias("_fields"))
+    parsed = parsed_once(lines, _fields=F.from_json(F.col(column), "map<string,string>"))
     typed = parsed.select(
         "_fields",
         *[_text(fields, c).alias(c) for c in TEXT_DEFAULTS],

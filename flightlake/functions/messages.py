@@ -24,6 +24,16 @@ def flatten(df: DataFrame, struct: str = "d", fields: list[str] | None = None) -
     return df.select(*([f"{struct}.{name}" for name in fields] if fields else [f"{struct}.*"]))
 
 
+def parsed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are expensive to compute and will be filtered on.
+
+    A filter on a plain column is moved below the projection that computes it
+    and computes it again, per use.  Filters do not pass a generated row.
+    """
+    cells = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(cells)))
+
+
 def parse_messages(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Message text (or bytes) to one column per field."""
     return flatten(parse_json(value_to_string(lines, column), schema, column))
@@ -41,10 +51,8 @@ def is_json_object(column: str = "value") -> Column:
 
 def extract_paths(df: DataFrame, paths: Mapping[str, str], column: str = "value") -> DataFrame:
     """Scalars at JSON paths; a record lacking any of them is discarded."""
-    picked = df.select(
-        *[F.get_json_object(F.col(column), path).alias(name) for name, path in paths.items()]
-    )
-    return picked.na.drop("any")
+    scalars = {name: F.get_json_object(F.col(column), path) for name, path in paths.items()}
+    return parsed_once(df, **scalars).select(*paths).na.drop("any")
 
 
 def emit_json(df: DataFrame, columns: list[str], keep_nulls: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from flightlake.functions.messages import parsed_once
 from flightlake.operators.numbering import number_rows
 from flightlake.operators.serving import page
 from flightlake.operators.sizing import broadcast_if_small
@@ -305,7 +306,7 @@ def insert_rows(
     if ignore_unknown:
         options = {"columnNameOfCorruptRecord": CORRUPT}
         with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        parsed = lines.select("line_no", F.from_json("value", with_corrupt, options).alias("d")).select("line_no", "d.*")
+        parsed = parsed_once(lines, d=F.from_json("value", with_corrupt, options)).select("line_no", "d.*")
     else:
         parsed = parse_strict(lines, schema, "line_no")
     # Without skipping, the lines are parsed into a staging table and counted there.

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from flightlake import schemas
 from flightlake.functions import features, labels, messages
 from flightlake.operators import latest, training
+from flightlake.operators.sizing import spread
 from flightlake.plans import views
 from flightlake.plans.catalog import query
-from flightlake.session import scratch_dir
+from flightlake.session import materialize, scratch_dir
 from flightlake.sources import readers, writers
 from flightlake.streaming import jobs
 
@@ -24,7 +25,9 @@ def _training_rows(spark, sf):
 @query("src_jsonl", f"SELECT {_TRAINING} FROM flights", "flights")
 def _(spark, sf):
     path = scratch_dir(spark, "jsonl")
-    _training_rows(spark, sf).write.option("compression", "bzip2").json(path)
+    # Compressing bz2 is slow: use all cores even on one small table.
+    rows = spread(materialize(_training_rows(spark, sf), "rows"))
+    rows.write.option("compression", "bzip2").json(path)
     return readers.read_jsonl(spark, path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightlake.functions.messages import parsed_once
 from flightlake.operators.sizing import broadcast_if_small
 from flightlake.session import scratch_dir
 
@@ -167,9 +168,7 @@ def parse_strict(lines: DataFrame, schema: T.StructType, *keep: str) -> DataFram
     # A JSON null in "value" or a non-object leaves the key map null.
     keys = F.map_keys(F.from_json("value", "map<string,string>"))
     known = F.coalesce(F.size(F.array_except(keys, names)) == 0, F.lit(False))
-    parsed = lines.select(
-        *keep, "value", known.alias("_known"), F.from_json("value", _with_corrupt(schema), options).alias("d")
-    )
+    parsed = parsed_once(lines, _known=known, d=F.from_json("value", _with_corrupt(schema), options))
     corrupt = F.coalesce(F.col(f"d.{CORRUPT}"), F.when(~F.col("_known"), F.col("value")))
     return parsed.select(*keep, *[F.col(f"d.{f.name}") for f in schema], corrupt.alias(CORRUPT))
 
