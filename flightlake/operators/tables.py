@@ -238,6 +238,11 @@ def head(df: DataFrame, order: list[str], start: int = 0, rows: int = HEAD_ROWS,
     return shown.select(*fields) if fields else shown
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decode_wire(text: Column, kind: T.DataType) -> Column:
     """A value in wire form as a typed, possibly nested, value.
 
@@ -245,11 +250,11 @@ def decode_wire(text: Column, kind: T.DataType) -> Column:
     ``[{"v": ...}, ...]``, a plain value as itself.
     """
     if isinstance(kind, T.StructType):
-        cells = F.from_json(text, "f array<struct<v: string>>")["f"]
-        record = F.struct(
-            *[decode_wire(F.get(cells, i)["v"], f.dataType).alias(f.name) for i, f in enumerate(kind)]
-        )
-        return F.when(cells.isNotNull(), record)
+        def record(cells: Column) -> Column:
+            fields = [decode_wire(F.get(cells, F.lit(i))["v"], f.dataType).alias(f.name) for i, f in enumerate(kind)]
+            return F.when(cells.isNotNull(), F.struct(*fields))
+
+        return _bound(F.from_json(text, "f array<struct<v: string>>")["f"], record)
     if isinstance(kind, T.ArrayType):
         cells = F.from_json(text, "array<struct<v: string>>")
         return F.transform(cells, lambda cell: decode_wire(cell["v"], kind.elementType))
@@ -258,7 +263,7 @@ def decode_wire(text: Column, kind: T.DataType) -> Column:
 
 def nested_rows(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Rows in wire form as nested columns."""
-    return lines.select(decode_wire(F.col(column), schema).alias("_r")).select("_r.*")
+    return parsed_once(lines, _r=decode_wire(F.col(column), schema)).select("_r.*")
 
 
 def flatten_rows(df: DataFrame, repeated: str) -> DataFrame:

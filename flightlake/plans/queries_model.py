@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake import schemas
@@ -23,18 +23,13 @@ CHECK_TREES, CHECK_DEPTH = 10, 6
 
 
 @functools.lru_cache(maxsize=4)
-def _fitted(app_id: str, sf: str) -> tuple[model.DelayModel, object]:
-    spark = SparkSession.getActiveSession()
+def fitted(spark: SparkSession, sf: str) -> tuple[model.DelayModel, DataFrame]:
+    """(model, test rows), trained once per session and folder."""
     rows = materialize(training.training_set(views.flights(spark, sf, *TRAINING_INPUT)), "training")
     train, test = training.split_by_key(rows, [*schemas.FEATURES, schemas.LABEL])
     return model.train(train, CHECK_TREES, CHECK_DEPTH), test
 
 
-def fitted(spark, sf):
-    """(model, test rows), trained once per session and folder."""
-    return _fitted(spark.sparkContext.applicationId, sf)
-
-
 @query(
     "ordinal_encode",
     """WITH known AS (SELECT "Route", CAST(row_number() OVER (ORDER BY "Route") - 1 AS INTEGER) AS code FROM

@@ -101,6 +101,17 @@ def _(spark, sf):
     )
 
 
+@query("sink_console", "SELECT CAST(count(*) AS BIGINT) AS printed_from FROM events")
+def _(spark, sf):
+    """Prints a few rows per micro-batch; the result counts the messages read."""
+    topic = _prediction_topic(spark, views.predictions_a(spark, sf))
+    parsed = messages.parse_messages(readers.read_topic(spark, topic), schemas.PREDICTION)
+    printed = jobs.start_console(parsed, jobs.DRAIN, rows=1)
+    jobs.drain(printed)
+    read = sum(progress["numInputRows"] for progress in printed.recentProgress)
+    return spark.createDataFrame([(read,)], "printed_from bigint")
+
+
 @query(
     "stream_dual_match",
     """SELECT 'evt-' || CAST(event_id AS VARCHAR) AS "UUID", CAST(event_id % 4 AS DOUBLE) AS first_prediction,

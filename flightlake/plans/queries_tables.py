@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flightlake.operators import tables
+from flightlake.operators.sizing import spread
 from flightlake.plans import views
 from flightlake.plans.catalog import query
 from flightlake.session import scratch_dir
@@ -445,7 +446,7 @@ def _(spark, sf):
         cell(quoted(F.col("conv_id").cast("string"))), cell(quoted(F.col("turn").cast("string"))), cell(said),
         cell(F.concat(F.lit("["), F.concat_ws(",", words), F.lit("]"))),
     )
-    lines = views.table(spark, sf, "conversations").select(line.alias("value"))
+    lines = spread(views.table(spark, sf, "conversations")).select(line.alias("value"))
     schema = spark.range(0).selectExpr(
         "id AS conv_id", "id AS turn", "named_struct('role', '', 'text', '') AS said", "array('') AS word"
     ).schema

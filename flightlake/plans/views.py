@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions.clocks import iso_text
+from flightlake.operators.sizing import spread
 from flightlake.schemas import REQUEST
 
 
@@ -84,7 +85,8 @@ def distances(spark: SparkSession, sf: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """Scoring requests, one per event."""
-    events = table(spark, sf, "events")
+    # Message work is heavy per row: use all cores even on one small file.
+    events = spread(table(spark, sf, "events"))
     nation = table(spark, sf, "nation")
     origin = nation.select(F.col("n_nationkey").alias("on_key"), F.col("n_name").alias("Origin"))
     dest = nation.select(F.col("n_nationkey").alias("dn_key"), F.col("n_name").alias("Dest"))

@@ -15,6 +15,7 @@ from flightlake.functions.clocks import parse_any
 from flightlake.operators.aggregates import union_topics
 from flightlake.operators.latest import latest_per_key, store_predictions
 from flightlake.operators.model import DelayModel
+from flightlake.session import scratch_dir
 from flightlake.sources.writers import event_day
 
 # How often a job checkpoints and how often the route file is reloaded.
@@ -74,14 +75,18 @@ def start_kafka(df: DataFrame, topic: str, servers: str, checkpoint: str, trigge
     )
 
 
-def start_console(df: DataFrame, trigger: Trigger = POLL) -> StreamingQuery:
-    """Print a stream for debugging."""
-    return df.writeStream.format("console").outputMode("append").trigger(**trigger).start()
+def start_console(df: DataFrame, trigger: Trigger = POLL, rows: int = 20) -> StreamingQuery:
+    """Print the first rows of every micro-batch for debugging."""
+    writer = df.writeStream.format("console").option("numRows", str(rows)).outputMode("append")
+    state = scratch_dir(df.sparkSession, "console")
+    return writer.option("checkpointLocation", state).trigger(**trigger).start()
 
 
 def start_memory(df: DataFrame, name: str, trigger: Trigger = DRAIN) -> StreamingQuery:
     """The debug sink tests can read back as a table; for small streams only."""
-    return df.writeStream.format("memory").queryName(name).outputMode("append").trigger(**trigger).start()
+    writer = df.writeStream.format("memory").queryName(name).outputMode("append")
+    state = scratch_dir(df.sparkSession, "memory")
+    return writer.option("checkpointLocation", state).trigger(**trigger).start()
 
 
 def start_batches(
