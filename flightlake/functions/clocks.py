@@ -21,10 +21,12 @@ def date_parts(date: str = "FlightDate") -> dict[str, Column]:
 
 def parse_any(text: Column) -> Column:
     """ISO 8601, epoch milliseconds, or microsecond ISO text; null if none fits."""
-    millis = F.timestamp_millis(F.when(text.rlike(r"^-?\d{10,16}$"), text.try_cast("bigint")))
+    # Four digits are a year.
+    digits = text.rlike(r"^-?\d{1,16}$") & ~text.rlike(r"^\d{4}$")
+    millis = F.timestamp_millis(F.when(digits, text.try_cast("bigint")))
     return F.coalesce(
         millis,
-        F.when(text.rlike(r"^\d{4}-"), F.try_to_timestamp(text)),
+        F.when(text.rlike(r"^\d{4}(-|$)"), F.try_to_timestamp(text)),
         F.try_to_timestamp(text, F.lit(ISO_MICROS)),
     )
 

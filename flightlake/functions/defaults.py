@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.features import route_or_null
 from flightlake.functions.messages import parsed_once
+from flightlake.functions.numbers import number
 
 # Stand-ins of the first policy.
 TEXT_DEFAULTS = {"Carrier": "AA", "Origin": "LAX", "Dest": "JFK"}
@@ -40,10 +41,10 @@ def _number(fields: Column, name: str, stand_in: int) -> Column:
     # Absent, null, empty and zero all read as the stand-in; other text that is
     # not a number gives null, which marks the record as failed.
     raw = fields[name]
-    number = raw.try_cast("double")
+    value = number(raw)
     return F.when(
-        raw.isNull() | (raw == "") | F.coalesce(number == 0, F.lit(False)), F.lit(float(stand_in))
-    ).otherwise(number)
+        raw.isNull() | (raw == "") | F.coalesce(value == 0, F.lit(False)), F.lit(float(stand_in))
+    ).otherwise(value)
 
 
 def fill_or_fail(lines: DataFrame, column: str = "value") -> DataFrame:

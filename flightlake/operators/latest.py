@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.functions.clocks import parse_iso_zulu
+from flightlake.functions.messages import parsed_once
+from flightlake.functions.numbers import number
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest row per key.
@@ -24,23 +28,40 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], order: list
     return latest_per_key(current.unionByName(incoming), keys, order)
 
 
-def store_predictions(messages: DataFrame, order: list[str]) -> DataFrame:
-    """Result messages to stored rows, one per uuid.
+def prediction_rows(lines: DataFrame, *keep: str) -> DataFrame:
+    """Result messages (``value``) as rows to store; unreadable ones are skipped.
 
-    A row whose delay cannot be read is skipped, like a failed insert; a
-    missing delay counts as 0.
+    An absent number counts as 0 and an absent time as null, but a number or
+    time that cannot be read skips the message, as does a missing id.
     """
-    from flightlake.functions.clocks import parse_iso_zulu
-    from flightlake.functions.labels import prediction_text
-
-    rows = messages.select(
-        F.col("UUID").alias("uuid"),
-        prediction_text(F.col("Prediction")).alias("prediction"),
-        parse_iso_zulu(F.col("Timestamp")).alias("timestamp"),
-        F.col("Origin").alias("origin"),
-        F.col("Dest").alias("dest"),
-        F.col("Carrier").alias("carrier"),
-        F.coalesce(F.col("DepDelay"), F.lit(0.0)).alias("dep_delay"),
-        *order,
-    ).filter(F.col("uuid").isNotNull())
-    return latest_per_key(rows, ["uuid"], order).drop(*order)
+    fields = F.col("_fields")
+
+    def value(name: str) -> Column:
+        absent = ~F.map_contains_key(fields, name)
+        return F.when(absent, F.lit(0.0)).otherwise(number(fields[name]))
+
+    parsed = parsed_once(lines, _fields=F.from_json("value", "map<string,string>"))
+    read = parsed.select(
+        fields["UUID"].alias("uuid"),
+        value("Prediction").alias("_prediction"),
+        parse_iso_zulu(fields["Timestamp"]).alias("timestamp"),
+        *[fields[c].alias(c.lower()) for c in ("Origin", "Dest", "Carrier")],
+        value("DepDelay").alias("dep_delay"),
+        fields["Timestamp"].alias("_time"),
+        *keep,
+    )
+    readable = (
+        F.col("uuid").isNotNull()
+        & F.col("_prediction").isNotNull()
+        & F.col("dep_delay").isNotNull()
+        & (F.col("_time").isNull() | F.col("timestamp").isNotNull())
+    )
+    stored = F.col("_prediction").cast("string").alias("prediction")
+    return read.filter(readable).select(
+        "uuid", stored, "timestamp", "origin", "dest", "carrier", "dep_delay", *keep
+    )
+
+
+def store_predictions(lines: DataFrame) -> DataFrame:
+    """The prediction table after all messages: one row per id, the latest one."""
+    return latest_per_key(prediction_rows(lines), ["uuid"], ["timestamp"])

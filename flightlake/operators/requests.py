@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions.clocks import date_parts, stamp
+from flightlake.functions.numbers import number
 from flightlake.operators.joins import distance_lookup
 
 # Form fields and their types.
@@ -23,9 +24,11 @@ FORM_TYPES = {
 
 def typed_form(forms: DataFrame, types: Mapping[str, str] = FORM_TYPES, keep: list[str] | None = None) -> DataFrame:
     """Form texts as typed columns; a text that does not fit becomes null."""
-    return forms.select(
-        *(keep or []), *[F.col(name).try_cast(kind).alias(name) for name, kind in types.items()]
-    )
+    typed = [
+        (number(F.col(name)) if kind == "double" else F.col(name).try_cast(kind)).alias(name)
+        for name, kind in types.items()
+    ]
+    return forms.select(*(keep or []), *typed)
 
 
 def request_enrich(forms: DataFrame, distances: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flightlake.functions import features
+from flightlake.functions.messages import emit_json
 from flightlake.operators import aggregates, joins, training
+from flightlake.operators.latest import store_predictions
 from flightlake.plans import views
 from flightlake.plans.catalog import query
 from flightlake.session import materialize
+from flightlake.streaming.jobs import MESSAGE_COLUMNS
 
 ROUTE_COLUMNS = ("FlightNum", "TailNum", "FlightDate", "Origin", "Dest")
 
@@ -94,9 +97,7 @@ def dual_engine_match(spark, sf):
     "predictions_a", "predictions_b",
 )
 def _(spark, sf):
-    from flightlake.operators.latest import store_predictions
-
-    stored = store_predictions(views.predictions_b(spark, sf).withColumn("arrival", F.col("Timestamp")), ["arrival"])
+    stored = store_predictions(emit_json(views.predictions_b(spark, sf), MESSAGE_COLUMNS))
     asked = views.predictions_a(spark, sf).select("UUID").distinct()
     return joins.request_status(asked, stored)
 

@@ -152,8 +152,7 @@ def sink_upsert_distance(spark, sf):
     "predictions_a",
 )
 def _(spark, sf):
-    rows = views.predictions_a(spark, sf).withColumn("arrival", F.col("Timestamp"))
-    stored = latest.store_predictions(rows, ["arrival"])
+    stored = latest.store_predictions(messages.emit_json(views.predictions_a(spark, sf), jobs.MESSAGE_COLUMNS))
     return stored.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 

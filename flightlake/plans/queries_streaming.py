@@ -44,6 +44,21 @@ def _(spark, sf):
     return answers.filter(F.col("Prediction").isin(0, 1, 2, 3)).drop("Prediction")
 
 
+@query(
+    "stream_score_typed",
+    f"""SELECT "UUID", "Origin", "Dest", "Carrier", "DepDelay", substr("Timestamp", 1, 23) || 'Z' AS "Timestamp" FROM ({_ECHO})
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM requests WHERE event_id % 97 = 0""",
+    "requests",
+)
+def _(spark, sf):
+    """The typed variant; requests carry no category codes."""
+    model, _test = fitted(spark, sf)
+    out, state = _paths(spark, "answers", "state")
+    jobs.drain(jobs.start_files(jobs.score_typed(_request_topic(spark, sf), model.forest), out, state))
+    answers = messages.parse_messages(readers.text_lines(spark, out), schemas.PREDICTION)
+    return answers.filter(F.col("Prediction").isin(0, 1, 2, 3)).drop("Prediction")
+
+
 @query(
     "stream_reject",
     f"""SELECT 'answered' AS part, "UUID", "Carrier", "DepDelay" FROM ({_ECHO})
@@ -70,8 +85,7 @@ _NEWEST = """SELECT "UUID" AS uuid, CAST(CAST(max_by("Prediction", "Timestamp")
 def _(spark, sf):
     table, state = _paths(spark, "table", "state")
     topic = _prediction_topic(spark, views.predictions_a(spark, sf))
-    parsed = messages.parse_messages(readers.read_topic(spark, topic), schemas.PREDICTION)
-    jobs.drain(jobs.start_upsert(parsed, table, state))
+    jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
     return jobs.stored_predictions(spark, table).select("uuid", "prediction", "carrier", "dep_delay")
 
 
@@ -182,6 +196,5 @@ def _(spark, sf):
     early = F.col("Timestamp") < "2024-01-12"
     for part in (answers.filter(early), answers.filter(~early)):
         writers.write_topic(messages.emit_json(part, jobs.MESSAGE_COLUMNS), topic)
-        parsed = messages.parse_messages(readers.read_topic(spark, topic), schemas.PREDICTION)
-        jobs.drain(jobs.start_upsert(parsed, table, state))
+        jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
     return jobs.stored_predictions(spark, table).select("uuid", "prediction", "carrier", "dep_delay")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake import schemas
 from flightlake.functions import defaults, messages
 from flightlake.functions.clocks import parse_any
+from flightlake.functions.features import route_or_null
 from flightlake.operators.aggregates import union_topics
-from flightlake.operators.latest import latest_per_key, store_predictions
-from flightlake.operators.model import DelayModel
+from flightlake.operators.latest import latest_per_key, prediction_rows
+from flightlake.operators.model import SCORING_COLUMNS, DelayModel
 from flightlake.session import scratch_dir
 from flightlake.sources.writers import event_day
 
@@ -47,6 +49,19 @@ def score_lines(lines: DataFrame, model: DelayModel) -> DataFrame:
     return messages.emit_json(scored.select("_sent.*", "Prediction"), MESSAGE_COLUMNS)
 
 
+def score_typed(lines: DataFrame, forest: PipelineModel) -> DataFrame:
+    """The typed variant: no stand-ins, category codes as the message brings them.
+
+    What is missing goes into the model as NaN; the time is echoed as a real
+    timestamp, to the millisecond.
+    """
+    parsed = messages.parse_messages(lines, schemas.REQUEST_TYPED).withColumn("Route", route_or_null())
+    coded = parsed.withColumns({f"{c}_code": F.col(f"{c}_index") for c in schemas.CATEGORICAL})
+    unused = ["Prediction", *[f"{c}_index" for c in schemas.CATEGORICAL]]
+    scored = forest.transform(coded.drop(*unused)).withColumnRenamed("prediction", "Prediction")
+    return messages.emit_json(scored.drop(*SCORING_COLUMNS), MESSAGE_COLUMNS)
+
+
 def score_or_reject(lines: DataFrame, model: DelayModel) -> tuple[DataFrame, DataFrame]:
     """(prediction messages, rejected lines) of one micro-batch under the second policy."""
     good, bad = defaults.split_failed(defaults.fill_or_fail(messages.value_to_string(lines)))
@@ -157,8 +172,12 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
 
 def stored_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Keyed prediction table from the stored micro-batches of a result topic."""
-    rows = read_batches(spark, path, schemas.PREDICTION)
-    return store_predictions(rows.withColumn("arrival", F.col("Timestamp")), ["arrival", "batch_id"])
+    return newest(spark, path, schemas.STORED_PREDICTION, ["uuid"], ["timestamp"])
+
+
+def start_storing(lines: DataFrame, path: str, checkpoint: str, trigger: Trigger = DRAIN) -> StreamingQuery:
+    """Store a result topic; :func:`stored_predictions` reads it one row per id."""
+    return start_upsert(prediction_rows(lines), path, checkpoint, trigger)
 
 
 def match_streams(first: DataFrame, second: DataFrame, late: str = "10 minutes", within: str = "10 minutes") -> DataFrame:

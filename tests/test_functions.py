@@ -110,6 +110,7 @@ def test_missing_path_discards_the_record(spark):
         ("2016-12-25T10:11:12.123456", "2016-12-25 10:11:12.123456"),
         ("2016-12-25T10:11:12Z", "2016-12-25 10:11:12.000000"),
         ("1482660672123", "2016-12-25 10:11:12.123000"),
+        ("2016", "2016-01-01 00:00:00.000000"), ("5", "1970-01-01 00:00:00.005000"),
         ("yesterday", None), ("", None),
     ],
 )

@@ -59,16 +59,23 @@ def test_last_write_wins(spark):
 
 
 def test_stored_prediction_texts(spark):
-    df = spark.createDataFrame(
-        [("u", 2.0, "A", "B", "AA", None, "2016-12-25T10:00:00Z"), ("v", None, "A", "B", "AA", 1.0, "soon"),
-         (None, 1.0, "A", "B", "AA", 1.0, "")],
-        "UUID string, Prediction double, Origin string, Dest string, Carrier string, DepDelay double, Timestamp string",
-    ).withColumn("arrival", F.lit(1))
-    out = latest.store_predictions(df, ["arrival"])
+    texts = [
+        '{"UUID":"u","Prediction":2,"Origin":"A","Timestamp":"2016-12-25T10:00:00Z"}', '{"UUID":"v","DepDelay":1}',
+        # skipped: unreadable delay, null prediction, unreadable time, no id, no message
+        '{"UUID":"w","DepDelay":"late"}', '{"UUID":"w","Prediction":null}', '{"UUID":"w","Timestamp":"soon"}',
+        '{"Prediction":1}', "not json",
+    ]
+    out = latest.store_predictions(spark.createDataFrame([(t,) for t in texts], "value string"))
     got = rows(out.withColumn("timestamp", F.col("timestamp").cast("string")), "uuid", "prediction", "timestamp", "dep_delay")
     assert got == [("u", "2.0", "2016-12-25 10:00:00", 0.0), ("v", "0.0", None, 1.0)]
 
 
+def test_type_suffixes_are_no_numbers(spark):
+    forms = spark.createDataFrame([("5",), ("5d",), ("1e3",), ("-2.5f",), ("",)], "DepDelay string")
+    got = requests.typed_form(forms, {"DepDelay": "double"}).collect()
+    assert [r.DepDelay for r in got] == [5.0, None, 1000.0, None, None]
+
+
 def test_unknown_and_null_categories_get_minus_one(spark):
     known = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "Carrier string")
     codes = encode.fit_codes(known, ["Carrier"])
