@@ -60,7 +60,7 @@ def fill_or_fail(lines: DataFrame, column: str = "value") -> DataFrame:
         "_fields",
         *[_text(fields, c).alias(c) for c in TEXT_DEFAULTS],
         *[_number(fields, c, 0).alias(c) for c in NUMBER_DEFAULTS],
-        *[_number(fields, c, DAY_DEFAULT).cast("int").alias(c) for c in DAY_FIELDS],
+        *[_number(fields, c, DAY_DEFAULT).try_cast("int").alias(c) for c in DAY_FIELDS],
         *[
             F.when(~F.map_contains_key(fields, c), F.lit("")).otherwise(fields[c]).alias(f"echo_{c}")
             for c in PASS_THROUGH

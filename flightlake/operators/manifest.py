@@ -19,7 +19,7 @@ def list_files(spark: SparkSession, root: str, hashes: bool = False) -> DataFram
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     # Paths relative to the root, whatever scheme prefix the file system adds.
     base = root.rstrip("/") + "/"
-    relative = F.element_at(F.split(F.col("path"), F.lit(base.replace(".", "\\.")), 2), -1)
+    relative = F.substr(F.col("path"), F.instr("path", base) + F.lit(len(base)))
     columns = [
         relative.alias("path"),
         F.col("length").alias("size"),

@@ -135,8 +135,9 @@ def unexpired(df: DataFrame, seconds: int, now: Column, unit: str = "DAY", colum
     # A bare year or month starts on its first day.
     first_day = {"YEAR": "0101", "MONTH": "01"}.get(unit, "")
     padded = F.rpad(F.concat(F.col(column).cast("string"), F.lit(first_day)), 10, "0")
-    start = F.to_timestamp(padded, PARTITION_FORMATS["HOUR"])
-    return df.filter(start + F.make_dt_interval(secs=F.lit(seconds)) > now)
+    start = F.try_to_timestamp(padded, F.lit(PARTITION_FORMATS["HOUR"]))
+    # Rows without a partition time never expire.
+    return df.filter(start.isNull() | (start + F.make_dt_interval(secs=F.lit(seconds)) > now))
 
 
 def range_partition(df: DataFrame, spec: str, into: str = "bucket_start") -> DataFrame:

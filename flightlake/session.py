@@ -44,7 +44,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
     A cluster must name that folder, because executors on other machines (or
     replacements of lost ones) read what is written there.  Only a local master
-    may fall back to a temporary folder.
+    may fall back to a temporary folder.  All paths of an application share one
+    folder, which can be removed when the application has ended.
     """
     global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,7 +55,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="flightlake-")
         base = _local_scratch
-    return f"{base.rstrip('/')}/flightlake/{label}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/flightlake/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -267,7 +267,8 @@ def to_decimal(text: Column, target: str, rounding: bool = False) -> Column:
     if target != "NUMERIC":
         return text
     fits = text.rlike(r"^-?\d*\.?\d{0,9}$")
-    number = F.round(text.try_cast("decimal(38,18)"), 9).cast("decimal(38,9)")
+    # this cast rounds half up
+    number = text.try_cast("decimal(38,9)")
     if rounding:
         return number
     message = F.concat(F.lit("more than 9 fraction digits: "), text)

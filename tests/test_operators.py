@@ -205,3 +205,13 @@ def test_chart_share_and_histogram(spark):
     assert rows(aggregates.chart_scale(df, "value"), "label", "share") == [("a", 0.25), ("b", 1.0)]
     delays = spark.createDataFrame([(-0.5,), (0.0,), (14.9,), (15.0,), (None,)], "ArrDelay double")
     assert rows(aggregates.delay_histogram(delays)) == [(-15.0, 1), (0.0, 2), (15.0, 1)]
+
+
+def test_scratch_folder_is_the_session_s(spark):
+    from flightlake import session
+
+    first, second = (session.scratch_dir(spark, "x") for _ in range(2))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    application = f"/flightlake/{spark.sparkContext.applicationId}/x-"
+    assert application in first and first != second
+    assert shared is None or first.startswith(shared)
