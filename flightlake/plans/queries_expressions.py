@@ -270,10 +270,18 @@ def _(spark, sf):
     return forms.request_enrich(_forms(spark, sf), _distance_table(spark, sf))
 
 
-@query("request_stamp")
+@query(
+    "request_stamp",
+    """SELECT "Carrier", "Origin", "Dest", "DepDelay", true AS has_time, true AS has_id FROM requests""",
+    "requests",
+)
 def _(spark, sf):
-    rows = views.requests(spark, sf).drop("UUID", "Timestamp")
-    return clocks.stamp(rows)
+    """Clock and id are new in every run: checked by their form."""
+    stamped = clocks.stamp(views.requests(spark, sf).select("Carrier", "Origin", "Dest", "DepDelay"))
+    return stamped.withColumns({
+        "has_time": F.col("Timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$"),
+        "has_id": F.col("UUID").rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"),
+    }).drop("Timestamp", "UUID")
 
 
 @query("add_constant", """SELECT "UUID", 'flight_prediction' AS log_type FROM requests""", "requests")
