@@ -49,11 +49,17 @@ def list_flights(flights: DataFrame, origin: str, dest: str, date: str) -> DataF
 
 
 def matching(df: DataFrame, args: Mapping[str, str | None], fields: list[str]) -> DataFrame:
-    """Rows equal to every given argument, ignoring case; empty arguments do not filter."""
+    """Rows equal to every given argument, ignoring case; empty arguments do not filter.
+
+    A value without letters (a date, a number) is compared as it is stored, so
+    the condition reaches the file statistics.
+    """
     for field in fields:
         wanted = args.get(field)
         if wanted:
-            df = df.filter(F.lower(F.col(field).cast("string")) == wanted.lower())
+            text = F.col(field).cast("string")
+            caseless = wanted.lower() == wanted.upper()
+            df = df.filter(text == wanted if caseless else F.lower(text) == wanted.lower())
     return df
 
 
