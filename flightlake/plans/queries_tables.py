@@ -79,7 +79,7 @@ def _event_lines(spark, sf):
     fields = F.struct("event_id", "event_type", value.alias("value"), extra.alias("visitor"))
     # value is a JSON number where it reads as one
     text = F.regexp_replace(F.to_json(fields), r'"value":"(-?[0-9.E]+)"', '"value":$1')
-    return views.table(spark, sf, "events").select(text.alias("value"))
+    return spread(views.table(spark, sf, "events")).select(text.alias("value"))
 
 
 EVENT_FIELDS = "event_id:INTEGER,event_type,value:FLOAT"

@@ -117,7 +117,7 @@ def request_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _predictions(events: DataFrame, prediction: Column) -> DataFrame:
-    return events.select(
+    return spread(events).select(
         F.concat(F.lit("req-"), F.floor(F.col("event_id") / 2).cast("string")).alias("UUID"),
         prediction.cast("double").alias("Prediction"),
         F.concat(F.lit("O"), (F.col("user_id") % 25).cast("string")).alias("Origin"),
