@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flightlake import schemas
-from flightlake.functions import features, labels, messages
+from flightlake.functions import labels, messages
 from flightlake.operators import latest, training
 from flightlake.operators.sizing import spread
 from flightlake.plans import views
