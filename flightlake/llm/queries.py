@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import packing
+from flightlake.llm import packing, substring_dedup
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("op1_packing")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.digest(substring_dedup.remove_repeats(docs))
