@@ -86,9 +86,10 @@ def emitted(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> It
         )
 
 
-KEYS = "bucket int, block bigint, keys binary, twice binary"
+KEYS = "bucket int, block bigint, size int, keys binary, twice binary"
+KEY_NAMES = ["bucket", "block", "size", "keys", "twice"]
 BITS = "bucket int, block bigint, bits binary"
-_KEY_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+KEY_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 _BIT_TYPES = [pa.int32(), pa.int64(), pa.binary()]
 
 # A key of 128 bits; the first half decides the bucket.
@@ -110,11 +111,28 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[head], counts > 1, index
 
 
+def _squeezed(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys: the first, then 32-bit steps; plain where a step is longer."""
+    if keys.dtype == WIDE:
+        return keys.tobytes()
+    steps = np.diff(keys)
+    if len(steps) < 2 or steps.max() >> np.uint64(32):
+        return keys.tobytes()
+    return keys[:1].tobytes() + steps.astype("<u4").tobytes()
+
+
+def _spread(raw: bytes, count: int, kind: np.dtype) -> np.ndarray:
+    if len(raw) == count * kind.itemsize:
+        return np.frombuffer(raw, kind)
+    steps = np.frombuffer(raw, "<u4", offset=8)
+    return np.cumsum(np.concatenate([np.frombuffer(raw, "<u8", 1), steps.astype(np.uint64)]), dtype=np.uint64)
+
+
 def key_rows(block: int, keys: np.ndarray, twice: np.ndarray, buckets: int) -> list[tuple]:
     """Rows of KEYS for one block's sorted distinct keys."""
-    edges = bucket_edges(keys["a"] if keys.dtype == WIDE else keys, buckets)
+    edges = bucket_edges(keys["a"] if keys.dtype == WIDE else keys, buckets).tolist()
     return [
-        (k, block, keys[a:b].tobytes(), np.packbits(twice[a:b]).tobytes())
+        (k, block, b - a, _squeezed(keys[a:b]), np.packbits(twice[a:b]).tobytes())
         for k, (a, b) in enumerate(zip(edges, edges[1:]))
         if b > a
     ]
@@ -122,7 +140,8 @@ def key_rows(block: int, keys: np.ndarray, twice: np.ndarray, buckets: int) -> l
 
 def _shared(kind: np.dtype):
     def find(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(k, kind) for k in table.column("keys").to_pylist()]
+        sizes = table.column("size").to_pylist()
+        parts = [_spread(k, n, kind) for k, n in zip(table.column("keys").to_pylist(), sizes)]
         marks = [
             np.unpackbits(np.frombuffer(t, np.uint8), count=len(p)).astype(bool)
             for t, p in zip(table.column("twice").to_pylist(), parts)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import packing, substring_dedup
+from flightlake.llm import ngram_join, packing, substring_dedup
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
+
+
+@query("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")

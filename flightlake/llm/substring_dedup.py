@@ -89,7 +89,7 @@ def _anchor_keys(column: str, width: int, buckets: int):
                 keys, _, index = B.distinct(text.anchors)
                 moved = np.diff(text.places, prepend=-1) != 0
                 twice = np.bincount(index[moved], minlength=len(keys)) > 1
-                yield from B.emitted(B.key_rows(block, keys, twice, buckets), ["bucket", "block", "keys", "twice"], B._KEY_TYPES)
+                yield from B.emitted(B.key_rows(block, keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
 
     return send
 
@@ -101,7 +101,7 @@ def _window_keys(column: str, width: int, buckets: int):
                 text = Text(B.open_block(row["data"]), column, width)
                 chosen = text.anchor_bits(row["anchors"], buckets)
                 keys, twice, _ = B.distinct(text.window_keys(chosen))
-                yield from B.emitted(B.key_rows(row["block"], keys, twice, buckets), ["bucket", "block", "keys", "twice"], B._KEY_TYPES)
+                yield from B.emitted(B.key_rows(row["block"], keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
 
     return send
 
