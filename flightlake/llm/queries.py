@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import ngram_join, packing, substring_dedup
+from flightlake.llm import ngram_join, packing, quality, substring_dedup
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_ngram_jaccard_join")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf, "documents"))
