@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import ngram_join, packing, quality, substring_dedup
+from flightlake.llm import ngram_join, packing, quality, substring_dedup, topk
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_quality_rules")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf, "documents"))
+
+
+@query("op10_exact_top_k")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"))
