@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import ngram_join, packing, quality, substring_dedup, topk
+from flightlake.llm import ngram_join, packing, quality, substring_dedup, topk, warc
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,21 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_exact_top_k")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"))
+
+
+@query(
+    "op5_warc",
+    r"""
+    WITH sized AS (
+      SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+             sha1(coalesce(html, '')) AS payload_digest
+      FROM pages),
+    kept AS (SELECT payload_digest, payload_bytes, max(page_id) AS best FROM sized WHERE payload_bytes >= 1000 GROUP BY ALL)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN best IS NULL OR best = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN best = page_id THEN NULL ELSE best END AS refers_to
+    FROM sized LEFT JOIN kept USING (payload_digest, payload_bytes)
+    """,
+)
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
