@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flightlake.llm import ngram_join, packing, quality, substring_dedup, topk, warc
+from flightlake.llm import html_text, ngram_join, packing, quality, substring_dedup, topk, warc
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,9 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 )
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages"))
+
+
+@query("op9_html_extraction")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
