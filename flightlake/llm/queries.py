@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import html_text, ngram_join, packing, quality, substring_dedup, topk, warc
+from flightlake.llm import html_text, ngram_join, packing, pii, quality, substring_dedup, topk, warc
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     pages = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf, "documents").select("doc_id", "text")))
