@@ -36,16 +36,13 @@ BUCKET_BYTES = 8 << 20
 BLOCKS = "block bigint, raw bigint, data binary"
 
 
-def _pack(text: str):
+def _pack(text: str, size: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         task = TaskContext.get().partitionId()
         number = 0
-        for batch in slices(batches, text, BLOCK_BYTES):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as writer:
-                writer.write_batch(batch)
-            data = squeeze.compress(sink.getvalue().to_pybytes())
+        for batch in slices(batches, text, size):
+            data = squeeze.compress(stream_bytes(batch))
             raw = int(text_lengths(batch.column(text)).sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(task << 32) + number], pa.int64()), pa.array([raw], pa.int64()), pa.array([data], pa.binary())],
@@ -56,9 +53,21 @@ def _pack(text: str):
     return pack
 
 
+def stream_bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def as_blocks(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
+    """The rows of ``df`` as compressed blocks, made anew whenever they are read."""
+    return df.mapInArrow(_pack(text, size or BLOCK_BYTES), BLOCKS)
+
+
 def to_blocks(df: DataFrame, text: str) -> DataFrame:
     """The rows of ``df`` as a written table of compressed blocks."""
-    return materialize(df.mapInArrow(_pack(text), BLOCKS), "blocks")
+    return materialize(as_blocks(df, text), "blocks")
 
 
 def open_block(data: bytes) -> pa.RecordBatch:

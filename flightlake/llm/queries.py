@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import html_text, ngram_join, packing, pii, quality, substring_dedup, topk, warc
+from flightlake.llm import chunk_bpe, html_text, ngram_join, packing, pii, quality, substring_dedup, topk, warc
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_personal_data")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query("op8_bpe_chunk_reuse")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return chunk_bpe.digest(chunk_bpe.encode(table(spark, sf, "documents").select("doc_id", "text")))
