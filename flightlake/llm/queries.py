@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import chunk_bpe, html_text, ngram_join, packing, pii, quality, substring_dedup, topk, warc
+from flightlake.llm import chunk_bpe, html_text, lm_score, ngram_join, packing, pii, quality, substring_dedup, topk, warc
 from flightlake.session import configure
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,9 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_bpe_chunk_reuse")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return chunk_bpe.digest(chunk_bpe.encode(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    good = table(spark, sf, "labels").where("quality = 1")
+    return lm_score.score(table(spark, sf, "documents"), good)
