@@ -51,15 +51,15 @@ LONG_LISTS = 1 << 16
 MOST_LIGHT = 64
 SKETCH_WORDS = 8
 
-PROFILE = "doc_id bigint, block bigint, n int, class bigint"
+PROFILE = "doc_id bigint, block bigint, row int, n int, class bigint"
 SETS = "class bigint, n int, g int, sketch array<bigint>, grams binary"
 
 
 class Sets:
     """Distinct n-gram hashes of each text of a block, one text after the other."""
 
-    def __init__(self, rows: pa.RecordBatch, size: int):
-        data, offsets = utf8_view(rows.column("text"))
+    def __init__(self, rows: pa.RecordBatch, size: int, text: str):
+        data, offsets = utf8_view(rows.column(text))
         data = W.LOWER[data]
         words = W.find_words(data, offsets)
         hashes = W.word_hashes(data, words)
@@ -84,15 +84,18 @@ class Sets:
         self.key = key.view(np.int64)
 
 
-def _profiles(size: int):
+def _profiles(size: int, id_column: str, text: str):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
                 rows = B.open_block(data.as_py())
-                sets = Sets(rows, size)
+                sets = Sets(rows, size, text)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array(np.full(rows.num_rows, block)), pa.array(sets.n, pa.int32()), pa.array(sets.key)],
-                    names=["doc_id", "block", "n", "class"],
+                    [
+                        rows.column(id_column).cast(pa.int64()), pa.array(np.full(rows.num_rows, block)),
+                        pa.array(range(rows.num_rows), pa.int32()), pa.array(sets.n, pa.int32()), pa.array(sets.key),
+                    ],
+                    names=["doc_id", "block", "row", "n", "class"],
                 )
 
     return profile
@@ -108,11 +111,11 @@ def _owned(sets: Sets, others: list[int] | None) -> np.ndarray:
     return ok & first
 
 
-def _gram_keys(size: int, buckets: int, shift: int):
+def _gram_keys(size: int, text: str, buckets: int, shift: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                sets = Sets(B.open_block(data.as_py()), size)
+                sets = Sets(B.open_block(data.as_py()), size, text)
                 own = np.repeat(_owned(sets, None), sets.n)
                 keys, twice, _ = B.distinct(_cut(sets.grams[own], shift))
                 yield from B.emitted(B.key_rows(block, keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
@@ -136,11 +139,11 @@ def may_miss(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
-def _shareable(size: int, buckets: int, shift: int, percent: int):
+def _shareable(size: int, text: str, buckets: int, shift: int, percent: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                sets = Sets(B.open_block(row["data"]), size)
+                sets = Sets(B.open_block(row["data"]), size, text)
                 own = _owned(sets, None)
                 keys, _, index = B.distinct(_cut(sets.grams[np.repeat(own, sets.n)], shift))
                 shared = np.zeros(len(sets.grams), bool)
@@ -301,42 +304,67 @@ def choose_boundary(sizes: dict[int, int], percent: int) -> int:
     return at
 
 
-def jaccard_components(
-    docs: DataFrame,
-    size: int = SIZE,
-    percent: int = PERCENT,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """doc_id, n_shingles, component_id and class of every row.
-
-    Two rows link when 100 * |A n B| >= percent * |A u B|; ``component_id`` is the
-    smallest id that links lead to, and ``class`` is equal for equal sets.
-    """
-    slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    stored = B.to_blocks(slim, "text")
+def _grouped(stored: DataFrame, size: int, percent: int, id_column: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(profile of every row, class and root of every class that links)."""
     buckets = B.bucket_count(stored)
     # Keys are cut to 18 bits more than tell all n-grams apart; a false hit only costs time.
     shift = max(0, 64 - 18 - (buckets * (B.BUCKET_BYTES // 4)).bit_length())
-    profile = materialize(stored.mapInArrow(_profiles(size), PROFILE), "profiles")
+    profile = materialize(stored.mapInArrow(_profiles(size, id_column, text), PROFILE), "profiles")
     full = profile.where("n > 0")
-    classes = full.groupBy("class").agg(F.min("doc_id").alias("least"), F.min("block").alias("owner"), F.count(F.lit(1)).alias("copies"))
+    owners = full.groupBy("class").agg(F.min("block").alias("owner"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     others = (
-        full.join(classes.where("copies > 1").select("class", "owner"), "class").where("block <> owner")
+        full.join(owners.select("class", "owner"), "class").where("block <> owner")
         .groupBy("block").agg(F.collect_set("class").alias("others"))
     )
-    bits = B.answers(B.shared_keys(stored.mapInArrow(_gram_keys(size, buckets, shift), B.KEYS)), "bits")
+    bits = B.answers(B.shared_keys(stored.mapInArrow(_gram_keys(size, text, buckets, shift), B.KEYS)), "bits")
     told = stored.join(bits, "block", "left").join(others, "block", "left")
-    sets = materialize(told.mapInArrow(_shareable(size, buckets, shift, percent), SETS), "sets")
+    sets = materialize(told.mapInArrow(_shareable(size, text, buckets, shift, percent), SETS), "sets")
 
     counted = sets.where(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()
     boundary = choose_boundary({r["n"]: r["count"] for r in counted}, percent)
     links = light_links(sets, percent, boundary).union(heavy_links(sets, percent, boundary))
-    roots = materialize(connected(links).withColumnRenamed("node", "class"), "roots")
+    return profile, materialize(connected(links).withColumnRenamed("node", "class"), "roots")
+
+
+def jaccard_components(
+    docs: DataFrame,
+    size: int = SIZE,
+    percent: int = PERCENT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """doc_id, n_shingles, component_id and class of every row.
+
+    Two rows link when 100 * |A n B| >= percent * |A u B|; ``component_id`` is the
+    smallest id that links lead to, and ``class`` is equal for equal sets.
+    """
+    stored = B.to_blocks(docs.select(id_column, text_column), text_column)
+    profile, roots = _grouped(stored, size, percent, id_column, text_column)
+    classes = profile.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     least = classes.join(roots, "class").groupBy("root").agg(F.min("least").alias("component_id"))
     joined = roots.join(least, "root").select("class", "component_id")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "least"))
-    named = classes.select("class", "least").join(joined, "class", "left")
+    named = classes.join(joined, "class", "left")
     return profile.join(named, "class", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), "class"
     )
+
+
+def _keeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield B.open_block(batch.column("data")[i].as_py()).take(pa.array(sorted(batch.column("kept")[i].as_py())))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group that links lead
+    through, the row with the smallest id stays (of equal ids the one stored first).
+    Rows without words are linked with nothing and stay."""
+    stored = B.to_blocks(docs, text_column)
+    profile, roots = _grouped(stored, size, percent, id_column, text_column)
+    roots = roots.select("class", "root")
+    group = profile.where("n > 0").join(roots, "class", "left").withColumn("group", F.coalesce("root", "class"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "block", "row")).alias("f")
+    kept = group.groupBy("group").agg(first).select("f.block", "f.row").union(profile.where("n = 0").select("block", "row"))
+    told = kept.groupBy("block").agg(F.collect_list("row").alias("kept"))
+    return stored.join(told, "block").select("data", "kept").mapInArrow(_keeper, docs.schema)
