@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.operators.numbering import number_rows
-from flightlake.operators.sizing import is_small
+from flightlake.operators.sizing import BROADCAST_BYTES, BROADCAST_ROWS
 from flightlake.schemas import CATEGORICAL, NUMERIC
 from flightlake.session import materialize
 
@@ -33,30 +33,41 @@ def fit_codes(df: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
     return materialize(codes, "codes")
 
 
-def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORICAL, small: bool | None = None) -> DataFrame:
+def small_columns(codes: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> set[str]:
+    """Columns whose own vocabulary is small enough to send to every executor."""
+    sizes = codes.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value") + F.lit(16)).alias("bytes")
+    )
+    return {r["column"] for r in sizes.collect() if r["n"] <= max_rows and r["bytes"] <= max_bytes}
+
+
+def apply_codes(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORICAL, small: set[str] | None = None) -> DataFrame:
     """Add ``<column>_code``; a value outside the vocabulary gets -1.
 
-    The vocabulary is broadcast when it was measured to be small (``small``
-    carries the answer of an earlier measuring), and joined by shuffle otherwise.
+    Each column's vocabulary is broadcast when it was measured to be small
+    (``small`` carries the answer of an earlier measuring), and joined by shuffle
+    otherwise; one large vocabulary does not make shuffles of the others.
     """
-    if small is None:
-        small = is_small(codes)
+    df = _with_codes(df, codes, columns, small)
+    return df.fillna(UNKNOWN, [f"{c}_code" for c in columns])
+
+
+def _with_codes(df: DataFrame, codes: DataFrame, columns: list[str], small: set[str] | None) -> DataFrame:
+    small = small_columns(codes) if small is None else small
     for column in columns:
         lookup = codes.filter(F.col("column") == column).select(
             F.col("value").alias(column), F.col("code").alias(f"{column}_code")
         )
-        df = df.join(F.broadcast(lookup) if small else lookup, column, "left")
-    return df.fillna(UNKNOWN, [f"{c}_code" for c in columns])
+        df = df.join(F.broadcast(lookup) if column in small else lookup, column, "left")
+    return df
 
 
-def string_indexer(columns: list[str] = CATEGORICAL) -> StringIndexer:
-    """All category columns in one fitted stage; unseen values get index n."""
-    return StringIndexer(
-        inputCols=columns,
-        outputCols=[f"{c}_index" for c in columns],
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    )
+def index_columns(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORICAL) -> DataFrame:
+    """Add ``<column>_index`` as a double; missing and unseen values get the number of known ones."""
+    known = {r["column"]: r["n"] for r in codes.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    coded = _with_codes(df, codes, columns, None)
+    index = {f"{c}_index": F.coalesce(F.col(f"{c}_code"), F.lit(known.get(c, 0))).cast("double") for c in columns}
+    return coded.withColumns(index).drop(*[f"{c}_code" for c in columns])
 
 
 def assembler(inputs: list[str] | None = None, output: str = "Features_vec") -> VectorAssembler:

@@ -8,15 +8,18 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.operators.encode import apply_codes, assembler, fit_codes
-from flightlake.operators.sizing import is_small, spread
-from flightlake.schemas import CATEGORICAL, LABEL
+from flightlake.operators.encode import apply_codes, assembler, fit_codes, small_columns
+from flightlake.schemas import CATEGORICAL, FEATURES, LABEL
 
 # Size and seed of the forest.
 TREES = 100
 DEPTH = 12
 SEED = 42
 
+# Rows in a piece of the training set.  Bagging draws per piece, so pieces must
+# depend on the rows alone, not on the cores.
+PIECE_ROWS = 50_000
+
 VECTOR = "Features_vec"
 SCORING_COLUMNS = [VECTOR, "rawPrediction", "probability", "indices", "values"]
 
@@ -31,7 +34,7 @@ class DelayModel:
     def __init__(self, codes: DataFrame, forest: PipelineModel):
         self.codes, self.forest = codes, forest
         # Measured once, not per micro-batch.
-        self._small = is_small(codes)
+        self._small = small_columns(codes)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add integer ``Prediction``; works on batch and streaming frames."""
@@ -71,7 +74,10 @@ def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEE
     ``df`` is read several times: give it a table.
     """
     codes = fit_codes(df)
-    vectors = assembler().transform(apply_codes(spread(df), codes)).select(VECTOR, LABEL)
+    columns = [*FEATURES, LABEL]
+    pieces = max(8, -(-df.count() // PIECE_ROWS))
+    dealt = df.repartition(pieces, F.xxhash64(*columns)).sortWithinPartitions(*columns)
+    vectors = assembler().transform(apply_codes(dealt, codes)).select(VECTOR, LABEL)
     # The forest passes over the vectors once per group of nodes.
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:

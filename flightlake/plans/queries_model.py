@@ -17,17 +17,17 @@ from flightlake.session import materialize, scratch_dir
 
 TRAINING_INPUT = [c for c in schemas.FEATURES if c != "Route"] + ["ArrDelay"]
 
-# A forest small enough to be fitted inside a check; the library default is
-# the full one (model.TREES, model.DEPTH).
-CHECK_TREES, CHECK_DEPTH = 10, 6
+
+def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    rows = materialize(training.training_set(views.flights(spark, sf, *TRAINING_INPUT)), "training")
+    return training.split_by_key(rows, [*schemas.FEATURES, schemas.LABEL])
 
 
 @functools.lru_cache(maxsize=4)
 def fitted(spark: SparkSession, sf: str) -> tuple[model.DelayModel, DataFrame]:
     """(model, test rows), trained once per session and folder."""
-    rows = materialize(training.training_set(views.flights(spark, sf, *TRAINING_INPUT)), "training")
-    train, test = training.split_by_key(rows, [*schemas.FEATURES, schemas.LABEL])
-    return model.train(train, CHECK_TREES, CHECK_DEPTH), test
+    train, test = _parts(spark, sf)
+    return model.train(train), test
 
 
 @query(
@@ -65,7 +65,7 @@ def _(spark, sf):
     rows = views.flights(spark, sf, "FlightNum", "Carrier", "Origin", "Dest").withColumn(
         "Route", features.route_or_null()
     )
-    indexed = encode.string_indexer().fit(rows).transform(rows)
+    indexed = encode.index_columns(rows, encode.fit_codes(rows))
     return indexed.select("FlightNum", *[f"{c}_index" for c in schemas.CATEGORICAL])
 
 
@@ -122,20 +122,29 @@ def _(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query("rf_train")
-def _(spark, sf):
-    fitted_model, _test = fitted(spark, sf)
-    forest = fitted_model.forest.stages[-1]
-    importance = forest.featureImportances.toArray().tolist()
-    names = [*schemas.NUMERIC, *[f"{c}_code" for c in schemas.CATEGORICAL]]
-    return spark.createDataFrame(
-        list(zip(names, importance)), "feature string, importance double"
-    )
-
-
 # The test rows: a hash of all columns in the last fifth.
 _KEY = " || '|' || ".join(f'CAST("{c}" AS VARCHAR)' for c in [*schemas.FEATURES, schemas.LABEL])
-_TEST_ROWS = f"""SELECT * FROM training WHERE CAST('0x' || substr(md5({_KEY}), 1, 8) AS BIGINT) >= 0.8 * 4294967296"""
+_SHARE = f"""CAST('0x' || substr(md5({_KEY}), 1, 8) AS BIGINT)"""
+_TEST_ROWS = f"""SELECT * FROM training WHERE {_SHARE} >= 0.8 * 4294967296"""
+
+
+@query(
+    "rf_train",
+    f"""SELECT "ArrDelayBucket", CAST(count(*) AS BIGINT) AS n, 100 AS trees, 12 AS depth, 9 AS features, 1.0::DOUBLE AS importance
+        FROM training WHERE {_SHARE} < 0.8 * 4294967296 GROUP BY "ArrDelayBucket" """,
+    "training",
+)
+def _(spark, sf):
+    """Trains here, not through the cache: training rows per class, and the forest that they made."""
+    train, _test = _parts(spark, sf)
+    forest = model.train(train).forest.stages[-1]
+    importance = forest.featureImportances.toArray()
+    deepest = max(tree.depth for tree in forest.trees)
+    return train.groupBy(schemas.LABEL).agg(F.count(F.lit(1)).alias("n")).select(
+        schemas.LABEL, "n", F.lit(forest.getNumTrees).alias("trees"),
+        F.lit(forest.getMaxDepth() if deepest <= forest.getMaxDepth() else deepest).alias("depth"),
+        F.lit(forest.numFeatures).alias("features"), F.lit(round(float(importance.sum()), 9)).alias("importance"),
+    )
 
 
 @query("rf_score_batch", f"SELECT *, true AS scored FROM ({_TEST_ROWS})", "training")
