@@ -52,12 +52,14 @@ def fill_or_fail(lines: DataFrame, column: str = "value") -> DataFrame:
 
     It needs the text because an absent key and an explicit null differ.  The
     model inputs are in the plain columns, the values echoed to the caller in
-    the ``echo_`` ones.
+    the ``echo_`` ones, the text itself and why it failed in ``message`` and
+    ``reason``.
     """
     fields = F.col("_fields")
     parsed = parsed_once(lines, _fields=F.from_json(F.col(column), "map<string,string>"))
     typed = parsed.select(
         "_fields",
+        F.col(column).alias("message"),
         *[_text(fields, c).alias(c) for c in TEXT_DEFAULTS],
         *[_number(fields, c, 0).alias(c) for c in NUMBER_DEFAULTS],
         *[_number(fields, c, DAY_DEFAULT).try_cast("int").alias(c) for c in DAY_FIELDS],
@@ -67,14 +69,15 @@ def fill_or_fail(lines: DataFrame, column: str = "value") -> DataFrame:
         ],
     )
     numbers = [*NUMBER_DEFAULTS, *DAY_FIELDS]
-    failed = F.col("_fields").isNull()
+    unread = F.col("_fields").isNull()
+    failed = unread
     for name in numbers:
         failed = failed | F.col(name).isNull()
-    return (
-        typed.withColumn("failed", failed).withColumn("Route", route_or_null()).drop("_fields")
-    )
+    wrong = F.concat_ws(", ", *[F.when(F.col(n).isNull(), F.lit(f"{n} is no number")) for n in numbers])
+    reason = F.when(unread, F.lit("no JSON object")).when(failed, wrong)
+    return typed.withColumns({"failed": failed, "reason": reason, "Route": route_or_null()}).drop("_fields")
 
 
 def split_failed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows to score, rejected rows)."""
-    return df.filter(~F.col("failed")).drop("failed"), df.filter("failed")
+    """(rows to score, rejected messages with the reason)."""
+    return df.filter(~F.col("failed")).drop("failed", "message", "reason"), df.filter("failed").select("message", "reason")

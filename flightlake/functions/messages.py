@@ -55,7 +55,7 @@ def extract_paths(df: DataFrame, paths: Mapping[str, str], column: str = "value"
     return parsed_once(df, **scalars).select(*paths).na.drop("any")
 
 
-def emit_json(df: DataFrame, columns: list[str], keep_nulls: bool = False) -> DataFrame:
-    """One JSON ``value`` column; null fields are dropped unless ``keep_nulls``."""
+def emit_json(df: DataFrame, columns: list[str], *keep: str, keep_nulls: bool = False) -> DataFrame:
+    """One JSON ``value`` column, beside those to keep; null fields are dropped unless ``keep_nulls``."""
     options = {"ignoreNullFields": "false" if keep_nulls else "true"}
-    return df.select(F.to_json(F.struct(*columns), options).alias("value"))
+    return df.select(F.to_json(F.struct(*columns), options).alias("value"), *keep)

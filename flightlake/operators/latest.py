@@ -14,11 +14,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     """Newest row per key.
 
     ``max_by`` combines on the map side, so a hot key reaches its reducer as
-    one row per task; no window ever holds all versions of a key.
+    one row per task; no window ever holds all versions of a key.  Rows that are
+    equally new are told apart by their other values, so the answer does not
+    depend on the order in which tasks end.
     """
     rest = [c for c in df.columns if c not in keys]
+    # maps have no order
+    ties = [f.name for f in df.schema if f.name in rest and f.name not in order and "map<" not in f.dataType.simpleString()]
     newest = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+        F.max_by(F.struct(*rest), F.struct(*order, *ties)).alias("_row")
     )
     return newest.select(*keys, "_row.*").select(*df.columns)
 
@@ -62,6 +66,10 @@ def prediction_rows(lines: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def store_predictions(lines: DataFrame) -> DataFrame:
-    """The prediction table after all messages: one row per id, the latest one."""
-    return latest_per_key(prediction_rows(lines), ["uuid"], ["timestamp"])
+def store_predictions(lines: DataFrame, arrival: list[str]) -> DataFrame:
+    """The prediction table after all messages: one row per id, the one that arrived last.
+
+    ``arrival`` names the columns beside ``value`` that say when a message came
+    (an offset, or file and line); the time inside a message does not count.
+    """
+    return latest_per_key(prediction_rows(lines, *arrival), ["uuid"], arrival).drop(*arrival)

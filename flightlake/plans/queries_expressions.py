@@ -218,14 +218,15 @@ def _(spark, sf):
 
 @query(
     "drop_failed",
-    """SELECT CASE WHEN event_id % 97 = 0 THEN 'rejected' ELSE 'kept' END AS part, CAST(count(*) AS BIGINT) AS n
-       FROM events GROUP BY 1""",
+    """SELECT 'kept' AS part, NULL AS message, NULL AS reason, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_id % 97 <> 0
+       UNION ALL SELECT 'rejected', 'not json', 'no JSON object', CAST(count(*) AS BIGINT) FROM events WHERE event_id % 97 = 0""",
 )
 def _(spark, sf):
     # One pass over the messages: the failure mark is the grouping key.
     marked = defaults.fill_or_fail(views.request_lines(spark, sf))
     part = F.when(F.col("failed"), "rejected").otherwise("kept").alias("part")
-    return marked.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    message = F.when(F.col("failed"), F.col("message")).alias("message")
+    return marked.groupBy(part, message, "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

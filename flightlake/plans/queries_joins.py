@@ -72,7 +72,7 @@ def _(spark, sf):
     return joins.airline_profile(views.airlines(spark, sf), fleets)
 
 
-_LATEST = """SELECT "UUID", max_by("Prediction", "Timestamp") AS {name} FROM {view} GROUP BY "UUID" """
+_LATEST = """SELECT "UUID", max_by("Prediction", "Offset") AS {name} FROM {view} GROUP BY "UUID" """
 
 
 @query(
@@ -84,7 +84,7 @@ _LATEST = """SELECT "UUID", max_by("Prediction", "Timestamp") AS {name} FROM {vi
 )
 def dual_engine_match(spark, sf):
     return joins.engine_match(
-        views.predictions_a(spark, sf), views.predictions_b(spark, sf), ["Timestamp"]
+        views.predictions_a(spark, sf), views.predictions_b(spark, sf), ["Offset"]
     )
 
 
@@ -97,7 +97,7 @@ def dual_engine_match(spark, sf):
     "predictions_a", "predictions_b",
 )
 def _(spark, sf):
-    stored = store_predictions(emit_json(views.predictions_b(spark, sf), MESSAGE_COLUMNS))
+    stored = store_predictions(emit_json(views.predictions_b(spark, sf), MESSAGE_COLUMNS, "Offset"), ["Offset"])
     asked = views.predictions_a(spark, sf).select("UUID").distinct()
     return joins.request_status(asked, stored)
 
@@ -155,33 +155,46 @@ def _(spark, sf):
 
 @query(
     "manufacturer_series",
-    """SELECT "Manufacturer", CAST(count(*) AS BIGINT) AS "Total" FROM airplanes GROUP BY "Manufacturer" """,
+    """WITH t AS (SELECT "Manufacturer", CAST(count(*) AS BIGINT) AS "Total" FROM airplanes GROUP BY "Manufacturer"),
+       r AS (SELECT *, row_number() OVER (ORDER BY "Manufacturer") - 1 AS at, count(*) OVER () AS n FROM t)
+       SELECT 'Manufacturer' AS series, CAST(at // 10000 AS BIGINT) AS "Part", CAST(at % 10000 AS INTEGER) AS at,
+         CAST(least(n - at // 10000 * 10000, 10000) AS INTEGER) AS n, "Manufacturer", "Total" FROM r""",
     "airplanes",
 )
 def _(spark, sf):
     nested = aggregates.manufacturer_series(views.airplanes(spark, sf))
-    return nested.select(F.explode("data").alias("d")).select("d.*")
+    items = nested.select("series", "Part", F.size("data").alias("n"), F.posexplode("data").alias("at", "d"))
+    return items.select("series", "Part", "at", "n", "d.*")
 
 
-_PER_AIRPLANE = """SELECT "TailNum", "Carrier", "FlightDate", "FlightNum", "Origin", "Dest" FROM flights"""
+# Parts hold at most 10,000 flights of their own tail number, counted from its first.
+_PER_AIRPLANE = """WITH r AS (SELECT "TailNum", "Carrier", "FlightDate", "FlightNum", "Origin", "Dest",
+    row_number() OVER (PARTITION BY "TailNum" ORDER BY "FlightDate", "FlightNum", "Carrier", "Origin", "Dest" NULLS LAST) - 1 AS k,
+    count(*) OVER (PARTITION BY "TailNum") AS n FROM flights)
+  SELECT "TailNum", CAST(k // 10000 AS BIGINT) AS "Part", CAST(k % 10000 AS INTEGER) AS at,
+    CAST(least(n - k // 10000 * 10000, 10000) AS INTEGER) AS n, "Carrier", "FlightDate", "FlightNum", "Origin", "Dest" FROM r"""
 
 
 @query("flights_per_airplane", _PER_AIRPLANE, "flights")
 def flights_per_airplane(spark, sf):
     rows = views.flights(spark, sf, "TailNum", *aggregates.FLIGHT_FIELDS)
     nested = aggregates.flights_per_airplane(rows)
-    return nested.select("TailNum", F.explode("Flights").alias("f")).select("TailNum", "f.*")
+    items = nested.select("TailNum", "Part", F.size("Flights").alias("n"), F.posexplode("Flights").alias("at", "f"))
+    return items.select("TailNum", "Part", "at", "n", "f.*")
 
 
 @query(
     "airplanes_per_carrier",
-    """SELECT DISTINCT f."Carrier", f."TailNum", n."FleetCount" FROM flights f JOIN (SELECT "Carrier",
-       CAST(count(DISTINCT "TailNum") AS BIGINT) AS "FleetCount" FROM flights GROUP BY "Carrier") n ON f."Carrier" = n."Carrier" """,
+    """SELECT "Carrier", "TailNum", CAST(k // 10000 AS BIGINT) AS "Part", CAST(k % 10000 AS INTEGER) AS at,
+         CAST(least(n - k // 10000 * 10000, 10000) AS INTEGER) AS n, n AS "FleetCount" FROM
+         (SELECT *, row_number() OVER (PARTITION BY "Carrier" ORDER BY "TailNum") - 1 AS k, count(*) OVER (PARTITION BY "Carrier") AS n
+          FROM (SELECT DISTINCT "Carrier", "TailNum" FROM flights))""",
     "flights",
 )
 def _(spark, sf):
     nested = aggregates.airplanes_per_carrier(views.flights(spark, sf, "Carrier", "TailNum"))
-    return nested.select("Carrier", F.explode("TailNumbers").alias("TailNum"), "FleetCount")
+    items = F.posexplode("TailNumbers").alias("at", "TailNum")
+    return nested.select("Carrier", "Part", F.size("TailNumbers").alias("n"), items, "FleetCount")
 
 
 @query("carrier_list", """SELECT DISTINCT "Carrier" FROM flights""", "flights")

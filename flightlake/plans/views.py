@@ -125,11 +125,15 @@ def _predictions(events: DataFrame, prediction: Column) -> DataFrame:
         F.col("event_type").alias("Carrier"),
         F.col("value").alias("DepDelay"),
         iso_text(F.col("ts")).alias("Timestamp"),
+        # Place in the topic: of every third pair the older answer comes last.
+        F.when(
+            F.floor(F.col("event_id") / 2) % 3 == 0, F.col("event_id") + 1 - 2 * (F.col("event_id") % 2)
+        ).otherwise(F.col("event_id")).alias("Offset"),
     )
 
 
 def predictions_a(spark: SparkSession, sf: str) -> DataFrame:
-    """Results of the first engine: two per request id, the later one counts."""
+    """Results of the first engine: two per request id, the one that arrived last counts."""
     return _predictions(table(spark, sf, "events"), F.col("event_id") % 4)
 
 
@@ -234,7 +238,8 @@ def manifest_copy(spark: SparkSession, sf: str) -> DataFrame:
 _PREDICTION_SQL = """
 SELECT 'req-' || CAST(event_id // 2 AS VARCHAR) AS "UUID", CAST({prediction} AS DOUBLE) AS "Prediction",
   'O' || CAST(user_id % 25 AS VARCHAR) AS "Origin", 'D' || CAST(event_id % 25 AS VARCHAR) AS "Dest",
-  event_type AS "Carrier", value AS "DepDelay", strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "Timestamp"
+  event_type AS "Carrier", value AS "DepDelay", strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "Timestamp",
+  CASE WHEN event_id // 2 % 3 = 0 THEN event_id + 1 - 2 * (event_id % 2) ELSE event_id END AS "Offset"
 FROM events {where}"""
 
 # SQL text of each view, in dependency order.
