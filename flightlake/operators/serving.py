@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from flightlake.functions.labels import batch_label
-from flightlake.operators.numbering import number_rows
 
 # Page sizes.
 FLIGHTS_PER_PAGE = 15
@@ -21,8 +20,10 @@ AIRPLANE_SEARCH_FIELDS = [
     "SerialNumber", "EngineManufacturer", "EngineModel",
 ]
 
-# Up to here a page is a top-k; deeper pages are cut from a numbered table.
-SHALLOW_ROWS = 10_000
+# A page is cut from a slice of the order with about this many rows at most.
+SLICE_ROWS = 10_000
+# Bounds that divide a slice, and how many sampled keys they are chosen from.
+SLICES, SAMPLE = 32, 2048
 
 
 def _ordered(df: DataFrame, first: list[str]) -> list[Column]:
@@ -63,13 +64,62 @@ def matching(df: DataFrame, args: Mapping[str, str | None], fields: list[str]) -
     return df
 
 
+def _key(df: DataFrame, first: list[str]) -> Column:
+    """The total order as one comparable value; nulls last."""
+    names = [*first, *[c for c in df.columns if c not in first]]
+    cells = [cell for c in names for cell in (F.col(c).isNull(), F.col(c))]
+    return F.struct(*[cell.alias(f"k{i}") for i, cell in enumerate(cells)])
+
+
+def paged(df: DataFrame, order: list[str], start: int, size: int) -> tuple[DataFrame, int]:
+    """(``size`` rows from ``start`` on in a total order, number of all rows).
+
+    The part of the order that holds the page is narrowed down: sampled keys
+    divide it into slices, one aggregation counts the rows of each, and the
+    slices around the page are divided again, until few rows are left to sort.
+    The number of passes grows with the logarithm of the table.  No row is
+    written or shuffled but those of the last slice, whatever the offset.
+    """
+    total = df.count()
+    key, rows, left = _key(df, order), df, total
+    skip = start
+    while left > SLICE_ROWS and skip < left:
+        sample = rows.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
+        keys = [r["k"] for r in sample.distinct().orderBy("k").collect()]
+        # each bound begins a slice; the last one ends the order
+        bounds = [_literal(k, df, key) for k in keys[:: max(1, len(keys) // SLICES)][1:]]
+        if not bounds:
+            break
+        at = F.size(F.filter(F.array(*bounds), lambda b: b <= key))
+        counts = {r["at"]: r["n"] for r in rows.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        before, chosen = 0, []
+        for slice_no in range(len(bounds) + 1):
+            n = counts.get(slice_no, 0)
+            if before + n > skip and before < skip + size:
+                chosen.append((slice_no, before, n))
+            before += n
+        inside = sum(n for _, _, n in chosen)
+        if inside == left:
+            break
+        low, high = chosen[0][0], chosen[-1][0]
+        if low > 0:
+            rows = rows.filter(key >= bounds[low - 1])
+        if high < len(bounds):
+            rows = rows.filter(key < bounds[high])
+        skip, left = skip - chosen[0][1], inside
+    return rows.orderBy(*_ordered(df, order)).offset(skip).limit(size), total
+
+
+def _literal(value: Row, df: DataFrame, key: Column) -> Column:
+    """A collected key as a constant of the key's type."""
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, kind.fields)]
+    return F.struct(*cells)
+
+
 def page(df: DataFrame, order: list[str], start: int, size: int) -> DataFrame:
     """``size`` rows from ``start`` on, in a total order."""
-    keys = _ordered(df, order)
-    if start + size <= SHALLOW_ROWS:
-        return df.orderBy(*keys).offset(start).limit(size)
-    numbered = number_rows(df, keys)
-    return numbered.filter((F.col("row_no") > start) & (F.col("row_no") <= start + size)).drop("row_no")
+    return paged(df, order, start, size)[0]
 
 
 def flight_search(flights: DataFrame, args: Mapping[str, str | None], start: int = 0) -> DataFrame:
@@ -82,12 +132,14 @@ def airplane_search(airplanes: DataFrame, args: Mapping[str, str | None], start:
     return page(matching(airplanes, args, AIRPLANE_SEARCH_FIELDS), ["Owner"], start, AIRPLANES_PER_PAGE)
 
 
-def search_total(matches: DataFrame, shown: DataFrame) -> DataFrame:
-    """Records on the page and matches in all; a page past the end reports 0 in all."""
-    everything = matches.agg(F.count(F.lit(1))).scalar()
-    return shown.agg(F.count(F.lit(1)).alias("records")).withColumn(
-        "total", F.when(F.col("records") == 0, F.lit(0).cast("bigint")).otherwise(everything)
-    )
+def search_total(matches: DataFrame, start: int, size: int) -> DataFrame:
+    """Records on the page and matches in all; a page past the end reports 0 in all.
+
+    Both numbers come from the count that the page needs anyway.
+    """
+    total = matches.count()
+    records = max(0, min(size, total - start))
+    return matches.sparkSession.createDataFrame([(records, total if records else 0)], "records bigint, total bigint")
 
 
 def nav_offsets(pages: DataFrame, step: int) -> DataFrame:

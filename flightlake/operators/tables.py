@@ -14,12 +14,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.functions.messages import parsed_once
-from flightlake.operators.numbering import number_rows
 from flightlake.operators.serving import page
 from flightlake.operators.sizing import broadcast_if_small
+from flightlake.session import materialize
 from flightlake.sources.loads import CORRUPT, TAB_NAMES, accept, file_path, parse_strict
 
 # --- writing -----------------------------------------------------------------
@@ -101,16 +102,27 @@ def updated_schema(
     fields = []
     for field in current:
         optional = field.name not in given or given[field.name].nullable
+        if field.name in given and given[field.name].dataType != field.dataType:
+            raise ValueError(f"column {field.name} is {field.dataType.simpleString()}, not {given[field.name].dataType.simpleString()}")
         if optional and not field.nullable and not allow_relaxation:
             raise ValueError(f"column {field.name} is required")
         fields.append(T.StructField(field.name, field.dataType, field.nullable or optional))
     return T.StructType([*fields, *[T.StructField(f.name, f.dataType, True) for f in added]])
 
 
-def append_updating(current: DataFrame, incoming: DataFrame, **allowed: bool) -> DataFrame:
-    """Both tables' rows in the updated schema."""
-    updated_schema(current.schema, incoming.schema, **allowed)
-    return current.unionByName(incoming, allowMissingColumns=True)
+def append_updating(
+    incoming: DataFrame, path: str, current: T.StructType, **allowed: bool
+) -> tuple[DataFrame, T.StructType]:
+    """Append to the table at ``path``, whose schema may change as far as allowed.
+
+    Files keep no column that is not theirs: older rows read as null in columns
+    that came later.  The table is read back in the updated schema, which is
+    returned as well; a table's required columns are part of its schema, not of
+    its files, so the caller keeps it.
+    """
+    schema = updated_schema(current, incoming.schema, **allowed)
+    write_table(incoming, path, "append")
+    return incoming.sparkSession.read.schema(schema).parquet(path), schema
 
 
 # --- partitions --------------------------------------------------------------
@@ -147,7 +159,8 @@ def range_partition(df: DataFrame, spec: str, into: str = "bucket_start") -> Dat
         raise ValueError("expected field,start,end,interval")
     field, (start, end, step) = parts[0], map(int, parts[1:])
     value = F.col(field)
-    bucket = F.lit(start) + F.floor((value - start) / step) * step
+    # whole-number division: a double cannot hold every value above 2**53
+    bucket = value - F.pmod(value - F.lit(start), F.lit(step))
     return df.withColumn(into, F.when((value >= start) & (value < end), bucket).cast("bigint"))
 
 
@@ -290,8 +303,23 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
     )
+    # A block's lines follow each other in one task, so ids grow by one inside it.
+    # Lines are not shuffled: only counts per block and per file are added up.
     placed = lines.withColumn("_id", F.monotonically_increasing_id())
-    return number_rows(placed, ["_file", "_block", "_id"], "line_no").select("value", "line_no")
+    blocks = placed.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    blocks = materialize(blocks, "line_blocks")
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    files = blocks.groupBy("_file").agg(F.sum("_lines").alias("_lines")).select(
+        "_file", F.coalesce(F.sum("_lines").over(before.orderBy("_file")), F.lit(0)).alias("_before")
+    )
+    inside = F.coalesce(F.sum("_lines").over(before.partitionBy("_file").orderBy("_block")), F.lit(0))
+    starts = materialize(
+        blocks.withColumn("_inside", inside).join(files, "_file")
+        .select("_file", "_block", (F.col("_before") + F.col("_inside") - F.col("_first") + 1).alias("_shift")),
+        "line_starts",
+    )
+    numbered = placed.join(broadcast_if_small(starts), ["_file", "_block"])
+    return numbered.select("value", (F.col("_id") + F.col("_shift")).alias("line_no"))
 
 
 def insert_rows(
@@ -303,7 +331,7 @@ def insert_rows(
     ignore_unknown: bool = False,
     template_suffix: str = "",
 ) -> DataFrame:
-    """Append JSON lines (``value, line_no``) to a table; returns the table without repeats.
+    """Append JSON lines (``value, line_no``) to a table; returns the table, which holds no repeats.
 
     With ``insert_id`` each row is known as ``<insert_id>_<line number>``, so
     lines sent again change nothing.  One bad row fails the whole request,
@@ -319,10 +347,16 @@ def insert_rows(
     rows = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT) if skip_invalid else accept(parsed)
     known_as = F.concat(F.lit(f"{insert_id}_"), F.col("line_no").cast("string")) if insert_id else F.lit(None).cast("string")
     target = path + template_suffix
-    rows.withColumn("insert_id", known_as).drop("line_no").write.mode("append").parquet(target)
-    stored = lines.sparkSession.read.parquet(target)
-    with_id = stored.filter("insert_id is not null").dropDuplicates(["insert_id"])
-    return with_id.unionByName(stored.filter("insert_id is null"))
+    rows = rows.withColumn("insert_id", known_as).drop("line_no")
+    stored = existing(lines.sparkSession, target)
+    if insert_id:
+        rows = rows.dropDuplicates(["insert_id"])
+        if stored is not None:
+            # ids of this request only, so the join reads one narrow column of the table
+            known = stored.select("insert_id").filter(F.col("insert_id").startswith(f"{insert_id}_"))
+            rows = rows.join(known, "insert_id", "left_anti").select(*rows.columns)
+    rows.write.mode("append").parquet(target)
+    return lines.sparkSession.read.schema(rows.schema).parquet(target)
 
 
 # --- queries -----------------------------------------------------------------
@@ -346,8 +380,19 @@ _OPEN_ENDS = {"UNBOUNDED", "NULL"}
 
 def _struct_fields(text: str) -> list[tuple[str, str]]:
     """``a INT64, b ARRAY<STRING>`` as pairs; commas inside brackets do not split."""
+    parts, depth = [""], 0
+    for c in text:
+        depth += (c == "<") - (c == ">")
+        if depth < 0:
+            break
+        if c == "," and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += c
+    if depth:
+        raise ValueError(f"brackets do not match: {text!r}")
     pairs = []
-    for part in re.findall(r"(?:[^,<>]|<(?:[^<>]|<[^<>]*>)*>)+", text):
+    for part in parts:
         name, _, kind = part.strip().partition(" ")
         if not kind:
             raise ValueError(f"struct field without a name: {part!r}")

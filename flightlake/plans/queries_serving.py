@@ -85,8 +85,8 @@ def _(spark, sf):
     matches = serving.matching(flights, _SEARCH, serving.FLIGHT_SEARCH_FIELDS)
 
     def totals(start):
-        shown = serving.page(matches, serving.FLIGHT_ORDER, start, serving.FLIGHTS_PER_PAGE)
-        return serving.search_total(matches, shown).select(F.lit(start).alias("start"), "records", "total")
+        found = serving.search_total(matches, start, serving.FLIGHTS_PER_PAGE)
+        return found.select(F.lit(start).alias("start"), "records", "total")
 
     return totals(15).unionByName(totals(9000))
 

@@ -61,8 +61,8 @@ def _(spark, sf):
 
 @query(
     "stream_reject",
-    f"""SELECT 'answered' AS part, "UUID", "Carrier", "DepDelay" FROM ({_ECHO})
-        UNION ALL SELECT 'rejected', NULL, NULL, NULL FROM requests WHERE event_id % 97 = 0""",
+    f"""SELECT 'answered' AS part, "UUID", "Carrier", "DepDelay", NULL AS message, NULL AS reason FROM ({_ECHO})
+        UNION ALL SELECT 'rejected', NULL, NULL, NULL, 'not json', 'no JSON object' FROM requests WHERE event_id % 97 = 0""",
     "requests",
 )
 def _(spark, sf):
@@ -71,22 +71,33 @@ def _(spark, sf):
     jobs.drain(jobs.start_rejecting(_request_topic(spark, sf), model, good, bad, state))
     answers = messages.parse_messages(spark.read.schema("value string").parquet(good), schemas.PREDICTION)
     answered = answers.select(F.lit("answered").alias("part"), "UUID", "Carrier", "DepDelay")
-    rejected = spark.read.schema("failed boolean").parquet(bad)
+    rejected = spark.read.schema("message string, reason string").parquet(bad)
     return answered.unionByName(
-        rejected.select(F.lit("rejected").alias("part")), allowMissingColumns=True
+        rejected.select(F.lit("rejected").alias("part"), "message", "reason"), allowMissingColumns=True
     )
 
 
-_NEWEST = """SELECT "UUID" AS uuid, CAST(CAST(max_by("Prediction", "Timestamp") AS BIGINT) AS VARCHAR) || '.0' AS prediction,
-  max_by("Carrier", "Timestamp") AS carrier, max_by("DepDelay", "Timestamp") AS dep_delay FROM predictions_a GROUP BY "UUID" """
+_NEWEST = """SELECT "UUID" AS uuid, CAST(CAST(max_by("Prediction", "Offset") AS BIGINT) AS VARCHAR) || '.0' AS prediction,
+  max_by("Carrier", "Offset") AS carrier, max_by("DepDelay", "Offset") AS dep_delay FROM predictions_a GROUP BY "UUID" """
+
+
+def _stored_in_parts(spark, sf, compacted):
+    """Two parts of the topic, stored one after the other; the second holds answers that are older by their own time."""
+    topic, table, state = _paths(spark, "topic", "table", "state")
+    answers = views.predictions_a(spark, sf)
+    early = F.col("Offset") % 2 == 0
+    for part in (answers.filter(early), answers.filter(~early)):
+        writers.write_topic(messages.emit_json(part, jobs.MESSAGE_COLUMNS), topic)
+        jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
+        if compacted:
+            jobs.compact_predictions(spark, table)
+    return jobs.stored_predictions(spark, table).select("uuid", "prediction", "carrier", "dep_delay")
 
 
 @query("stream_upsert", _NEWEST, "predictions_a")
 def _(spark, sf):
-    table, state = _paths(spark, "table", "state")
-    topic = _prediction_topic(spark, views.predictions_a(spark, sf))
-    jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
-    return jobs.stored_predictions(spark, table).select("uuid", "prediction", "carrier", "dep_delay")
+    """Compacted between the parts: readers go on from the compacted table."""
+    return _stored_in_parts(spark, sf, compacted=True)
 
 
 @query(
@@ -120,41 +131,36 @@ def _(spark, sf):
     """Prints a few rows per micro-batch; the result counts the messages read."""
     topic = _prediction_topic(spark, views.predictions_a(spark, sf))
     parsed = messages.parse_messages(readers.read_topic(spark, topic), schemas.PREDICTION)
-    printed = jobs.start_console(parsed, jobs.DRAIN, rows=1)
-    jobs.drain(printed)
-    read = sum(progress["numInputRows"] for progress in printed.recentProgress)
-    return spark.createDataFrame([(read,)], "printed_from bigint")
+    counts = scratch_dir(spark, "counts")
+    jobs.drain(jobs.start_console(parsed, jobs.DRAIN, rows=1, counts=counts))
+    return spark.read.schema("messages bigint").parquet(counts).agg(F.sum("messages").alias("printed_from"))
 
 
 @query(
     "stream_dual_match",
-    """SELECT 'evt-' || CAST(event_id AS VARCHAR) AS "UUID", CAST(event_id % 4 AS DOUBLE) AS first_prediction,
-       CASE WHEN event_type <> 'error' THEN CAST(user_id % 4 AS DOUBLE) END AS second_prediction FROM events""",
+    """SELECT 'evt-' || CAST(event_id AS VARCHAR) AS "UUID",
+       CAST(CASE WHEN event_id % 5 = 0 THEN 9 ELSE event_id % 4 END AS DOUBLE) AS first_prediction,
+       CASE WHEN event_type <> 'error' OR event_id % 7 = 0 THEN CAST(user_id % 4 AS DOUBLE) END AS second_prediction FROM events""",
 )
 def _(spark, sf):
-    """Both engines' answers per event; one late closing message lets the watermarks pass them all."""
+    """Both engines' answers per event; a second part repeats some answers and brings others late."""
     events = views.table(spark, sf, "events")
-    closing = events.agg(F.max("ts").alias("ts")).select(
-        F.lit("closing").alias("UUID"), iso_text(F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("Timestamp"),
-        F.lit(0.0).alias("Prediction"),
-    )
 
-    def stream(rows, prediction):
-        answers = rows.select(
-            F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("UUID"),
-            iso_text(F.col("ts")).alias("Timestamp"), prediction.cast("double").alias("Prediction"),
-        ).unionByName(closing)
-        topic = scratch_dir(spark, "answers")
-        writers.write_topic(messages.emit_json(answers, ["UUID", "Timestamp", "Prediction"]), topic)
-        parsed = messages.parse_messages(readers.read_topic(spark, topic), schemas.PREDICTION)
-        return parsed.withColumn("ts", F.try_to_timestamp("Timestamp"))
+    def store(name, *parts):
+        topic, table, state = _paths(spark, f"{name}-topic", f"{name}-answers", f"{name}-state")
+        for rows, prediction in parts:
+            answers = rows.select(
+                F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("UUID"),
+                iso_text(F.col("ts")).alias("Timestamp"), prediction.cast("double").alias("Prediction"),
+            )
+            writers.write_topic(messages.emit_json(answers, ["UUID", "Timestamp", "Prediction"]), topic)
+            jobs.drain(jobs.start_answers(readers.read_topic(spark, topic), table, state))
+        return table
 
-    first = stream(events, F.col("event_id") % 4)
-    second = stream(events.filter("event_type <> 'error'"), F.col("user_id") % 4)
-    out, state = _paths(spark, "matched", "state")
-    jobs.drain(jobs.start_files(jobs.match_streams(first, second), out, state, fmt="parquet"))
-    matched = spark.read.schema("UUID string, first_prediction double, second_prediction double").parquet(out)
-    return matched.filter("UUID <> 'closing'")
+    first = store("first", (events, F.col("event_id") % 4), (events.filter("event_id % 5 = 0"), F.lit(9)))
+    late = F.expr("event_type = 'error' AND event_id % 7 = 0")
+    second = store("second", (events.filter("event_type <> 'error'"), F.col("user_id") % 4), (events.filter(late), F.col("user_id") % 4))
+    return jobs.matched_answers(spark, first, second)
 
 
 @query(
@@ -168,33 +174,29 @@ def _(spark, sf):
     out, state = _paths(spark, "index", "state")
     answered = readers.read_topic(spark, _prediction_topic(spark, views.predictions_a(spark, sf)))
     rows = jobs.index_rows(_request_topic(spark, sf), answered)
-    jobs.drain(jobs.start_files(rows, out, state, fmt="parquet", partition_by="event_date"))
+    jobs.drain(jobs.start_daily(rows, out, state))
     kind = (
         F.when(F.col("UUID").isNull(), "broken").when(F.col("Prediction").isNull(), "asked").otherwise("answered")
     )
-    stored = spark.read.schema("UUID string, Prediction double, event_date string").parquet(out)
+    stored = spark.read.schema("UUID string, Prediction double, batch_id bigint, event_date string").parquet(out)
     # A message without a readable time is filed under the day it arrived.
     day = F.when(kind == "broken", "today").otherwise(F.col("event_date"))
     return stored.groupBy(day.alias("event_date"), kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_refresh_dim", "SELECT * FROM distances", "distances")
+@query("stream_refresh_dim", """SELECT "Origin", "Dest", "Distance" + 1 AS "Distance" FROM distances""", "distances")
 def _(spark, sf):
-    """The route file is loaded twice; the table is the same after each load."""
-    feed, table, state = _paths(spark, "feed", "table", "state")
-    for _load in range(2):
-        writers.write_topic(messages.emit_json(views.distances(spark, sf), ["Origin", "Dest", "Distance"]), feed)
-        jobs.drain(jobs.start_refresh(readers.read_topic(spark, feed), table, state, jobs.DRAIN))
-    return jobs.newest(spark, table, schemas.DISTANCE, ["Origin", "Dest"], [])
+    """The route files change under the same names; the second reload sees the new distances."""
+    feed, table = _paths(spark, "feed", "table")
+    routes = views.distances(spark, sf)
+    for extra in (0, 1):
+        lines = messages.emit_json(routes.withColumn("Distance", F.col("Distance") + extra), ["Origin", "Dest", "Distance"])
+        lines.write.mode("overwrite").text(feed)
+        stored = jobs.reload_distances(spark, feed, table)
+    return stored
 
 
 @query("stream_checkpoint", _NEWEST, "predictions_a")
 def _(spark, sf):
     """Stopped after part of the topic and started again from the checkpoint."""
-    topic, table, state = _paths(spark, "topic", "table", "state")
-    answers = views.predictions_a(spark, sf)
-    early = F.col("Timestamp") < "2024-01-12"
-    for part in (answers.filter(early), answers.filter(~early)):
-        writers.write_topic(messages.emit_json(part, jobs.MESSAGE_COLUMNS), topic)
-        jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
-    return jobs.stored_predictions(spark, table).select("uuid", "prediction", "carrier", "dep_delay")
+    return _stored_in_parts(spark, sf, compacted=False)

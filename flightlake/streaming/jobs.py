@@ -15,9 +15,12 @@ from flightlake.functions import defaults, messages
 from flightlake.functions.clocks import parse_any
 from flightlake.functions.features import route_or_null
 from flightlake.operators.aggregates import union_topics
+from flightlake.operators.joins import engine_match
 from flightlake.operators.latest import latest_per_key, prediction_rows
 from flightlake.operators.model import SCORING_COLUMNS, DelayModel
+from flightlake.operators.tables import existing
 from flightlake.session import scratch_dir
+from flightlake.sources.loads import file_path
 from flightlake.sources.writers import event_day
 
 # How often a job checkpoints and how often the route file is reloaded.
@@ -90,11 +93,19 @@ def start_kafka(df: DataFrame, topic: str, servers: str, checkpoint: str, trigge
     )
 
 
-def start_console(df: DataFrame, trigger: Trigger = POLL, rows: int = 20) -> StreamingQuery:
-    """Print the first rows of every micro-batch for debugging."""
-    writer = df.writeStream.format("console").option("numRows", str(rows)).outputMode("append")
-    state = scratch_dir(df.sparkSession, "console")
-    return writer.option("checkpointLocation", state).trigger(**trigger).start()
+def start_console(df: DataFrame, trigger: Trigger = POLL, rows: int = 20, counts: str | None = None) -> StreamingQuery:
+    """Print the first rows of every micro-batch for debugging.
+
+    Only those rows reach the driver.  With ``counts`` the number of messages
+    of each micro-batch is stored there.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.limit(rows).show(rows)
+        if counts:
+            write_batch(batch.agg(F.count(F.lit(1)).alias("messages")), counts, batch_id)
+
+    return start_batches(df, handle, scratch_dir(df.sparkSession, "console"), trigger)
 
 
 def start_memory(df: DataFrame, name: str, trigger: Trigger = DRAIN) -> StreamingQuery:
@@ -159,42 +170,110 @@ def start_upsert(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = D
     return start_batches(df, lambda batch, n: write_batch(batch, path, n), checkpoint, trigger)
 
 
+def _base(path: str) -> str:
+    return f"{path.rstrip('/')}-base"
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, int]:
+    """(rows of the newest compacted table and of later micro-batches, last compacted batch)."""
+    rows = read_batches(spark, path, schema)
+    base = existing(spark, _base(path))
+    upto = base.agg(F.max("upto")).first()[0] if base is not None else None
+    if upto is None:
+        return rows, -1
+    with_id = T.StructType([*schema.fields, T.StructField("upto", T.LongType())])
+    kept = spark.read.schema(with_id).parquet(_base(path)).filter(F.col("upto") == upto)
+    later = rows.filter(F.col("batch_id") > upto)
+    return kept.withColumnRenamed("upto", "batch_id").unionByName(later), upto
+
+
 def newest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str]) -> DataFrame:
-    """The upserted table: newest row per key, a tie goes to the later micro-batch."""
-    return latest_per_key(read_batches(spark, path, schema), keys, [*order, "batch_id"]).drop("batch_id")
+    """The upserted table: per key the row of the last micro-batch, within one the last by ``order``.
+
+    Reads the newest compacted table and only the micro-batches after it.
+    """
+    return latest_per_key(_stored(spark, path, schema)[0], keys, ["batch_id", *order]).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str]) -> int:
+    """Store one row per key up to the last micro-batch; readers go on from there.
+
+    Returns that micro-batch.  A compaction that was cut short left no complete
+    table under its number and is written again.
+    """
+    rows, done = _stored(spark, path, schema)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    if last is None or last == done:
+        return done
+    kept = latest_per_key(rows.filter(F.col("batch_id") <= last), keys, ["batch_id", *order]).drop("batch_id")
+    dated = kept.withColumn("upto", F.lit(last).cast("bigint")).write.mode("overwrite")
+    dated.option("partitionOverwriteMode", "dynamic").partitionBy("upto").parquet(_base(path))
+    return last
+
+
+# When a message arrived inside its micro-batch: file and line of a folder topic.
+ARRIVAL = (
+    T.StructType().add("arrived", T.TimestampType()).add("file", T.StringType())
+    .add("block", T.LongType()).add("line", T.LongType())
+)
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """A folder topic's messages with the file they came in."""
+    found = F.col("_metadata.file_modification_time").alias("arrived")
+    return lines.select("value", found, file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
 
+def start_placed(lines: DataFrame, rows: Callable[..., DataFrame], path: str, checkpoint: str, trigger: Trigger = DRAIN) -> StreamingQuery:
+    """Store ``rows(messages, *arrival columns)`` of every micro-batch with the messages' arrival."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        numbered = batch.withColumn("line", F.monotonically_increasing_id())
+        write_batch(rows(numbered, *ARRIVAL.fieldNames()), path, batch_id)
+
+    return start_batches(_placed(lines), handle, checkpoint, trigger)
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str], into: str) -> DataFrame:
-    """Rewrite the upserted table with one row per key, for cheaper reads."""
-    newest(spark, path, schema, keys, order).write.mode("overwrite").parquet(into)
-    return spark.read.schema(schema).parquet(into)
+
+def _with_arrival(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, *ARRIVAL.fields])
 
 
 def stored_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Keyed prediction table from the stored micro-batches of a result topic."""
-    return newest(spark, path, schemas.STORED_PREDICTION, ["uuid"], ["timestamp"])
+    """Keyed prediction table from the stored messages of a result topic: the last that arrived."""
+    arrival = ARRIVAL.fieldNames()
+    return newest(spark, path, _with_arrival(schemas.STORED_PREDICTION), ["uuid"], arrival).drop(*arrival)
+
+
+def compact_predictions(spark: SparkSession, path: str) -> int:
+    return compact(spark, path, _with_arrival(schemas.STORED_PREDICTION), ["uuid"], ARRIVAL.fieldNames())
 
 
 def start_storing(lines: DataFrame, path: str, checkpoint: str, trigger: Trigger = DRAIN) -> StreamingQuery:
     """Store a result topic; :func:`stored_predictions` reads it one row per id."""
-    return start_upsert(prediction_rows(lines), path, checkpoint, trigger)
+    return start_placed(lines, prediction_rows, path, checkpoint, trigger)
+
+
+_ANSWER = T.StructType().add("UUID", T.StringType()).add("Prediction", T.DoubleType())
+
+
+def start_answers(lines: DataFrame, path: str, checkpoint: str, trigger: Trigger = DRAIN) -> StreamingQuery:
+    """Store one engine's answers; nothing waits and nothing is late."""
+
+    def answers(batch: DataFrame, *keep: str) -> DataFrame:
+        parsed = batch.select(F.from_json("value", _ANSWER).alias("d"), *keep)
+        return parsed.select("d.*", *keep).filter("UUID is not null")
 
+    return start_placed(lines, answers, path, checkpoint, trigger)
 
-def match_streams(first: DataFrame, second: DataFrame, late: str = "10 minutes", within: str = "10 minutes") -> DataFrame:
-    """Two result streams side by side by id; each side needs ``UUID, ts, Prediction``.
 
-    An answer waits ``within`` for the other engine's; the watermarks bound the
-    state, and an answer left alone is emitted when they have passed it.
+def matched_answers(spark: SparkSession, first: str, second: str) -> DataFrame:
+    """Both engines' last answers side by side, of everything stored so far.
+
+    An answer that comes late replaces or completes its row at the next read.
     """
-    a = first.select(F.col("UUID").alias("a_id"), F.col("ts").alias("a_ts"), F.col("Prediction").alias("first_prediction"))
-    b = second.select(F.col("UUID").alias("b_id"), F.col("ts").alias("b_ts"), F.col("Prediction").alias("second_prediction"))
-    near = F.expr(
-        f"a_id = b_id AND b_ts >= a_ts - INTERVAL {within} AND b_ts <= a_ts + INTERVAL {within}"
-    )
-    joined = a.withWatermark("a_ts", late).join(b.withWatermark("b_ts", late), near, "full_outer")
-    return joined.select(
-        F.coalesce("a_id", "b_id").alias("UUID"), "first_prediction", "second_prediction"
-    )
+    order = ["batch_id", *ARRIVAL.fieldNames()]
+    sides = [_stored(spark, path, _with_arrival(_ANSWER))[0] for path in (first, second)]
+    return engine_match(*sides, order)
 
 
 def index_rows(requests: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -210,7 +289,32 @@ def index_rows(requests: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def start_refresh(lines: DataFrame, path: str, checkpoint: str, trigger: Trigger | None = None) -> StreamingQuery:
-    """Reload route distances as new files arrive; keyed, so a reload changes nothing."""
-    rows = messages.parse_messages(lines, schemas.DISTANCE).na.drop("any")
-    return start_upsert(rows, path, checkpoint, trigger or {"processingTime": REFRESH_EVERY})
+def start_daily(rows: DataFrame, path: str, checkpoint: str, trigger: Trigger = DRAIN) -> StreamingQuery:
+    """Store log rows by micro-batch and day; a day's rows share files, as in the batch twin."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        dated = batch.hint("rebalance", "event_date").write.mode("overwrite")
+        dated.partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
+
+    return start_batches(rows, handle, checkpoint, trigger)
+
+
+def reload_distances(spark: SparkSession, feed: str, path: str) -> DataFrame:
+    """Read all route files anew, also those that changed under the same name.
+
+    Of several lines for a route the one in the newest file counts, then the
+    last.  The table is replaced.
+    """
+    placed = _placed(spark.read.text(feed)).withColumn("line", F.monotonically_increasing_id())
+    arrival = ARRIVAL.fieldNames()
+    parsed = placed.select(F.from_json("value", schemas.DISTANCE).alias("d"), *arrival).select("d.*", *arrival)
+    routes = latest_per_key(parsed.na.drop("any"), ["Origin", "Dest"], arrival).drop(*arrival)
+    routes.write.mode("overwrite").parquet(path)
+    return spark.read.schema(routes.schema).parquet(path)
+
+
+def start_refresh(spark: SparkSession, feed: str, path: str, checkpoint: str, trigger: Trigger | None = None) -> StreamingQuery:
+    """Reload the route distances at every trigger, by default once an hour."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
+    reload = lambda _ticks, _batch_id: reload_distances(spark, feed, path)
+    return start_batches(ticks, reload, checkpoint, trigger or {"processingTime": REFRESH_EVERY})

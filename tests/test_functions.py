@@ -79,7 +79,10 @@ def test_second_policy_absent_null_and_zero(spark):
     )
     out = defaults.fill_or_fail(lines)
     good, bad = defaults.split_failed(out)
-    assert bad.count() == 3
+    assert rows(bad) == sorted([
+        ('{"UUID":"u2","Carrier":"AA","Origin":"A","Dest":"B","Distance":"far"}', "Distance is no number"),
+        ("not json", "no JSON object"), ("[1]", "no JSON object"),
+    ])
     got = rows(good, "echo_UUID", "Carrier", "Origin", "Route", "DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "echo_Carrier")
     assert got == sorted(
         [("u1", "None", "", "-", 2.5, 0.0, 7, 1, None), ("", "", "", "-", 0.0, 0.0, 1, 1, "")], key=str

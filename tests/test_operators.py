@@ -36,9 +36,12 @@ def test_lists_of_a_hot_key_are_bounded_and_whole(spark):
     )
     lists = groups.bounded_lists(df, ["key"], ["v"], "vs", max_rows=100).cache()
     assert lists.agg(F.max(F.size("vs"))).first()[0] <= 100
+    # keys below the bound are one row each, whatever other keys hold
+    short = lists.filter("key <> 'hot'").collect()
+    assert len(short) == 50 and {(r.Part, len(r.vs)) for r in short} == {(0, 40)}
     assert rows(lists.select("key", F.explode("vs"))) == rows(df)
     hot = lists.filter("key = 'hot'").orderBy("Part").collect()
-    assert len(hot) >= 10 and [v for r in hot for v in r.vs] == list(range(1000))
+    assert [(r.Part, len(r.vs)) for r in hot] == [(i, 100) for i in range(10)] and [v for r in hot for v in r.vs] == list(range(1000))
 
 
 def test_batches_hold_exactly_n_rows(spark):
@@ -65,11 +68,26 @@ def test_stored_prediction_texts(spark):
         '{"UUID":"w","DepDelay":"late"}', '{"UUID":"w","Prediction":null}', '{"UUID":"w","Timestamp":"soon"}',
         '{"Prediction":1}', "not json",
     ]
-    out = latest.store_predictions(spark.createDataFrame([(t,) for t in texts], "value string"))
+    out = latest.store_predictions(spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, at int"), ["at"])
     got = rows(out.withColumn("timestamp", F.col("timestamp").cast("string")), "uuid", "prediction", "timestamp", "dep_delay")
     assert got == [("u", "2.0", "2016-12-25 10:00:00", 0.0), ("v", "0.0", None, 1.0)]
 
 
+def test_the_last_to_arrive_counts_whatever_its_time(spark):
+    texts = [f'{{"UUID":"u","Prediction":{n},"Timestamp":"2024-01-0{t}T00:00:00Z"}}' for n, t in ((1, 2), (2, 1))]
+    for order in (texts, texts[::-1]):
+        lines = spark.createDataFrame([(t, i) for i, t in enumerate(order)], "value string, at int")
+        last = "2.0" if order is texts else "1.0"
+        assert rows(latest.store_predictions(lines, ["at"]), "prediction") == [(last,)]
+
+
+def test_equal_order_does_not_leave_the_answer_open(spark):
+    cells = [("u", 1, "b"), ("u", 1, "a"), ("u", 1, None)]
+    for order in (cells, cells[::-1]):
+        df = spark.createDataFrame(order, "key string, at int, v string").coalesce(1)
+        assert rows(latest.latest_per_key(df, ["key"], ["at"])) == [("u", 1, "b")]
+
+
 def test_type_suffixes_are_no_numbers(spark):
     forms = spark.createDataFrame([("5",), ("5d",), ("1e3",), ("-2.5f",), ("",)], "DepDelay string")
     got = requests.typed_form(forms, {"DepDelay": "double"}).collect()
@@ -81,11 +99,19 @@ def test_unknown_and_null_categories_get_minus_one(spark):
     codes = encode.fit_codes(known, ["Carrier"])
     assert rows(codes, "value", "code") == [("a", 0), ("b", 1), ("c", 2)]
     asked = spark.createDataFrame([("a",), ("zz",), (None,)], "Carrier string")
-    for small in (True, False):
+    for small in ({"Carrier"}, set()):
         got = rows(encode.apply_codes(asked, codes, ["Carrier"], small), "Carrier", "Carrier_code")
         assert got == sorted([("a", 0), ("zz", -1), (None, -1)], key=str)
 
 
+def test_each_vocabulary_is_measured_by_itself(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("Route"), (F.col("id") % 3).cast("string").alias("Carrier"))
+    codes = encode.fit_codes(df, ["Route", "Carrier"])
+    assert encode.small_columns(codes, max_rows=100) == {"Carrier"}
+    indexed = encode.index_columns(spark.createDataFrame([("2", None), ("x", "0")], "Carrier string, Route string"), codes, ["Carrier", "Route"])
+    assert rows(indexed, "Carrier_index", "Route_index") == [(2.0, 200.0), (3.0, 0.0)]
+
+
 def test_broadcast_only_below_the_measured_limit(spark):
     side = spark.range(100)
     assert sizing.is_small(side) and not sizing.is_small(side, max_rows=99)
@@ -138,17 +164,23 @@ FLIGHTS = [("A", "2016-12-25", i) for i in range(20)]
 
 def test_page_past_the_end_reports_no_matches(spark):
     df = spark.createDataFrame(FLIGHTS, "Carrier string, FlightDate string, DepTime int")
-    first = serving.page(df, ["DepTime"], 15, 15)
-    assert serving.search_total(df, first).first()[:] == (5, 20)
-    past = serving.page(df, ["DepTime"], 30, 15)
-    assert serving.search_total(df, past).first()[:] == (0, 0)
-
-
-def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
-    df = spark.range(300).select((F.col("id") * 7 % 10).alias("k"), F.col("id").alias("v"))
-    shallow = [tuple(r) for r in serving.page(df, ["k"], 95, 10).collect()]
-    monkeypatch.setattr(serving, "SHALLOW_ROWS", 50)
-    assert rows(serving.page(df, ["k"], 95, 10)) == sorted(shallow, key=str)
+    shown, total = serving.paged(df, ["DepTime"], 15, 15)
+    assert (shown.count(), total) == (5, 20)
+    assert serving.search_total(df, 15, 15).first()[:] == (5, 20)
+    assert serving.page(df, ["DepTime"], 30, 15).count() == 0
+    assert serving.search_total(df, 30, 15).first()[:] == (0, 0)
+
+
+@pytest.mark.parametrize("start", [0, 95, 1234, 2995, 3000])
+def test_pages_are_cut_from_slices(spark, monkeypatch, start):
+    monkeypatch.setattr(serving, "SLICE_ROWS", 40)
+    monkeypatch.setattr(serving, "SLICES", 5)
+    hot = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") * 7 % 10).cast("string"))
+    df = spark.range(3000).select(hot.alias("k"), F.when(F.col("id") < 900, 0.5).otherwise(F.col("id") / 7).alias("v")).repartition(5)
+    cells = sorted(((r.k is None, r.k or "", r.v) for r in df.collect()))
+    want = [(None if none else k, v) for none, k, v in cells[start : start + 10]]
+    shown, total = serving.paged(df, ["k"], start, 10)
+    assert [tuple(r) for r in shown.collect()] == want and total == 3000
 
 
 def test_search_ignores_case_and_empty_arguments(spark):

@@ -44,7 +44,7 @@ def test_rejecting_batch_answers_and_rejects(spark, model):
         [("not json",), ('{"UUID":"u","Carrier":null,"DepDelay":3}',), ('{"UUID":"v","DepDelay":"x"}',)], "value string"
     )
     good, bad = jobs.score_or_reject(lines, model)
-    assert bad.count() == 2
+    assert rows(bad) == [("not json", "no JSON object"), ('{"UUID":"v","DepDelay":"x"}', "DepDelay is no number")]
     answer = good.first().value
     assert '"UUID":"u"' in answer and '"Carrier":null' in answer and '"DepDelay":3.0' in answer
 
@@ -66,34 +66,66 @@ def test_replayed_batch_is_not_stored_twice(spark, tmp_path):
     jobs.write_batch(later, table, 1)
     assert jobs.read_batches(spark, table, schemas.PREDICTION).count() == 2
     # same time stamp: the later micro-batch counts
-    newest = jobs.newest(spark, table, schemas.PREDICTION, ["UUID"], ["Timestamp"])
-    assert rows(newest, "UUID", "Prediction") == [("u", 2.0)]
-    small = jobs.compact(spark, table, schemas.PREDICTION, ["UUID"], ["Timestamp"], str(tmp_path / "small"))
-    assert small.count() == 1
+    def newest():
+        return rows(jobs.newest(spark, table, schemas.PREDICTION, ["UUID"], ["Timestamp"]), "UUID", "Prediction")
+
+    assert newest() == [("u", 2.0)]
+    for _ in range(2):
+        assert jobs.compact(spark, table, schemas.PREDICTION, ["UUID"], ["Timestamp"]) == 1
+    assert newest() == [("u", 2.0)]
+    # an older time in a later micro-batch still counts, before and after compaction
+    jobs.write_batch(batch.withColumn("Timestamp", F.lit("2023-01-01T00:00:00")).withColumn("Prediction", F.lit(3.0)), table, 2)
+    assert newest() == [("u", 3.0)]
+    assert jobs.compact(spark, table, schemas.PREDICTION, ["UUID"], ["Timestamp"]) == 2 and newest() == [("u", 3.0)]
 
 
 def test_upsert_stream_equals_batch(spark, tmp_path):
     topic, table, state = (str(tmp_path / n) for n in ("topic", "table", "state"))
     answers = views.predictions_a(spark, SF)
-    writers.write_topic(messages.emit_json(answers, jobs.MESSAGE_COLUMNS).repartition(6), topic)
-    stream = readers.read_topic(spark, topic, files_per_batch=1)
-    jobs.drain(jobs.start_storing(stream, table, state))
-    batch = latest.store_predictions(messages.emit_json(answers, jobs.MESSAGE_COLUMNS))
+    for part in (0, 1):
+        own = answers.filter(F.col("Offset") % 2 == part)
+        writers.write_topic(messages.emit_json(own, jobs.MESSAGE_COLUMNS).repartition(3), topic)
+        jobs.drain(jobs.start_storing(readers.read_topic(spark, topic, files_per_batch=1), table, state))
+    batch = latest.store_predictions(messages.emit_json(answers, jobs.MESSAGE_COLUMNS, "Offset"), ["Offset"])
     assert rows(jobs.stored_predictions(spark, table)) == rows(batch)
 
 
-def test_unmatched_answer_waits_for_the_watermark(spark, tmp_path):
-    def answers(name, *cells):
-        path = str(tmp_path / name)
-        df = spark.createDataFrame(cells, "UUID string, ts string, Prediction double")
-        df.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(path)
-        return spark.readStream.schema("UUID string, ts timestamp, Prediction double").parquet(path)
-
-    first = answers("a", ("both", "2024-01-01 00:00:00", 1.0), ("alone", "2024-01-01 00:01:00", 2.0), ("late", "2024-01-02 00:00:00", 0.0))
-    second = answers("b", ("both", "2024-01-01 00:05:00", 3.0), ("late", "2024-01-02 00:00:00", 0.0))
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    jobs.drain(jobs.start_files(jobs.match_streams(first, second), out, state, fmt="parquet"))
-    assert rows(spark.read.parquet(out)) == [("alone", 2.0, None), ("both", 1.0, 3.0), ("late", 0.0, 0.0)]
+def test_last_line_of_a_file_counts(spark, tmp_path):
+    topic, table, state = (str(tmp_path / n) for n in ("topic", "table", "state"))
+    lines = [f'{{"UUID":"u","Prediction":{n},"Timestamp":"2024-01-0{t}T00:00:00"}}' for n, t in ((1, 2), (2, 1), (3, 1))]
+    spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.text(topic)
+    jobs.drain(jobs.start_storing(readers.read_topic(spark, topic), table, state))
+    assert rows(jobs.stored_predictions(spark, table), "uuid", "prediction") == [("u", "3.0")]
+
+
+def test_late_and_repeated_answers_are_matched(spark, tmp_path):
+    def store(name, *parts):
+        topic, table, state = (str(tmp_path / f"{name}-{n}") for n in ("topic", "table", "state"))
+        for part in parts:
+            _topic(spark, topic, *[f'{{"UUID":"{u}","Prediction":{p}}}' for u, p in part], "not json")
+            jobs.drain(jobs.start_answers(readers.read_topic(spark, topic), table, state))
+        return table
+
+    first = store("a", [("both", 1.0), ("alone", 2.0)], [("both", 4.0)])
+    second = store("b", [("both", 3.0)], [("late", 0.0)])
+    got = rows(jobs.matched_answers(spark, first, second))
+    assert got == [("alone", 2.0, None), ("both", 4.0, 3.0), ("late", None, 0.0)]
+
+
+def test_routes_are_reloaded_at_every_trigger(spark, tmp_path):
+    feed, table, state = (str(tmp_path / n) for n in ("feed", "table", "state"))
+    _topic(spark, feed, '{"Origin":"A","Dest":"B","Distance":5}', '{"Origin":"A"}')
+    query = jobs.start_refresh(spark, feed, table, state, {"once": True})
+    jobs.drain(query)
+    assert rows(spark.read.parquet(table)) == [("A", "B", 5.0)]
+
+
+def test_console_counts_its_messages(spark, tmp_path, capsys):
+    topic, counts = str(tmp_path / "topic"), str(tmp_path / "counts")
+    _topic(spark, topic, *[f"message {i}" for i in range(50)])
+    jobs.drain(jobs.start_console(readers.read_topic(spark, topic), jobs.DRAIN, rows=2, counts=counts))
+    assert capsys.readouterr().out.count("message") == 2
+    assert spark.read.parquet(counts).agg(F.sum("messages")).first()[0] == 50
 
 
 def test_fanout_and_debug_sinks(spark, tmp_path):

@@ -132,6 +132,8 @@ def test_schema_updates_need_permission(spark):
     loose = T.StructType([T.StructField("k", T.LongType(), True)])
     assert tables.updated_schema(need, more, allow_addition=True).fieldNames() == ["k", "v"]
     assert tables.updated_schema(need, loose, allow_relaxation=True)["k"].nullable
+    with pytest.raises(ValueError, match="column k is"):
+        tables.updated_schema(need, T.StructType([T.StructField("k", T.StringType(), False)]))
     for incoming in (more, loose):
         with pytest.raises(ValueError):
             tables.updated_schema(need, incoming)
@@ -214,6 +216,9 @@ def test_inserting_twice_changes_nothing(spark, tmp_path):
     for _ in range(2):
         stored = tables.insert_rows(lines, schema, path, "job")
     assert rows(stored, "k", "insert_id") == [(1, "job_1"), (1, "job_2")]
+    # the files themselves hold no repeats, also when a request repeats a line
+    again = tables.insert_rows(lines.unionByName(lines), schema, path, "other")
+    assert spark.read.parquet(path).count() == again.count() == 4
     for _ in range(2):
         stored = tables.insert_rows(lines, schema, path + "2")
     assert stored.count() == 4
@@ -241,7 +246,8 @@ def test_query_parameters(spark):
     assert [str(v) for v in got] == ["6", "x", "None", "2020-01-01", "None", "2.0", "True", "1.25", "y", "2020"]
     positional = tables.query_args([":INT64:2", "::z"])
     assert spark.sql("SELECT ? * 2, ?", args=positional).first()[:] == (4, "z")
-    for wrong in (["a"], ["n:INT64:1", ":INT64:2"]):
+    assert tables._struct_fields("a ARRAY<STRUCT<b ARRAY<INT64>, c INT64>>, d INT64") == [("a", "ARRAY<STRUCT<b ARRAY<INT64>, c INT64>>"), ("d", "INT64")]
+    for wrong in (["a"], ["n:INT64:1", ":INT64:2"], ["s:STRUCT<a ARRAY<INT64>:{}"]):
         with pytest.raises(ValueError):
             tables.query_args(wrong)
 
