@@ -156,9 +156,9 @@ def _(spark, sf):
 @query(
     "manufacturer_series",
     """WITH t AS (SELECT "Manufacturer", CAST(count(*) AS BIGINT) AS "Total" FROM airplanes GROUP BY "Manufacturer"),
-       r AS (SELECT *, row_number() OVER (ORDER BY "Manufacturer") - 1 AS at, count(*) OVER () AS n FROM t)
-       SELECT 'Manufacturer' AS series, CAST(at // 10000 AS BIGINT) AS "Part", CAST(at % 10000 AS INTEGER) AS at,
-         CAST(least(n - at // 10000 * 10000, 10000) AS INTEGER) AS n, "Manufacturer", "Total" FROM r""",
+       r AS (SELECT *, row_number() OVER (ORDER BY "Manufacturer") - 1 AS k, count(*) OVER () AS n FROM t)
+       SELECT 'Manufacturer' AS series, CAST(k // 10000 AS BIGINT) AS "Part", CAST(k % 10000 AS INTEGER) AS at,
+         CAST(least(n - k // 10000 * 10000, 10000) AS INTEGER) AS n, "Manufacturer", "Total" FROM r""",
     "airplanes",
 )
 def _(spark, sf):
