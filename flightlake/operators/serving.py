@@ -84,8 +84,9 @@ def paged(df: DataFrame, order: list[str], start: int, size: int) -> tuple[DataF
     key, rows, left = _key(df, order), df, total
     skip = start
     while left > SLICE_ROWS and skip < left:
-        sample = rows.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SAMPLE)
-        keys = [r["k"] for r in sample.distinct().orderBy("k").collect()]
+        # bounds only divide the work: any sample will do, and its size is fixed by the share
+        sample = rows.select(key.alias("k")).sample(min(1.0, SAMPLE / left), seed=left)
+        keys = [r["k"] for r in sample.distinct().orderBy("k").limit(2 * SAMPLE).collect()]
         # each bound begins a slice; the last one ends the order
         bounds = [_literal(k, df, key) for k in keys[:: max(1, len(keys) // SLICES)][1:]]
         if not bounds:

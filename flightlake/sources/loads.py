@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,25 +63,36 @@ def _typed(text: Column, kind: T.DataType, date_format: str | None, timestamp_fo
     return text.try_cast(kind)
 
 
-def _skip_leading(rows: DataFrame, count: int) -> DataFrame:
-    """Drop the first ``count`` rows of every file.
+def _lines_after(spark: SparkSession, path: str | list[str], count: int, encoding: str) -> DataFrame:
+    """Text lines of every file but its first ``count`` ones, blank lines counted.
 
-    Row ids grow by one inside a file's first block, so the smallest id of that
-    block, one value per file, tells which rows lead.  No file is read by one
+    Line ids grow by one inside a file's first block, so the smallest id of that
+    block, one value per file, tells which lines lead.  No file is read by one
     task for this.
     """
-    placed = rows.select(
-        "*",
+    if encoding.upper().replace("-", "") != "UTF8":
+        raise ValueError("leading lines are skipped in UTF-8 files only")
+    placed = spark.read.text(path).select(
+        "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     ).withColumn("_id", F.monotonically_increasing_id())
     firsts = placed.filter("_block = 0").groupBy("_file").agg(F.min("_id").alias("_first"))
     leading = (F.col("_block") == 0) & (F.col("_id") - F.col("_first") < count)
-    return (
-        placed.join(broadcast_if_small(firsts), "_file", "left")
-        .filter(~F.coalesce(leading, F.lit(False)))
-        .drop("_file", "_block", "_id", "_first")
-    )
+    kept = placed.join(broadcast_if_small(firsts), "_file", "left").filter(~F.coalesce(leading, F.lit(False)))
+    return kept.select("value")
+
+
+def _parse_lines(lines: DataFrame, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """CSV lines as typed rows with the corrupt mark; blank lines are no records."""
+    with_corrupt = _with_corrupt(schema)
+    named = {"columnNameOfCorruptRecord": CORRUPT, **{k: v for k, v in options.items() if k not in ("multiLine", "encoding")}}
+    parsed = parsed_once(lines.filter(F.trim("value") != ""), d=F.from_csv("value", _ddl(with_corrupt), named))
+    return parsed.select("d.*")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
 def load_csv(
@@ -92,13 +105,16 @@ def load_csv(
     skip_rows: int = 0,
     quoted_newlines: bool = False,
     null_markers: Sequence[str] = ("",),
-    jagged: bool = True,
+    jagged: bool = False,
     date_format: str | None = None,
     timestamp_format: str | None = None,
     time_zone: str | None = None,
 ) -> DataFrame:
     """Delimited text as typed rows, bad records kept in ``_corrupt_record``.
 
+    A record with too few columns is bad, unless ``jagged`` rows are allowed;
+    then it is good if the values that it has can be read.
+
     With ``quoted_newlines`` a file is read by one task, because record borders
     cannot be found from its middle: keep such files small.
     """
@@ -120,13 +136,15 @@ def load_csv(
         read_schema = schema
     else:
         read_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    if skip_rows == 1:
-        options["header"] = "true"
-    rows = spark.read.options(**options).schema(_with_corrupt(read_schema)).csv(path)
-    if skip_rows > 1:
-        rows = _skip_leading(rows, skip_rows)
+    if skip_rows and not quoted_newlines:
+        rows = _parse_lines(_lines_after(spark, path, skip_rows, encoding), read_schema, options)
+    else:
+        if skip_rows > 1:
+            raise ValueError("with quoted line breaks only one leading line can be skipped")
+        options["header"] = str(skip_rows == 1).lower()
+        rows = spark.read.options(**options).schema(_with_corrupt(read_schema)).csv(path)
     if jagged:
-        rows = rows.withColumn(CORRUPT, F.when(~_is_short(schema, options["sep"], quote), F.col(CORRUPT)))
+        rows = rows.withColumn(CORRUPT, F.when(~_is_short(read_schema, options["sep"], quote, null_markers), F.col(CORRUPT)))
     if plain:
         return rows
     texts = rows.withColumns(
@@ -140,14 +158,25 @@ def load_csv(
     return texts.select(*[v.alias(n) for n, v in typed.items()], found.alias(CORRUPT))
 
 
-def _is_short(schema: T.StructType, sep: str, quote: str) -> Column:
-    """Whether a flagged record merely lacks trailing columns."""
+def _is_short(schema: T.StructType, sep: str, quote: str, null_markers: Sequence[str]) -> Column:
+    """Whether a flagged record merely lacks trailing columns.
+
+    A value that is there, stands for no null and still reads as null did not
+    convert, and leaves the record bad.
+    """
     text = F.col(CORRUPT)
     if quote:
         mark = re.escape(quote)
-        text = F.regexp_replace(text, f"{mark}[^{mark}]*{mark}", "")
-    columns = F.char_length(text) - F.char_length(F.replace(text, F.lit(sep), F.lit(""))) + 1
-    return F.coalesce(columns < len(schema), F.lit(False))
+        bare = F.regexp_replace(text, f"{mark}[^{mark}]*{mark}", mark)
+    else:
+        bare = text
+    cells = F.split(bare, re.escape(sep))
+    unread = F.lit(False)
+    for i, field in enumerate(schema):
+        if not isinstance(field.dataType, T.StringType):
+            given = F.coalesce(F.get(cells, F.lit(i)), F.lit(""))
+            unread = unread | (~given.isin(["", *null_markers]) & F.col(field.name).isNull())
+    return F.coalesce((F.size(cells) < len(schema)) & ~unread, F.lit(False))
 
 
 def load_json(spark: SparkSession, path: str | list[str], schema: T.StructType, ignore_unknown: bool = True) -> DataFrame:
@@ -237,12 +266,42 @@ def column_names(df: DataFrame, character_map: str = "STRICT") -> DataFrame:
 
 
 def load_csv_matched(spark: SparkSession, path: str, schema: T.StructType, match: str = "POSITION", delimiter: str = ",") -> DataFrame:
-    """Columns of a file with a header, matched to the schema by position or by name."""
+    """Columns of files with a header, matched to the schema by position or by name.
+
+    By name, each file's own header says where its columns are; columns that
+    the schema does not have are left out, columns that a file does not have are
+    null.  A value that does not convert makes its record bad.
+    """
     if match == "POSITION":
         return load_csv(spark, path, schema, delimiter, skip_rows=1)
-    reader = spark.read.option("header", "true").option("sep", delimiter).option("escape", '"')
-    named = reader.csv(path)
-    return named.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    heads = _heads(spark, path)
+    loaded = []
+    for head, files in heads.items():
+        named = next(csv.reader([head], delimiter=delimiter))
+        wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(named))])
+        rows = load_csv(spark, files, wide, delimiter, skip_rows=1)
+        texts = {name: F.col(f"c{i}") for i, name in enumerate(named)}
+        values = {f.name: texts[f.name].try_cast(f.dataType) if f.name in texts else F.lit(None).cast(f.dataType) for f in schema}
+        wrong = F.lit(False)
+        for f in schema:
+            if f.name in texts:
+                wrong = wrong | (texts[f.name].isNotNull() & values[f.name].isNull())
+        whole = F.concat_ws(delimiter, *texts.values())
+        bad = F.coalesce(F.col(CORRUPT), F.when(wrong, whole))
+        loaded.append(rows.select(*[v.alias(n) for n, v in values.items()], bad.alias(CORRUPT)))
+    return reduce(DataFrame.unionByName, loaded) if loaded else spark.createDataFrame([], _with_corrupt(schema))
+
+
+def _heads(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their header line; as long as Spark's own file listing."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    ).filter("block = 0").withColumn("id", F.monotonically_increasing_id())
+    first = lines.groupBy("file").agg(F.min_by("value", "id").alias("head"))
+    found: dict[str, list[str]] = {}
+    for row in first.select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"), "head").collect():
+        found.setdefault(row["head"], []).append(row["file"])
+    return found
 
 
 # Digits before and after the point each decimal target holds.

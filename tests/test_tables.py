@@ -37,6 +37,17 @@ def test_leading_rows_and_null_markers(spark, tmp_path):
     assert rows(loads.accept(loaded)) == sorted(2 * [(1, "x"), (2, None), (3, None)], key=str)
 
 
+def test_blank_leading_lines_count_and_data_stays(spark, tmp_path):
+    _file(tmp_path, "a.csv", "title\n\n1,a\n\n2,b\n")
+    _file(tmp_path, "b.csv", "\n\n3,c\n")
+    schema = loads.schema_from_text("k:INTEGER,v")
+    loaded = loads.load_csv(spark, str(tmp_path), schema, skip_rows=2)
+    assert rows(loads.accept(loaded)) == [(1, "a"), (2, "b"), (3, "c")]
+    (tmp_path / "h").mkdir()
+    one = loads.load_csv(spark, _file(tmp_path / "h", "c.csv", "\n4,d\n"), schema, skip_rows=1)
+    assert rows(loads.accept(one)) == [(4, "d")]
+
+
 def test_header_row_and_quoted_newlines(spark, tmp_path):
     path = _file(tmp_path, "q.csv", 'k,v\n1,"two\nlines, ""quoted"""\n')
     schema = loads.schema_from_text("k:INTEGER,v")
@@ -55,9 +66,15 @@ def test_bad_records_up_to_a_limit(spark, tmp_path):
 def test_jagged_rows(spark, tmp_path):
     path = _file(tmp_path, "j.csv", '1\n2,"x,y"\n3,z\n')
     schema = loads.schema_from_text("k:INTEGER,v")
-    assert rows(loads.accept(loads.load_csv(spark, path, schema))) == [(1, None), (2, "x,y"), (3, "z")]
+    assert rows(loads.accept(loads.load_csv(spark, path, schema, jagged=True))) == [(1, None), (2, "x,y"), (3, "z")]
     with pytest.raises(loads.TooManyBadRecords):
-        loads.accept(loads.load_csv(spark, path, schema, jagged=False))
+        loads.accept(loads.load_csv(spark, path, schema))
+    wrong = _file(tmp_path, "w.csv", "xyz\n4\n")
+    for jagged, good in ((True, [(4, None)]), (False, [])):
+        loaded = loads.load_csv(spark, wrong, schema, jagged=jagged)
+        assert rows(loads.accept(loaded, max_bad=2 - len(good))) == good
+        with pytest.raises(loads.TooManyBadRecords):
+            loads.accept(loaded, max_bad=1 - len(good))
 
 
 def test_formats_with_markers(spark, tmp_path):
@@ -88,7 +105,14 @@ def test_column_names(spark):
 def test_columns_by_name_or_position(spark, tmp_path):
     path = _file(tmp_path, "m.csv", "v,k\nx,1\n")
     schema = loads.schema_from_text("k:INTEGER,v")
-    assert rows(loads.load_csv_matched(spark, path, schema, "NAME")) == [(1, "x")]
+    assert rows(loads.load_csv_matched(spark, path, schema, "NAME").select("k", "v")) == [(1, "x")]
+    folder = tmp_path / "differ"
+    folder.mkdir()
+    for name, text in (("a.csv", 'k,v\n1,"a,b"\nbad,y\n'), ("b.csv", "v,other,k\nx,0,2\n"), ("c.csv", "v\nz\n")):
+        _file(folder, name, text)
+    matched = loads.load_csv_matched(spark, str(folder), schema, "NAME")
+    got = rows(matched.withColumn("bad", F.col(loads.CORRUPT).isNotNull()).drop(loads.CORRUPT))
+    assert got == sorted([(1, "a,b", False), (None, "y", True), (2, "x", False), (None, "z", False)], key=str)
     by_position = loads.load_csv_matched(spark, path, schema, "POSITION").select("k", "v")
     assert rows(by_position) == [(None, "1")]
 
