@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from flightlake.llm import words as W
 from flightlake.llm.arrow import slices, strings
 from flightlake.llm.html_blocks import Block, blocks
+from flightlake.operators.sizing import sample_rows
 
 TRAIN_PAGES = 160
 TRAIN_CHARS = 60_000  # longer pages are not chosen for training
@@ -335,10 +336,8 @@ def _extractor(weights: dict[str, np.ndarray], name: str, columns: list[str]):
 def fit(pages: DataFrame, html_column: str = "html") -> dict[str, np.ndarray]:
     """Train on a bounded sample of the pages, chosen by a hash."""
     html = F.col(html_column)
-    sample = (
-        pages.where(F.length(html).between(1, TRAIN_CHARS)).orderBy(F.xxhash64("page_id", "url"), "page_id").limit(TRAIN_PAGES)
-        .select(html).collect()
-    )
+    chosen = sample_rows(pages.select("page_id", "url", html_column), TRAIN_PAGES, "page_id", "url")
+    sample = chosen.where(F.length(html).between(1, TRAIN_CHARS)).select(html).limit(TRAIN_PAGES).collect()
     made = examples([r[0] for r in sample])
     return train(made) if made else {k: v.astype(np.float32) for k, v in new_weights(np.random.default_rng(0)).items()}
 

@@ -261,11 +261,19 @@ def heavy_links(sets: DataFrame, percent: int, boundary: int) -> DataFrame:
     listed = sets.where(F.col("n") >= -(-percent * (boundary + 1) // 100))
     slim = listed.select("class", "n", "g", "grams")
     kind = "gram bigint, class bigint"
-    long = (
-        slim.mapInArrow(_lists(percent, None, 3), kind).groupBy("gram").count().where(F.col("count") > LONG_LIST)
-        .orderBy(F.desc("count"), "gram").limit(LONG_LISTS)
-    )
-    last = np.sort(np.array([r["gram"] for r in long.collect()], np.int64).view(np.uint64))
+    long = slim.mapInArrow(_lists(percent, None, 3), kind).groupBy("gram").count().where(F.col("count") > LONG_LIST)
+    long = materialize(long, "long_lists")
+    # the longest ones, as far as a bounded number goes: by powers of two of their length
+    octave = F.floor(F.log2("count")).cast("int").alias("octave")
+    sizes = {r["octave"]: r["n"] for r in long.groupBy(octave).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, held = 64, 0
+    for power in sorted(sizes, reverse=True):
+        held += sizes[power]
+        if held > LONG_LISTS:
+            break
+        least = power
+    known = long.where(octave >= least).select("gram").collect()
+    last = np.sort(np.array([r["gram"] for r in known], np.int64).view(np.uint64))
     lists = slim.mapInArrow(_lists(percent, last, 1), kind)
     lone = lists.groupBy("gram").count().where("count > 1").select("gram")
     facts = listed.select("class", "n", "g", "sketch")

@@ -18,8 +18,8 @@ recognised where it stands in another form.  A run of tokens becomes a new span
 if its posterior favours a kind and at least one of its tokens is tied to a
 recognised one; without such a tie the patterns' verdict stands.
 
-The weights are trained by pseudo-likelihood on at most ``TRAIN_DOCS`` documents
-(smallest hash of the id, at most ``TRAIN_CHARS`` long) whose labels are the
+The weights are trained by pseudo-likelihood on about ``TRAIN_DOCS`` documents
+(smallest hash of id and text, at most ``TRAIN_CHARS`` long) whose labels are the
 patterns' spans.  Each is used a second time with its data repeated in other
 forms beside numbers that only look alike, and each token is seen once more
 without its own features.
@@ -44,9 +44,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake.llm.arrow import slices, strings
+from flightlake.operators.sizing import sample_rows
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 2000
+TRAIN_DOCS = 6000
 TRAIN_CHARS = 20_000
 FEATURES = 1024
 ROUNDS = 30
@@ -374,10 +375,8 @@ def find(texts: list[str], weights: dict[str, np.ndarray]) -> list[list[tuple[st
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> dict[str, np.ndarray]:
     text = F.col(text_column)
-    sample = (
-        docs.where(text.rlike("[0-9@]") & (F.length(text) <= TRAIN_CHARS))
-        .orderBy(F.xxhash64(id_column), id_column, text_column).limit(TRAIN_DOCS).select(text).collect()
-    )
+    chosen = sample_rows(docs.select(id_column, text_column), TRAIN_DOCS, id_column, text_column)
+    sample = chosen.where(text.rlike("[0-9@]") & (F.length(text) <= TRAIN_CHARS)).select(text).collect()
     graph = Graph()
     rng = random.Random(9)
     for number, row in enumerate(sample):

@@ -272,16 +272,19 @@ def fit(measured: DataFrame, groups: list[str], name: str = "quality") -> DataFr
 
 def judge(measured: DataFrame, estimate: DataFrame, groups: list[str], name: str = "quality") -> DataFrame:
     """The measured rows with ``base_failed`` and ``kept``."""
-    sides = []
-    for level in range(len(groups) + 1):
-        least = LEAST_ROWS if level == len(groups) else GROUP_ROWS
-        use = estimate.where(F.col("rows") >= least)
-        sides.append(use.select(F.col("key").alias(f"_key{level}"), F.struct("center", "precision").alias(f"_use{level}")))
-    out = measured.drop("base_failed", "kept", *(f"_use{i}" for i in range(len(sides))))
-    out = out.withColumns({f"_key{i}": k for i, k in enumerate(_keys([F.col(g) for g in groups]))})
-    for i, side in enumerate(sides):
-        out = out.join(broadcast_if_small(side), f"_key{i}", "left")
-    q, use = F.col(name), F.coalesce(*(f"_use{i}" for i in range(len(sides))))
+    out = measured.drop("base_failed", "kept", *(f"_use{i}" for i in range(len(groups))))
+    keys = _keys([F.col(g) for g in groups])
+    large = estimate.where(F.col("rows") >= GROUP_ROWS)
+    for i, key in enumerate(keys[:-1]):
+        side = large.select(F.col("key").alias(f"_key{i}"), F.struct("center", "precision").alias(f"_use{i}"))
+        out = out.withColumn(f"_key{i}", key).join(broadcast_if_small(side), f"_key{i}", "left")
+    # the one estimate over all rows is a constant
+    every = estimate.where((F.col("rows") >= LEAST_ROWS) & (F.col("key") == "0")).first()
+    whole = (
+        F.struct(*(F.array(*map(F.lit, every[c])).alias(c) for c in ("center", "precision")))
+        if every else F.lit(None).cast("struct<center:array<double>,precision:array<double>>")
+    )
+    q, use = F.col(name), F.coalesce(*(f"_use{i}" for i in range(len(groups))), whole)
     out = out.withColumn("_use0", use).withColumn("base_failed", base_failed(q))
     far = _distance(q["x"], q["n_words"].cast("double"), F.col("_use0.center"), F.col("_use0.precision"))
     inside = F.coalesce(far <= chi_square_quantile(DIMENSIONS, TAIL), F.lit(True))

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from flightlake.operators.sizing import sample_rows
 from flightlake.session import materialize
 
 SCALE = 64
@@ -259,7 +260,7 @@ def top_k(
     scaled = usable.mapInArrow(_scaler(dim, scale), "vec_id long, v binary, norm long")
     points = materialize(scaled.withColumn("row", F.monotonically_increasing_id()), "points")
     count, most = points.agg(F.count(F.lit(1)), F.coalesce(F.max("norm"), F.lit(0))).first()
-    sample = points.orderBy(F.xxhash64("row")).limit(SAMPLE_ROWS).select("v").collect()
+    sample = sample_rows(points, SAMPLE_ROWS, "row").select("v").collect()
     pivots = fit_pivots(_lifted(_matrix([bytes(r["v"]) for r in sample], dim), most), PIVOTS)
 
     keyed = points.mapInArrow(_keyer(pivots, dim, most), "cell int, r double, row long, vec_id long, v binary")
