@@ -101,12 +101,13 @@ def _(spark, sf):
     return encode.fit_codes(views.flights(spark, sf, *_CODED), list(_CODED))
 
 
-@query("train_test_split", """SELECT "FlightNum", "TailNum", "FlightDate" FROM flights""", "flights")
+@query("train_test_split", """SELECT "FlightNum", "TailNum", "FlightDate", true AS near_80_percent FROM flights""", "flights")
 def _(spark, sf):
-    """Which part a row falls in is random; together the parts are all rows, each once."""
-    rows = views.flights(spark, sf, "FlightNum", "TailNum", "FlightDate")
+    """Which part a row falls in is random; together the parts are all rows, each once, and the first holds about 80 %."""
+    rows = materialize(views.flights(spark, sf, "FlightNum", "TailNum", "FlightDate"), "flights")
     train, test = training.split_random(rows)
-    return train.unionByName(test)
+    share = train.count() / max(1, rows.count())
+    return train.unionByName(test).withColumn("near_80_percent", F.lit(abs(share - 0.8) < 0.03))
 
 
 @query(

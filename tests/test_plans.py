@@ -48,6 +48,25 @@ def test_line_items_are_shuffled_at_most_once(spark):
     assert "BatchEvalPython" not in plan
 
 
+def test_without_broadcasts_joins_are_on_keys(spark):
+    """Large parts and suppliers: each join is a sort-merge join on its key, none a nested loop."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = _plan(spark_entry.queries()["training_set"](spark, SF))
+    finally:
+        spark.conf.set(setting, before)
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert set(re.findall(r"Exchange hashpartitioning\((l_\w+?)#", plan)) <= {"l_orderkey", "l_partkey", "l_suppkey"}
+
+
+def test_a_page_writes_and_ranges_nothing(spark, stored, monkeypatch):
+    monkeypatch.setattr(serving, "SLICE_ROWS", 100)
+    plan = _plan(serving.flight_search(stored, {}, start=3000))
+    assert "rangepartitioning" not in plan and "TakeOrderedAndProject" in plan and "PushedFilters" in plan
+
+
 def test_messages_are_parsed_once(spark):
     plan = _plan(spark_entry.queries()["fill_defaults_flink"](spark, SF))
     assert plan.count("from_json(") == 1

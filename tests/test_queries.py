@@ -7,6 +7,9 @@ from tests.oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
 
+# Lookups of fixed keys, which tables this small need not hold.
+LOOKUPS = {"list_flights", "flight_search", "flight_search_deep", "airplane_search"}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -32,5 +35,4 @@ def test_query(spark, con, name):
         assert frame.count() > 0
     else:
         problems = differences(con, sql, frame)
-        # a lookup of fixed keys may find nothing in tables this small
-        assert [p for p in problems if p != "no rows"] == []
+        assert [p for p in problems if p != "no rows" or name not in LOOKUPS] == []
