@@ -2,7 +2,7 @@
 
 Looking for what documents share takes three steps here:
 
-* ``to_blocks`` packs rows (all columns) into blocks of about two megabytes of
+* ``to_blocks`` packs rows (all columns) into blocks of about a megabyte of
   text, compressed, written once;
 * every block sends the sorted distinct keys of what it holds, split into
   buckets by key range, as one binary value per (block, bucket);
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from flightlake.llm.arrow import slices, text_lengths
 from flightlake.session import materialize
 
-BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+BUCKET_BYTES = 4 << 20
 
 BLOCKS = "block bigint, raw bigint, data binary"
 
@@ -70,6 +70,13 @@ def to_blocks(df: DataFrame, text: str) -> DataFrame:
     return materialize(as_blocks(df, text), "blocks")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one; blocks are large, so a batch of them is not copied whole."""
+    for i in range(batch.num_rows):
+        yield {c: batch.column(k)[i].as_py() for k, c in enumerate(batch.schema.names)}
+        pa.default_memory_pool().release_unused()
+
+
 def open_block(data: bytes) -> pa.RecordBatch:
     stream = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data))
     table = stream.read_all().combine_chunks()

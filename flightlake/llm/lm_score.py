@@ -89,8 +89,7 @@ _TOTAL = "bucket int, block bigint, target binary, every binary"
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.RecordBatch]]:
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+        for row in B.rows_of(batch):
             yield row, B.open_block(row["data"])
 
 

@@ -87,8 +87,8 @@ class Sets:
 def _profiles(size: int, id_column: str, text: str):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                rows = B.open_block(data.as_py())
+            for row in B.rows_of(batch):
+                rows, block = B.open_block(row["data"]), row["block"]
                 sets = Sets(rows, size, text)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -114,8 +114,8 @@ def _owned(sets: Sets, others: list[int] | None) -> np.ndarray:
 def _gram_keys(size: int, text: str, buckets: int, shift: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                sets = Sets(B.open_block(data.as_py()), size, text)
+            for row in B.rows_of(batch):
+                sets, block = Sets(B.open_block(row["data"]), size, text), row["block"]
                 own = np.repeat(_owned(sets, None), sets.n)
                 keys, twice, _ = B.distinct(_cut(sets.grams[own], shift))
                 yield from B.emitted(B.key_rows(block, keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
@@ -142,7 +142,7 @@ def may_miss(n: int, percent: int) -> int:
 def _shareable(size: int, text: str, buckets: int, shift: int, percent: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in B.rows_of(batch):
                 sets = Sets(B.open_block(row["data"]), size, text)
                 own = _owned(sets, None)
                 keys, _, index = B.distinct(_cut(sets.grams[np.repeat(own, sets.n)], shift))
@@ -169,7 +169,7 @@ def _subsets(percent: int, boundary: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, classes, ns = [], [], [], []
-            for row in batch.to_pylist():
+            for row in B.rows_of(batch):
                 grams = W.mix(np.frombuffer(row["grams"], np.uint64).copy()).tolist()
                 whole = sum(grams)
                 for c in range(-(-percent * row["n"] // 100), row["g"] + 1):
@@ -203,8 +203,8 @@ def _lists(percent: int, last: np.ndarray | None, times: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams, classes = [], []
-            for cls, n, g, raw in zip(*(batch.column(c).to_pylist() for c in ("class", "n", "g", "grams"))):
-                own = np.frombuffer(raw, np.uint64)
+            for cls, n, g, raw in zip(*(batch.column(c).to_pylist() for c in ("class", "n", "g")), batch.column("grams")):
+                own = np.frombuffer(raw.as_py(), np.uint64)
                 if last is not None and len(last):
                     at = np.minimum(np.searchsorted(last, own), len(last) - 1)
                     late = last[at] == own
@@ -235,7 +235,7 @@ def _compare(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [], []
-            for row in batch.to_pylist():
+            for row in B.rows_of(batch):
                 a, b = np.frombuffer(row["ga"], np.uint64), np.frombuffer(row["gb"], np.uint64)
                 at = np.searchsorted(a, b)
                 at[at == len(a)] = 0

@@ -84,12 +84,12 @@ class Text:
 def _anchor_keys(column: str, width: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
-                text = Text(B.open_block(data.as_py()), column, width)
+            for row in B.rows_of(batch):
+                text = Text(B.open_block(row["data"]), column, width)
                 keys, _, index = B.distinct(text.anchors)
                 moved = np.diff(text.places, prepend=-1) != 0
                 twice = np.bincount(index[moved], minlength=len(keys)) > 1
-                yield from B.emitted(B.key_rows(block, keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
+                yield from B.emitted(B.key_rows(row["block"], keys, twice, buckets), B.KEY_NAMES, B.KEY_TYPES)
 
     return send
 
@@ -97,7 +97,7 @@ def _anchor_keys(column: str, width: int, buckets: int):
 def _window_keys(column: str, width: int, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in B.rows_of(batch):
                 text = Text(B.open_block(row["data"]), column, width)
                 chosen = text.anchor_bits(row["anchors"], buckets)
                 keys, twice, _ = B.distinct(text.window_keys(chosen))
@@ -114,7 +114,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _remover(column: str, width: int, buckets: int, names: list[str], schema: pa.Schema):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in B.rows_of(batch):
                 rows = B.open_block(row["data"])
                 text = Text(rows, column, width)
                 chosen = text.anchor_bits(row["anchors"], buckets)

@@ -31,7 +31,7 @@ def powers(base: int, count: int, inverse: bool = False) -> np.ndarray:
         terms = np.full(max(count, 1 << 16), step, np.uint64)
         terms[0] = 1
         known = np.multiply.accumulate(terms)
-        if len(known) <= 1 << 23:  # tables for longer texts are not kept
+        if len(known) <= 1 << 21:  # tables for longer texts are not kept
             _powers[base, inverse] = known
     return known[:count]
 
