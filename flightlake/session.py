@@ -8,14 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job here relies on.  Time zone: all clock
-# arithmetic is in UTC.  The rest lets Spark resize, split and re-plan
-# shuffles from measured sizes.
+# arithmetic is in UTC.  Adaptive execution lets Spark resize, split and
+# re-plan shuffles from measured sizes.  Rows that go to Python may hold whole
+# texts, so a batch of them is kept small.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 _local_scratch: str | None = None
