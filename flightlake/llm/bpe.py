@@ -21,7 +21,9 @@ from flightlake.llm.words import spans_hash
 TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
 # Distinct pieces that a worker remembers; the memory is emptied beyond it.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 500_000
+# Pieces given to the library at once; its results are much larger than their ids.
+LIBRARY_PIECES = 4096
 
 BLANK, SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(6)
 # Endings that are a piece of their own after an apostrophe (fixed values).
@@ -118,11 +120,14 @@ class PieceEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = self._library(pieces)
-        count = np.fromiter(map(len, got), np.int64, len(got))
+        parts, counts = [], []
+        for a in range(0, len(pieces), LIBRARY_PIECES):
+            got = self._library(pieces[a : a + LIBRARY_PIECES])
+            counts.append(np.fromiter(map(len, got), np.int64, len(got)))
+            parts.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(counts[-1].sum())))
+        count = np.concatenate(counts)
         begin = len(self.ids) + np.cumsum(count) - count
-        flat = np.fromiter((i for ids in got for i in ids), np.uint32, int(count.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, *parts])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]

@@ -42,7 +42,7 @@ from flightlake.session import materialize
 ROLL = 16
 MEAN = 512  # code points between cuts, on average
 LEAST, MOST = 128, 4096
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _BASES = (0xC2B2AE3D27D4EB4F | 1, 0x165667B19E3779F9 | 1)
 
@@ -198,10 +198,9 @@ def assembler(path: str) -> Assembler:
 def _opened(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[int, pa.RecordBatch, Chunks, list]]:
     """(block, rows, chunks, states) of each block."""
     for batch in batches:
-        told = "states" in batch.schema.names
-        for i in range(batch.num_rows):
-            rows = B.open_block(batch.column("data")[i].as_py())
-            yield batch.column("block")[i].as_py(), rows, Chunks(strings(rows.column(text))), batch.column("states")[i].as_py() if told else []
+        for row in B.rows_of(batch):
+            rows = B.open_block(row["data"])
+            yield row["block"], rows, Chunks(strings(rows.column(text))), row.get("states") or []
 
 
 def _send_keys(text: str, buckets: int):
@@ -361,10 +360,10 @@ def _together(path: str, text: str, columns: list[str]):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = assembler(path)
         for batch in batches:
-            for waiting, answer in zip(batch.column("data"), batch.column("answer").to_pylist()):
-                rows = B.open_block(waiting.as_py())
+            for row in B.rows_of(batch):
+                rows = B.open_block(row["data"])
                 known: dict[bytes, np.ndarray] = {}
-                for part in answer:
+                for part in row["answer"]:
                     known.update(_unpack(part))
                 chunks = Chunks(strings(rows.column(text)))
                 yield _result(rows, columns, tool.encode(chunks, list(range(rows.num_rows)), known), tool)
