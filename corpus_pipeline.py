@@ -6,12 +6,16 @@ but the last return the columns of ``docs``.  ``n_chars`` follows the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import ngram_join, packing, pii, quality, substring_dedup
 from flightlake.session import configure, materialize
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def _recounted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
@@ -46,12 +50,20 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
+def _configured(stage: Stage) -> Stage:
+    """A stage that may be called by itself, under the session settings it needs."""
+    return lambda spark, docs, sf_dir: stage(configure(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality rules", keep_good),
-    ("near duplicates", drop_near_duplicates),
-    ("substring dedup", drop_repeats),
-    ("personal data", mask_personal_data),
-    ("packing", pack),
+    (name, _configured(stage))
+    for name, stage in (
+        ("quality rules", keep_good),
+        ("near duplicates", drop_near_duplicates),
+        ("substring dedup", drop_repeats),
+        ("personal data", mask_personal_data),
+        ("packing", pack),
+    )
 ]
 
 # SQL has no loopy message passing, best-fit packing or components to a fixed point.
