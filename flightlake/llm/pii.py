@@ -8,9 +8,11 @@ all others can only be text) with one of the kinds or none.  Its potentials are
 * along the chain: a table over the labels of adjoining tokens,
 * across the document: a table over the labels of distant tokens that are equal
   or similar (same letters and digits, same name before the ``@``, or same seven or
-  more digits);
-  each occurrence is tied to the one before, so ties grow with the text, not
-  with its square.
+  more digits), each to the one before; and of the tokens of each run of adjoining
+  numbers to the pattern's span that their joint digits repeat (a phone's also
+  without its country code, down to the last seven; an address's by its four
+  numbers), or to the run before with the same digits.  So ties grow with the
+  text, not with its square.
 
 Tokens under a pattern's span are fixed to its kind, and damped loopy message
 passing spreads labels from there, so a number that a pattern recognised once is
@@ -22,7 +24,8 @@ The weights are trained by pseudo-likelihood on about ``TRAIN_DOCS`` documents
 (smallest hash of id and text, at most ``TRAIN_CHARS`` long) whose labels are the
 patterns' spans.  Each is used a second time with its data repeated in other
 forms beside numbers that only look alike, and each token is seen once more
-without its own features.
+without its own features.  ``MADE_DOCS`` short made-up texts join them, as small
+tables hold few of the forms.
 Every document is searched in full.
 
 Null text counts as empty; repeated rows give repeated results; documents without
@@ -35,6 +38,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +53,7 @@ from flightlake.operators.sizing import sample_rows
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 6000
 TRAIN_CHARS = 20_000
+MADE_DOCS = 400
 FEATURES = 1024
 ROUNDS = 30
 SWEEPS = 12
@@ -65,6 +70,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _ACTIVE = re.compile(r"[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_GROUPS = re.compile(r"[0-9]+")
+_LETTER = re.compile(r"[^\W\d_]")
+_MOST_DIGITS = 19
 _EDGES = " \t\r\n.,;:!?\"'<>[]{}|"
 
 _SPAN = T.StructType(
@@ -148,7 +156,10 @@ class Graph:
         cover = sorted((a, b, KINDS.index(k) + 1) for k, a, b in base)
         at = 0
         last: dict[str, int] = {}
+        runs: list[list[int]] = []  # adjoining tokens that may be parts of one number
+        open_run = False
         previous = None
+        first = len(self.spans)
         for match in _ACTIVE.finditer(text):
             begin, end = match.span()
             while at < len(cover) and cover[at][1] <= begin:
@@ -167,21 +178,68 @@ class Graph:
             self.cells.append(self._features(token, text, begin, end))
             if previous is not None and not text[previous:begin].strip("\x20\x09\x0a\x0b\x0c\x0d"):
                 self.chain.append((node - 1, node))
+            plain = "@" not in token and not _LETTER.search(token)
+            if open_run and plain and begin - previous < 4 and not _LETTER.search(text, previous, begin):
+                runs[-1].append(node)
+            elif "@" not in token:
+                runs.append([node])
+            open_run = plain
             previous = end
             for key in _keys(token):
                 if key in last:
                     self.ties.append((last[key], node))
                 last[key] = node
+        self._tie_runs(runs, self._anchors(text, base, first), text)
+
+    def _anchors(self, text: str, base: list[tuple[str, int, int]], first: int) -> dict[tuple[str, ...], int]:
+        """The joint keys of the patterns' spans, each with the first token of a span that has it."""
+        begins = [s[1] for s in self.spans[first:]]
+        out: dict[tuple[str, ...], int] = {}
+        for kind, a, b in base:
+            node = first + bisect_right(begins, a) - 1
+            if self.fixed[node] == KINDS.index(kind) + 1:
+                for key in _span_keys(kind, text[a:b]):
+                    out.setdefault(key, node)
+        return out
+
+    def _tie_runs(self, runs: list[list[int]], anchors: dict[tuple[str, ...], int], text: str) -> None:
+        last: dict[str, list[int]] = {}
+        for run in runs:
+            groups = [_GROUPS.findall(text, *self.spans[n][1:]) for n in run]
+            if anchors:
+                self._tie_windows(run, groups, anchors)
+            digits = "".join(g for own in groups for g in own)
+            if len(run) > 1 and 7 <= len(digits) <= _MOST_DIGITS:
+                if digits in last:
+                    self.ties += [(last[digits][min(k, len(last[digits]) - 1)], node) for k, node in enumerate(run)]
+                last[digits] = run
+
+    def _tie_windows(self, run: list[int], groups: list[list[str]], anchors: dict[tuple[str, ...], int]) -> None:
+        """Tie the longest stretches of a run whose joint key a recognised span has."""
+        i = 0
+        while i < len(run):
+            digits, parts, best, anchor = "", [], -1, -1
+            for j in range(i, len(run)):
+                digits += "".join(groups[j])
+                parts += groups[j]
+                if len(digits) > _MOST_DIGITS + 3:
+                    break
+                for key in _number_keys(digits, parts):
+                    if key in anchors:
+                        best, anchor = j, anchors[key]
+            self.ties += [(anchor, node) for node in run[i : best + 1] if self.fixed[node] < 0]
+            i = max(i, best) + 1
 
     @staticmethod
     def _features(token: str, text: str, begin: int, end: int) -> list[int]:
         digits = _NOT_DIGIT.sub("", token)
+        groups = _GROUPS.findall(token)
         before = _TOKEN.search(text[max(0, begin - 40) : begin].rstrip()[::-1])
         after = _TOKEN.search(text[end : end + 40])
         names = [
-            f"s:{_shape(token)}", f"d:{min(len(digits), 20)}", f"n:{min(len(token), 30)}", f"l:{len(digits) >= 13 and luhn(digits)}",
+            f"s:{_shape(token)}", f"d:{min(len(digits), 20) if len(groups) != 4 else ''}", f"n:{min(len(token), 30)}", f"l:{len(digits) >= 13 and luhn(digits)}",
             f"i:{bool(_IP.fullmatch(token.strip(_EDGES))) and all(_small(p) for p in token.strip(_EDGES).split('.'))}",
-            f"@:{'@' in token}", f"+:{token[0] == '+'}",
+            f"@:{'@' in token}", f"+:{token[0] == '+'}", f"g:{len(groups) if len(groups) < 6 and all(map(_small, groups)) else ''}",
         ]
         context = [f"p:{_shape(before.group()[::-1]) if before else ''}", f"f:{_shape(after.group()) if after else ''}"]
         own = [zlib.crc32(n.encode()) % FEATURES for n in names]
@@ -202,6 +260,28 @@ def _keys(token: str) -> list[str]:
     return keys
 
 
+def _number_keys(digits: str, parts: list[str]) -> list[tuple[str, ...]]:
+    """The joint keys of adjoining digits: the number without leading zeros, and four parts as an address."""
+    keys = []
+    number = digits.lstrip("0")
+    if 7 <= len(number) <= _MOST_DIGITS:
+        keys.append(("number", number))
+    if len(parts) == 4:
+        keys.append(("ip", *(p.lstrip("0") for p in parts)))
+    return keys
+
+
+def _span_keys(kind: str, value: str) -> list[tuple[str, ...]]:
+    """The joint keys by which a pattern's span is known again."""
+    parts = _GROUPS.findall(value)
+    digits = "".join(parts)
+    if kind == "phone":
+        return [("number", n) for k in range(len(digits) - 6) if len(n := digits[k:].lstrip("0")) >= 7]
+    if kind == "card":
+        return [("number", digits.lstrip("0"))]
+    return [("ip", *(p.lstrip("0") for p in parts))] if kind == "ip" else []
+
+
 # -- the field ----------------------------------------------------------------
 
 LABELS = len(KINDS) + 1
@@ -222,11 +302,49 @@ def _variant(kind: str, value: str, rng: random.Random) -> str:
     if kind == "email":
         return value.rsplit(".", 1)[0]
     if kind == "ip":
-        return value.replace(".", rng.choice("-_:"))
+        return value.replace(".", rng.choice(["-", "_", ":", " "]))
     if kind == "card":
-        return rng.choice("- _").join(digits[i : i + 4] for i in range(0, len(digits), 4)) if rng.random() < 0.5 else digits
+        return rng.choice(["-", " ", "_", ".", "  "]).join(digits[i : i + 4] for i in range(0, len(digits), 4)) if rng.random() < 0.7 else digits
     tail = re.sub(r"^\+[0-9]+[\x20.-]*", "", value)
-    return rng.choice([tail, tail, _NOT_DIGIT.sub("", tail)])
+    national = _NOT_DIGIT.sub("", tail)
+    if len(national) < 7:
+        tail, national = digits, digits[-10:]
+    cut = [national[:-7], national[-7:-4], national[-4:]]
+    return rng.choice([tail, tail, national, digits, rng.choice(" -.").join(c for c in cut if c), rng.choice(["1 ", "0 ", "0"]) + tail])
+
+
+def made_texts(rng: random.Random, number: int) -> list[str]:
+    """Short texts with data in the patterns' forms and plain numbers, so that small tables teach every kind too."""
+    def word() -> str:
+        return "".join(rng.choice(["lo", "mi", "ra", "te", "nu", "sk", "an"]) for _ in range(rng.randint(1, 3)))
+
+    def digits(form: str) -> str:
+        return "".join(str(rng.randint(0, 9)) if c == "#" else c for c in form)
+
+    def card() -> str:
+        body = digits("4" + "#" * rng.choice([14, 14, 14, 13, 12]))
+        whole = next(body + str(d) for d in range(10) if luhn(body + str(d)))
+        return rng.choice(["", " ", "-"]).join(whole[i : i + 4] for i in range(0, len(whole), 4))
+
+    def value() -> str:
+        kind = rng.choice(KINDS)
+        if kind == "email":
+            return f"{word()}{rng.choice(['.', '', '_', digits('#')])}{word()}@{word()}.{rng.choice(['com', 'org', 'example.net'])}"
+        if kind == "ip":
+            top = rng.choice([9, 99, 255])
+            return ".".join(str(rng.randint(0, top)) for _ in range(4))
+        if kind == "card":
+            return card()
+        return digits(rng.choice(["+1 (###) ###-####", "+1 ### ### ####", "+1-###-###-####", "+1##########", "+44 20 #### ####", "+49 30 #######", "+33 # ## ## ## ##", "+##.###.###.###"]))
+
+    out = []
+    for _ in range(number):
+        parts = [word() for _ in range(rng.randint(6, 20))]
+        parts.insert(rng.randint(1, len(parts) - 1), value())
+        for _ in range(rng.randint(0, 3)):
+            parts.insert(rng.randint(1, len(parts) - 1), digits(rng.choice(["#", "##", "19##", "20##.", "#,###", "#.#", "####", "(20##)", "###-####"])))
+        out.append(" ".join(parts))
+    return out
 
 
 def with_repeats(text: str, base: list[tuple[str, int, int]], rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
@@ -379,10 +497,10 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     sample = chosen.where(text.rlike("[0-9@]") & (F.length(text) <= TRAIN_CHARS)).select(text).collect()
     graph = Graph()
     rng = random.Random(9)
-    for number, row in enumerate(sample):
-        base = base_spans(row[0])
-        graph.add(number, row[0], base)
-        graph.add(number, *with_repeats(row[0], base, rng))
+    for number, source in enumerate([*(r[0] for r in sample), *made_texts(rng, MADE_DOCS)]):
+        base = base_spans(source)
+        graph.add(number, source, base)
+        graph.add(number, *with_repeats(source, base, rng))
     return train(graph)
 
 

@@ -81,6 +81,23 @@ def test_repeats_in_another_form_are_added(weights):
     assert pii.find([lone], weights)[0] == []
 
 
+@pytest.mark.parametrize("first, again", [
+    ("+1 988 555 2485", "988-555-2485"),
+    ("+1-988-555-2485", "988 555 2485"),
+    ("+19885552485", "988-555-2485"),
+    ("+44 20 7946 0958", "020 7946 0958"),
+    ("+44 20 7946 0958", "02079460958"),
+    ("4111 1111 1111 1111", "4111.1111.1111.1111"),
+    ("4111-1111-1111-1111", "4111  1111  1111  1111"),
+    ("8.8.8.8", "8-8-8-8"),
+])
+def test_joint_keys_tie_spaced_and_hyphenated_forms(weights, first, again):
+    text = f"Write to {first} today. Later on it was {again} that they had. Born 1999, item 4471, section 12."
+    begin = text.index(again)
+    added = [(a, b) for _, a, b, known in pii.find([text], weights)[0] if not known]
+    assert added == [(begin, begin + len(again))]
+
+
 def test_query_columns_and_odd_rows(spark, weights):
     rows = [(1, None), (2, ""), (3, "mail a.b@c.de, host 10.0.0.1 card 4111-1111-1111-1111"), (3, "é 10.0.0.1"), (None, "+49 30 1234567")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS spans", "2 AS start")

@@ -85,6 +85,16 @@ def test_stages_against_brute_force(spark):
     assert len({r["sequence_id"] for r in packed}) == naive_best_fit(pieces, 2048)[0]
 
 
+def test_repeats_in_other_forms_are_masked(spark):
+    forms = ["988 555 2485", "988-555-2485", "(988) 555-2485"]
+    rng = random.Random(3)
+    rows = [(i, f"river stone call +1 (988) 555-{2400 + i} garden light walk item {rng.randint(1, 999)} house", None, None, 0, "") for i in range(60)]
+    rows += [(100 + i, f"call +1 (988) 555-2485 now, later on {f} or so", None, None, 0, "") for i, f in enumerate(forms)]
+    hidden = dict(P.STAGES)["personal data"](spark, spark.createDataFrame(rows, COLUMNS), "")
+    got = {r["doc_id"]: r["text"] for r in hidden.collect()}
+    assert all(got[100 + i] == "call [PHONE] now, later on [PHONE] or so" for i in range(len(forms)))
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], COLUMNS)
     for _, stage in P.STAGES:
