@@ -18,13 +18,15 @@ Tokens under a pattern's span are fixed to its kind, and damped loopy message
 passing spreads labels from there, so a number that a pattern recognised once is
 recognised where it stands in another form.  A run of tokens becomes a new span
 if its posterior favours a kind and at least one of its tokens is tied to a
-recognised one; without such a tie the patterns' verdict stands.
+recognised one, or if all its posteriors reach a higher limit, which is set per
+kind so that at most ``UNTIED_ERROR`` of made look-alikes pass.  Documents in
+which no pattern finds anything are searched like all others.
 
 The weights are trained by pseudo-likelihood on about ``TRAIN_DOCS`` documents
 (smallest hash of id and text, at most ``TRAIN_CHARS`` long) whose labels are the
 patterns' spans.  Each is used a second time with its data repeated in other
-forms beside numbers that only look alike, and each token is seen once more
-without its own features.  ``MADE_DOCS`` short made-up texts join them, as small
+forms beside numbers that only look alike, a third time with the data in those
+forms only, and each token is seen once more without its own features.  ``MADE_DOCS`` short made-up texts join them, as small
 tables hold few of the forms.
 Every document is searched in full.
 
@@ -54,11 +56,13 @@ KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 6000
 TRAIN_CHARS = 20_000
 MADE_DOCS = 400
-FEATURES = 1024
+FEATURES = 4096
 ROUNDS = 30
 SWEEPS = 12
 DAMPING = 0.3
 STRONG = 0.5  # least posterior of a new token
+UNTIED = 0.8  # least posterior of a run without a tie to a recognised token
+UNTIED_ERROR = 0.005  # and the largest share of made look-alikes that may pass as one
 
 # Patterns of the base spans (fixed values).
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -189,20 +193,29 @@ class Graph:
                 if key in last:
                     self.ties.append((last[key], node))
                 last[key] = node
+        self._run_features(runs, text)
         self._tie_runs(runs, self._anchors(text, base, first), text)
 
-    def _anchors(self, text: str, base: list[tuple[str, int, int]], first: int) -> dict[tuple[str, ...], int]:
-        """The joint keys of the patterns' spans, each with the first token of a span that has it."""
+    def _anchors(self, text: str, base: list[tuple[str, int, int]], first: int) -> dict[tuple[str, ...], tuple[int, int]]:
+        """The joint keys of the patterns' spans, each with the first and last token of a span that has it."""
         begins = [s[1] for s in self.spans[first:]]
-        out: dict[tuple[str, ...], int] = {}
+        out: dict[tuple[str, ...], tuple[int, int]] = {}
         for kind, a, b in base:
             node = first + bisect_right(begins, a) - 1
             if self.fixed[node] == KINDS.index(kind) + 1:
                 for key in _span_keys(kind, text[a:b]):
-                    out.setdefault(key, node)
+                    out.setdefault(key, (node, first + bisect_right(begins, b - 1) - 1))
         return out
 
-    def _tie_runs(self, runs: list[list[int]], anchors: dict[tuple[str, ...], int], text: str) -> None:
+    def _run_features(self, runs: list[list[int]], text: str) -> None:
+        """What the tokens of a run are together: number of digits, and whether they pass the card test."""
+        for run in runs:
+            digits = "".join(g for n in run for g in _GROUPS.findall(text, *self.spans[n][1:]))
+            names = [f"rd:{min(len(digits), 20)}:{min(len(run), 6)}", f"rl:{13 <= len(digits) <= _MOST_DIGITS and luhn(digits)}"]
+            for n in run:
+                self.cells[n] += [zlib.crc32(name.encode()) % FEATURES for name in names]
+
+    def _tie_runs(self, runs: list[list[int]], anchors: dict[tuple[str, ...], tuple[int, int]], text: str) -> None:
         last: dict[str, list[int]] = {}
         for run in runs:
             groups = [_GROUPS.findall(text, *self.spans[n][1:]) for n in run]
@@ -214,11 +227,11 @@ class Graph:
                     self.ties += [(last[digits][min(k, len(last[digits]) - 1)], node) for k, node in enumerate(run)]
                 last[digits] = run
 
-    def _tie_windows(self, run: list[int], groups: list[list[str]], anchors: dict[tuple[str, ...], int]) -> None:
+    def _tie_windows(self, run: list[int], groups: list[list[str]], anchors: dict[tuple[str, ...], tuple[int, int]]) -> None:
         """Tie the longest stretches of a run whose joint key a recognised span has."""
         i = 0
         while i < len(run):
-            digits, parts, best, anchor = "", [], -1, -1
+            digits, parts, best, anchor = "", [], -1, (-1, -1)
             for j in range(i, len(run)):
                 digits += "".join(groups[j])
                 parts += groups[j]
@@ -227,7 +240,7 @@ class Graph:
                 for key in _number_keys(digits, parts):
                     if key in anchors:
                         best, anchor = j, anchors[key]
-            self.ties += [(anchor, node) for node in run[i : best + 1] if self.fixed[node] < 0]
+            self.ties += [(anchor[0], node) for node in run[i : best + 1] if not anchor[0] <= node <= anchor[1]]
             i = max(i, best) + 1
 
     @staticmethod
@@ -241,7 +254,8 @@ class Graph:
             f"i:{bool(_IP.fullmatch(token.strip(_EDGES))) and all(_small(p) for p in token.strip(_EDGES).split('.'))}",
             f"@:{'@' in token}", f"+:{token[0] == '+'}", f"g:{len(groups) if len(groups) < 6 and all(map(_small, groups)) else ''}",
         ]
-        context = [f"p:{_shape(before.group()[::-1]) if before else ''}", f"f:{_shape(after.group()) if after else ''}"]
+        word = before.group()[::-1] if before else ""
+        context = [f"p:{_shape(word)}", f"w:{word.lower()}", f"f:{_shape(after.group()) if after else ''}"]
         own = [zlib.crc32(n.encode()) % FEATURES for n in names]
         return own + [zlib.crc32(n.encode()) % FEATURES for n in context]
 
@@ -355,18 +369,55 @@ def with_repeats(text: str, base: list[tuple[str, int, int]], rng: random.Random
         text += rng.choice([" and ", " again ", "\n", " or "])
         spans.append((kind, len(text), len(text) + len(value)))
         text += value + rng.choice(["", ".", ","])
-        other = "".join(str(rng.randint(0, 9)) if c in "0123456789" else c for c in value if c != "@")
-        text += f" item {other} " if rng.random() < 0.7 else f" {rng.randint(1, 99999)} "
+        text += f" {rng.choice(_COUNTED)} {_like(value, rng)} " if rng.random() < 0.7 else f" {rng.randint(1, 99999)} "
     return text, spans
 
 
+_COUNTED = ("item", "item", "item", "no", "order", "section", "id", "part")
+_PLAIN = (
+    "#", "##", "19##", "20##.", "(20##)", "#,###", "#.##", "####", "###-####", "20##-0#-1#", "0#/1#/20##", "1#:##:##", "#.#.#", "v#.##.#", "##########",
+    "17########", "978##########", "################", "###.###.###.###", "3##.4##.9##.7##", "#### ####", "20## 20## 20##", "@", "@lomi##", "lo@", "$##,###.##",
+    "#########", "##-####-##", "1.######", "### ###", "0x##ab##", "##### #####",
+)
+
+
+def _like(value: str, rng: random.Random) -> str:
+    """Other digits in the same form, which are no card's."""
+    while True:
+        other = "".join(str(rng.randint(0, 9)) if c in "0123456789" else c for c in value if c != "@")
+        digits = _NOT_DIGIT.sub("", other)
+        if not (13 <= len(digits) <= _MOST_DIGITS and luhn(digits)):
+            return other
+
+
+def alone(text: str, base: list[tuple[str, int, int]], rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text with its data only in forms that no pattern finds, between plain numbers that are no data."""
+    out, spans, at, size = [], [], 0, 0
+    for kind, begin, end in sorted(base, key=lambda s: s[1]):
+        if begin < at:
+            continue
+        value = _variant(kind, text[begin:end], rng)
+        plain = _like(rng.choice(_PLAIN).replace("#", "0"), rng) if rng.random() < 0.7 else f"{rng.choice(_COUNTED)} {_like(value, rng)}"
+        out += [text[at:begin], value, rng.choice([" and then ", ", ", " or "]), "lo ", plain, " mi "]
+        size += begin - at
+        if kind != "phone" or len(_NOT_DIGIT.sub("", value)) >= 9:
+            spans.append((kind, size, size + len(value)))
+        size += sum(map(len, out[-5:]))
+        at = end
+    return "".join([*out, text[at:]]), spans
+
+
 def train(graph: Graph) -> dict[str, np.ndarray]:
     """Pseudo-likelihood weights: features (cell, label), chain and tie (label, label)."""
     weights = {"f": np.zeros((FEATURES, LABELS)), "b": np.zeros(LABELS), "c": np.zeros((LABELS, LABELS)), "t": np.zeros((LABELS, LABELS))}
     n = len(graph.spans)
     if not n:
         return weights
-    label = np.maximum(np.array(graph.fixed), 0)
+    fixed = np.array(graph.fixed)
+    label = np.maximum(fixed, 0)
+    # what is tied to recognised data but not under a span may be data: no label to learn from
+    root = _tie_groups(n, np.array(graph.ties, np.int64).reshape(-1, 2))
+    sure = ((fixed >= 0) | ~np.isin(root, root[fixed > 0]))[:, None]
     one = np.eye(LABELS)[label]
     before, after, tied = np.zeros((n, LABELS)), np.zeros((n, LABELS)), np.zeros((n, LABELS))
     for a, b in graph.chain:
@@ -383,7 +434,7 @@ def train(graph: Graph) -> dict[str, np.ndarray]:
         seen = np.zeros((n, LABELS))
         np.add.at(seen, owner, weights["f"][cell])
         rest = weights["b"] + before @ weights["c"] + after @ weights["c"].T + tied @ weights["t"]
-        full, blind = _softmax(seen + rest) - one, _softmax(rest) - one
+        full, blind = sure * (_softmax(seen + rest) - one), sure * (_softmax(rest) - one)
         both = full + blind
         step = np.zeros_like(weights["f"])
         np.add.at(step, cell, full[owner])
@@ -430,8 +481,22 @@ def posteriors(graph: Graph, weights: dict[str, np.ndarray]) -> np.ndarray:
     return _softmax(belief)
 
 
-def new_spans(graph: Graph, chance: np.ndarray, texts: list[str]) -> list[tuple[int, str, int, int]]:
+def new_spans(graph: Graph, chance: np.ndarray, texts: list[str], limits: np.ndarray) -> list[tuple[int, str, int, int]]:
     """(document, kind, begin, end) of runs of tokens that the field adds."""
+    out = []
+    for run, kind, tied, least in _runs(graph, chance):
+        if tied or least >= limits[kind]:
+            doc, begin, end = graph.spans[run[0]][0], graph.spans[run[0]][1], graph.spans[run[-1]][2]
+            piece = texts[doc][begin:end]
+            begin += len(piece) - len(piece.lstrip(_EDGES))
+            end -= len(piece) - len(piece.rstrip(_EDGES))
+            if begin < end:
+                out.append((doc, KINDS[kind - 1], begin, end))
+    return out
+
+
+def _runs(graph: Graph, chance: np.ndarray) -> Iterator[tuple[list[int], int, bool, float]]:
+    """Runs of adjoining tokens of one kind: tokens, label, whether tied to a recognised token, and least posterior."""
     label = chance.argmax(1)
     fixed = np.array(graph.fixed)
     free = (fixed < 0) & (label > 0) & (chance[np.arange(len(label)), label] >= STRONG)
@@ -442,21 +507,32 @@ def new_spans(graph: Graph, chance: np.ndarray, texts: list[str]) -> list[tuple[
         known = set(zip(root[fixed > 0].tolist(), fixed[fixed > 0].tolist()))
         tied = np.array([(r, k) in known for r, k in zip(root.tolist(), label.tolist())])
     joined = {b for a, b in graph.chain if free[a] and free[b] and label[a] == label[b]}
-    out = []
     run: list[int] = []
     for node in [*np.flatnonzero(free).tolist(), -1]:
         if run and (node < 0 or node not in joined):
-            if tied[run].any():
-                doc, begin, end = graph.spans[run[0]][0], graph.spans[run[0]][1], graph.spans[run[-1]][2]
-                piece = texts[doc][begin:end]
-                begin += len(piece) - len(piece.lstrip(_EDGES))
-                end -= len(piece) - len(piece.rstrip(_EDGES))
-                if begin < end:
-                    out.append((doc, KINDS[label[run[0]] - 1], begin, end))
+            kind = int(label[run[0]])
+            yield run, kind, bool(tied[run].any()), float(chance[run, kind].min())
             run = []
         if node >= 0:
             run.append(node)
-    return out
+
+
+def untied_limits(weights: dict[str, np.ndarray], sources: list[str], rng: random.Random) -> np.ndarray:
+    """Per label, the posterior that at most ``UNTIED_ERROR`` of the made look-alikes reach without a tie."""
+    graph, true = Graph(), []
+    for number, source in enumerate(sources):
+        text, spans = alone(source, base_spans(source), rng)
+        graph.add(number, text, [])
+        for _, begin, end in graph.spans[len(true) :]:
+            true.append(any(a < end and begin < b for _, a, b in spans))
+    limits = np.full(LABELS, UNTIED)
+    allowed = int(UNTIED_ERROR * true.count(False))
+    scores = [(kind, least) for run, kind, _, least in _runs(graph, posteriors(graph, weights)) if not any(true[n] for n in run)]
+    for kind in range(1, LABELS):
+        wrong = sorted((p for k, p in scores if k == kind), reverse=True)
+        if len(wrong) > allowed:
+            limits[kind] = max(UNTIED, np.nextafter(wrong[allowed], 2))
+    return limits
 
 
 def _tie_groups(n: int, ties: np.ndarray) -> np.ndarray:
@@ -480,9 +556,11 @@ def find(texts: list[str], weights: dict[str, np.ndarray]) -> list[list[tuple[st
     for number, text in enumerate(texts):
         base = base_spans(text)
         found.append([(*s, True) for s in base])
-        if base:  # without a recognised token nothing can be tied to one
-            graph.add(number, text, base)
-    for doc, kind, begin, end in new_spans(graph, posteriors(graph, weights), texts):
+        graph.add(number, text, base)
+    if not graph.spans:
+        return found
+    limits = weights.get("u", np.full(LABELS, 2.0))  # beyond any posterior
+    for doc, kind, begin, end in new_spans(graph, posteriors(graph, weights), texts, limits):
         found[doc].append((kind, begin, end, False))
     order = {k: i for i, k in enumerate(KINDS)}
     return [sorted(spans, key=lambda s: (order[s[0]], s[1], s[2])) for spans in found]
@@ -501,7 +579,9 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
         base = base_spans(source)
         graph.add(number, source, base)
         graph.add(number, *with_repeats(source, base, rng))
-    return train(graph)
+        graph.add(number, *alone(source, base, rng))
+    weights = train(graph)
+    return weights | {"u": untied_limits(weights, made_texts(rng, MADE_DOCS), rng)}
 
 
 def _finder(weights: dict[str, np.ndarray], text: str, columns: list[str]):

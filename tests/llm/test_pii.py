@@ -98,6 +98,15 @@ def test_joint_keys_tie_spaced_and_hyphenated_forms(weights, first, again):
     assert added == [(begin, begin + len(again))]
 
 
+def test_documents_without_a_pattern_hit_are_searched(weights):
+    for data in ("(988) 555-2485", "anna.lo@mailhost", "4111_1111_1111_1111", "4111.1111.1111.1111"):
+        text = f"reach it by {data} any time, " * 2
+        assert not pii.base_spans(text)
+        assert [text[a:b] for _, a, b, _ in pii.find([text], weights)[0]] == [data, data]
+    plain = "Born 1999, item 4471, section 12, (2019), 2019-03-04 12:30:11, order 1234567890, 4111111111111112, v1.20.3, $12,345.00 @ 3"
+    assert pii.find([plain], weights)[0] == []
+
+
 def test_query_columns_and_odd_rows(spark, weights):
     rows = [(1, None), (2, ""), (3, "mail a.b@c.de, host 10.0.0.1 card 4111-1111-1111-1111"), (3, "é 10.0.0.1"), (None, "+49 30 1234567")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS spans", "2 AS start")
