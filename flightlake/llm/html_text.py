@@ -7,9 +7,11 @@ sequence forwards and one backwards, and a logistic unit on both states labels
 every block as main text or not, so a block is judged in view of the whole page.
 
 The network is trained here, in numpy, on at most ``TRAIN_PAGES`` pages of the
-table (those with the smallest hash of page id and url): pages with an article or main
+table that have html (those with the smallest hash of page id and url; at most
+``TRAIN_PAGES * TRAIN_CHARS`` characters): pages with an article or main
 element are labelled by their own elements, and each also lends its texts to two
-made-up pages in which containers, names and order vary.  All pages are
+made-up pages in which containers, names and order vary; where this gives fewer
+than ``LEAST_EXAMPLES`` sequences, pages of made-up words are added.  All pages are
 labelled by the trained network.  Only bounded samples and weights reach the
 driver.
 
@@ -37,9 +39,10 @@ from flightlake.llm.html_blocks import Block, blocks
 from flightlake.operators.sizing import sample_rows
 
 TRAIN_PAGES = 160
-TRAIN_CHARS = 60_000  # longer pages are not chosen for training
+TRAIN_CHARS = 60_000  # longer pages are chosen for training only where there are too few others
 TRAIN_BLOCKS = 48
 MADE_PAGES = 2
+LEAST_EXAMPLES = 120  # pages made of made-up words are added up to here
 EPOCHS = 8
 BATCH = 16
 RATE = 0.01
@@ -306,12 +309,27 @@ def examples(htmls: list[str], seed: int = 5) -> list[tuple[np.ndarray, np.ndarr
         main = [_escape(b.text) for b, y in zip(page, chosen) if y][:24] or [_escape(page[0].text)]
         other = [_escape(b.text) for b, y in zip(page, chosen) if not y]
         for _ in range(MADE_PAGES):
-            made = blocks(made_page(rng, main, other))[:TRAIN_BLOCKS]
-            marks = np.array([float(b.text.startswith(_MARK)) for b in made])
-            out.append((vectors([[Block(b.text.lstrip(_MARK) or " ", b.path, b.linked) for b in made]]), marks))
+            out.append(_made_example(rng, main, other))
+    for _ in range(LEAST_EXAMPLES - len(out)):
+        out.append(_made_example(rng, *plain_texts(rng)))
     return out
 
 
+def _made_example(rng: random.Random, main: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    made = blocks(made_page(rng, main, other))[:TRAIN_BLOCKS]
+    marks = np.array([float(b.text.startswith(_MARK)) for b in made])
+    return vectors([[Block(b.text.lstrip(_MARK) or " ", b.path, b.linked) for b in made]]), marks
+
+
+def plain_texts(rng: random.Random) -> tuple[list[str], list[str]]:
+    """Paragraphs and short notes of made-up words, where the table lends too few texts."""
+    def words(low: int, high: int) -> str:
+        return " ".join("".join(rng.choice(["lo", "mi", "ra", "te", "nu", "sk", "an"]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(low, high)))
+
+    main = [". ".join(words(5, 15) for _ in range(rng.randint(1, 5))) + "." for _ in range(rng.randint(1, 12))]
+    return main, [words(1, 8) for _ in range(rng.randint(3, 15))]
+
+
 def _escape(text: str) -> str:
     return re.sub("[<&]", " ", text.replace(_MARK, ""))
 
@@ -335,11 +353,30 @@ def _extractor(weights: dict[str, np.ndarray], name: str, columns: list[str]):
 
 def fit(pages: DataFrame, html_column: str = "html") -> dict[str, np.ndarray]:
     """Train on a bounded sample of the pages, chosen by a hash."""
+    return train(examples(training_pages(pages, html_column)))
+
+
+def training_pages(pages: DataFrame, html_column: str = "html") -> list[str]:
+    """At most ``TRAIN_PAGES`` pages with html; longer ones only where there are too few others, as many as the characters allow."""
     html = F.col(html_column)
-    chosen = sample_rows(pages.select("page_id", "url", html_column), TRAIN_PAGES, "page_id", "url")
-    sample = chosen.where(F.length(html).between(1, TRAIN_CHARS)).select(html).limit(TRAIN_PAGES).collect()
-    made = examples([r[0] for r in sample])
-    return train(made) if made else {k: v.astype(np.float32) for k, v in new_weights(np.random.default_rng(0)).items()}
+    keyed = pages.select("page_id", "url", html.alias("_html"), F.length(html).alias("_length"))
+    short = sample_rows(keyed.where(F.col("_length").between(1, TRAIN_CHARS)), TRAIN_PAGES, "page_id", "url")
+    sample = [r[0] for r in short.select("_html").limit(TRAIN_PAGES).collect()]
+    wanted = TRAIN_PAGES - len(sample)
+    if not wanted:
+        return sample
+    # the keys first: the pages themselves are read only as far as the characters allow
+    place = F.xxhash64("page_id", "url", "_html")
+    long = keyed.where(F.col("_length") > TRAIN_CHARS).select("page_id", "url", "_length", place.alias("_place"))
+    room, chosen = TRAIN_PAGES * TRAIN_CHARS - sum(map(len, sample)), {}
+    for row in sample_rows(long, wanted, "page_id", "url", "_place").collect():
+        if row["_place"] not in chosen and row["_length"] <= room and len(chosen) < wanted:
+            chosen[row["_place"]] = row["_length"]
+            room -= row["_length"]
+    if chosen:
+        found = keyed.where((F.col("_length") > TRAIN_CHARS) & place.isin(list(chosen))).groupBy(place.alias("_place")).agg(F.first("_html").alias("_html"))
+        sample += [r["_html"] for r in found.orderBy("_place").collect()]
+    return sample
 
 
 def extract(pages: DataFrame, weights: dict[str, np.ndarray] | None = None, html_column: str = "html") -> DataFrame:

@@ -77,6 +77,24 @@ def test_given_pages(spark, weights):
         assert r["text"] == "\n".join(texts(inside))
 
 
+def test_training_pages_are_drawn_among_usable_ones(spark):
+    page = "<nav>menu</nav><article><p>" + "text of the story. " * 8 + "</p></article>"
+    rows = [(i, "n", None) for i in range(2000)] + [(5000 + i, "u", page) for i in range(20)]
+    rows += [(6000 + i, "u", page * (H.TRAIN_CHARS // len(page) + 1) + str(i)) for i in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = H.training_pages(frame)
+    assert sorted(got) == sorted(r[2] for r in rows if r[2])
+    assert len(H.training_pages(frame.where("page_id >= 6000"))) == 3
+
+
+def test_no_untrained_weights(spark):
+    page = "<html><body><nav><ul><li><a href=x>home</a><li><a href=x>help</a></ul></nav><article>{}</article><footer>imprint</footer></body></html>"
+    story = ["The river rose in the night and the old bridge did not hold.", "By noon the whole town had come to look at it."]
+    html = page.format("".join(f"<p>{t}</p>" for t in story))
+    long = spark.createDataFrame([(1, "u", None), (2, "u", "")], "page_id long, url string, html string")
+    assert H.main_text(H.fit(long), [html]) == ["\n".join(story)]
+
+
 def test_odd_rows(spark, weights):
     rows = [(1, None, None), (2, "u", ""), (None, "u", "<nav>menu</nav>"), (2, "u", "<p" * 50), (3, "v", "<div>" * 3000 + "deep")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS `a b`")
