@@ -8,8 +8,9 @@ every block as main text or not, so a block is judged in view of the whole page.
 
 The network is trained here, in numpy, on at most ``TRAIN_PAGES`` pages of the
 table that have html (those with the smallest hash of page id and url; at most
-``TRAIN_PAGES * TRAIN_CHARS`` characters): pages with an article or main
-element are labelled by their own elements, and each also lends its texts to two
+``TRAIN_PAGES * TRAIN_CHARS`` characters and ``TRAIN_BLOCKS`` blocks, never a part
+of a page): pages with an article or main element are labelled by their own
+elements, and each also lends its texts to two
 made-up pages in which containers, names and order vary; where this gives fewer
 than ``LEAST_EXAMPLES`` sequences, pages of made-up words are added.  All pages are
 labelled by the trained network.  Only bounded samples and weights reach the
@@ -40,7 +41,8 @@ from flightlake.operators.sizing import sample_rows
 
 TRAIN_PAGES = 160
 TRAIN_CHARS = 60_000  # longer pages are chosen for training only where there are too few others
-TRAIN_BLOCKS = 48
+TRAIN_BLOCKS = 40_000  # of all training sequences together; a page that exceeds what is left is dropped
+BATCH_BLOCKS = 16_384  # of a batch, padded
 MADE_PAGES = 2
 LEAST_EXAMPLES = 120  # pages made of made-up words are added up to here
 EPOCHS = 8
@@ -198,8 +200,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], seed: int = 11) -> dict
     step = 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(examples))
-        for a in range(0, len(order), BATCH):
-            chosen = [examples[k] for k in order[a : a + BATCH]]
+        for chosen in _batches([examples[k] for k in order]):
             x, mask = _padded(np.concatenate([c[0] for c in chosen]).astype(np.float64), [len(c[1]) for c in chosen])
             y = np.zeros_like(mask)
             for k, (_, labels) in enumerate(chosen):
@@ -221,6 +222,20 @@ def train(examples: list[tuple[np.ndarray, np.ndarray]], seed: int = 11) -> dict
     return {k: v.astype(np.float32) for k, v in weights.items()}
 
 
+def _batches(examples: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Up to ``BATCH`` pages in a row, fewer where long pages would be padded beyond ``BATCH_BLOCKS``."""
+    batch: list[tuple[np.ndarray, np.ndarray]] = []
+    longest = 0
+    for example in examples:
+        longest = max(longest, len(example[1]))
+        if batch and (len(batch) == BATCH or longest * (len(batch) + 1) > BATCH_BLOCKS):
+            yield batch
+            batch, longest = [], len(example[1])
+        batch.append(example)
+    if batch:
+        yield batch
+
+
 def label(weights: dict[str, np.ndarray], pages: list[list[Block]]) -> list[np.ndarray]:
     """Which blocks of each page are main text."""
     out = [np.zeros(0, bool)] * len(pages)
@@ -296,27 +311,29 @@ def made_page(rng: random.Random, main: list[str], other: list[str]) -> str:
 
 
 def examples(htmls: list[str], seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(vectors, labels) of whole pages with a main element, and of pages made of their texts."""
     rng = random.Random(seed)
     out = []
+    room = TRAIN_BLOCKS
     for source in htmls:
-        page = blocks(source)[:TRAIN_BLOCKS]
-        labels = own_labels(page)
-        if labels is not None:
-            out.append((vectors([page]), labels.astype(np.float64)))
-        if not page:
+        page = blocks(source)
+        labels = own_labels(page) if len(page) <= room else None
+        if labels is None:
             continue
-        chosen = labels if labels is not None else np.array([len(b.text) > 80 for b in page])
-        main = [_escape(b.text) for b, y in zip(page, chosen) if y][:24] or [_escape(page[0].text)]
-        other = [_escape(b.text) for b, y in zip(page, chosen) if not y]
-        for _ in range(MADE_PAGES):
-            out.append(_made_example(rng, main, other))
+        main = [_escape(b.text) for b, y in zip(page, labels) if y]
+        other = [_escape(b.text) for b, y in zip(page, labels) if not y]
+        own = [(vectors([page]), labels.astype(np.float64)), *(_made_example(rng, main, other) for _ in range(MADE_PAGES))]
+        blocks_used = sum(len(y) for _, y in own)
+        if blocks_used <= room:
+            out += own
+            room -= blocks_used
     for _ in range(LEAST_EXAMPLES - len(out)):
         out.append(_made_example(rng, *plain_texts(rng)))
     return out
 
 
 def _made_example(rng: random.Random, main: list[str], other: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    made = blocks(made_page(rng, main, other))[:TRAIN_BLOCKS]
+    made = blocks(made_page(rng, main, other))
     marks = np.array([float(b.text.startswith(_MARK)) for b in made])
     return vectors([[Block(b.text.lstrip(_MARK) or " ", b.path, b.linked) for b in made]]), marks
 

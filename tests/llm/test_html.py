@@ -87,6 +87,19 @@ def test_training_pages_are_drawn_among_usable_ones(spark):
     assert len(H.training_pages(frame.where("page_id >= 6000"))) == 3
 
 
+def test_training_sequences_are_whole_pages():
+    menu = "".join(f"<li><a href=x>entry {i}</a>" for i in range(70))
+    story = "".join(f"<p>Line {i} of the story, and it goes on for a while.</p>" for i in range(40))
+    page = f"<ul>{menu}</ul><article>{story}</article><footer>imprint</footer>"
+    (rows, labels), *made = H.examples([page])[: 1 + H.MADE_PAGES]
+    assert len(labels) == len(rows) == 111 and labels.sum() == 40
+    assert all(y.sum() >= 40 for _, y in made)
+    without = H.examples([f"<ul>{menu}</ul><p>short"])
+    assert len(without) == H.LEAST_EXAMPLES and not any(len(y) == 71 for _, y in without)
+    many = H.examples([f"<article>{story * 300}</article>", page])
+    assert sum(len(y) for _, y in many[:3]) <= H.TRAIN_BLOCKS and len(many[0][1]) == 111
+
+
 def test_no_untrained_weights(spark):
     page = "<html><body><nav><ul><li><a href=x>home</a><li><a href=x>help</a></ul></nav><article>{}</article><footer>imprint</footer></body></html>"
     story = ["The river rose in the night and the old bridge did not hold.", "By noon the whole town had come to look at it."]
