@@ -11,8 +11,10 @@ A row whose Mahalanobis distance is beyond the chi-square quantile is rejected.
 All rows enter all estimates.  A step is one aggregation by (group, distance
 bin): sums within a bin are enough to find the nearest share and its moments,
 so no row is sorted or gathered, and a source with a third of all rows is
-combined before the shuffle.  Groups with few rows use their language, then all
-rows; with fewer than ``LEAST_ROWS`` overall nothing is rejected by the method.
+combined before the shuffle.  Every group is judged by its own centre, however
+small it is.  Its covariance C of n rows is shrunk towards that P of its
+language, (n C + ``PRIOR_ROWS`` P) / (n + ``PRIOR_ROWS``), and a language's in the
+same way towards the mean covariance within languages (weights n).
 
 Words are maximal runs without space and 0x09-0x0D.  Null text has no words and
 fails the base rules, as does an empty one; null languages and sources form
@@ -43,8 +45,7 @@ REPEAT_WINDOW = 8
 COVERAGE = 0.75
 STEPS = 4
 TAIL = 1e-5
-GROUP_ROWS = 200
-LEAST_ROWS = 50
+PRIOR_ROWS = 200  # rows that a parent's covariance counts as
 SHRINK_WORDS = 20
 DIMENSIONS = 6
 # Least standard deviation of each statistic: what a clean text may vary by even
@@ -236,9 +237,9 @@ def _distance(x: Column, n_words: Column, center: Column, precision: Column) ->
 
 
 def _keys(groups: list[Column]) -> list[Column]:
-    """Keys of a row's groups, the finest first: all columns, all but the last, ..., none."""
+    """Keys of a row's groups, the finest first: all columns, all but the last, ..., the first (none only without columns)."""
     texts = [F.coalesce(F.concat(F.lit("="), g.cast("string")), F.lit("-")) for g in groups]
-    return [F.concat_ws("\x1f", F.lit(str(k)), *texts[:k]) for k in range(len(groups), -1, -1)]
+    return [F.concat_ws("\x1f", F.lit(str(k)), *texts[:k]) for k in range(len(groups), min(len(groups), 1) - 1, -1)]
 
 
 def fit(measured: DataFrame, groups: list[str], name: str = "quality") -> DataFrame:
@@ -267,26 +268,59 @@ def fit(measured: DataFrame, groups: list[str], name: str = "quality") -> DataFr
             *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)),
         )
         estimate = materialize(sums.groupBy("key").applyInPandas(_step, _ESTIMATE), "estimate")
-    return estimate
+    return _toward_parents(estimate, rows)
+
+
+def _covariances(precision: pd.Series) -> np.ndarray:
+    return np.linalg.inv(np.stack(precision.to_numpy()).astype(float).reshape(-1, DIMENSIONS, DIMENSIONS))
+
+
+def _covariance_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        yield part.assign(covariance=[c.ravel().tolist() for c in _covariances(part["precision"])]) if len(part) else part.assign(covariance=[])
+
+
+def _blended(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        if not len(part):
+            continue
+        n = part["rows"].to_numpy(float)[:, None, None]
+        own = _covariances(part["precision"])
+        parent = np.stack(part["parent_covariance"].to_numpy()).astype(float).reshape(own.shape)
+        mixed = np.linalg.inv((n * own + PRIOR_ROWS * parent) / (n + PRIOR_ROWS))
+        yield part[["key", "rows", "center"]].assign(precision=[m.ravel().tolist() for m in mixed])
+
+
+def _toward_parents(estimate: DataFrame, rows: DataFrame) -> DataFrame:
+    """The estimates with their covariances shrunk towards their parents', level by level from the coarsest."""
+    family = materialize(rows.select("keys").distinct(), "family")
+    levels = len((family.first() or {"keys": [None]})["keys"])
+    with_covariance = "key string, rows bigint, center array<double>, precision array<double>, covariance array<double>"
+    done = None
+    for at in range(levels - 1, -1, -1):
+        links = family.select(F.col("keys")[at].alias("key"), F.col("keys")[at + 1].alias("parent") if at + 1 < levels else F.lit(None).cast("string").alias("parent")).distinct()
+        own = estimate.join(broadcast_if_small(links), "key")
+        if done is None:  # the mean covariance within the coarsest groups, one row
+            flat = own.mapInPandas(_covariance_of, with_covariance.replace(", covariance", ", parent string, covariance"))
+            mean = flat.select(*(F.sum(F.col("rows") * F.col("covariance")[i]) / F.sum("rows") for i in range(DIMENSIONS**2))).first()
+            side = own.withColumn("parent_covariance", F.array(*(F.lit(v).cast("double") for v in mean)))
+        else:
+            above = done.mapInPandas(_covariance_of, with_covariance).select(F.col("key").alias("parent"), F.col("covariance").alias("parent_covariance"))
+            side = own.join(broadcast_if_small(above), "parent")
+        blended = side.select("key", "rows", "center", "precision", "parent_covariance").mapInPandas(_blended, _ESTIMATE)
+        done = materialize(blended, "estimate")
+    return done
 
 
 def judge(measured: DataFrame, estimate: DataFrame, groups: list[str], name: str = "quality") -> DataFrame:
     """The measured rows with ``base_failed`` and ``kept``."""
-    out = measured.drop("base_failed", "kept", *(f"_use{i}" for i in range(len(groups))))
-    keys = _keys([F.col(g) for g in groups])
-    large = estimate.where(F.col("rows") >= GROUP_ROWS)
-    for i, key in enumerate(keys[:-1]):
-        side = large.select(F.col("key").alias(f"_key{i}"), F.struct("center", "precision").alias(f"_use{i}"))
-        out = out.withColumn(f"_key{i}", key).join(broadcast_if_small(side), f"_key{i}", "left")
-    # the one estimate over all rows is a constant
-    every = estimate.where((F.col("rows") >= LEAST_ROWS) & (F.col("key") == "0")).first()
-    whole = (
-        F.struct(*(F.array(*map(F.lit, every[c])).alias(c) for c in ("center", "precision")))
-        if every else F.lit(None).cast("struct<center:array<double>,precision:array<double>>")
-    )
-    q, use = F.col(name), F.coalesce(*(f"_use{i}" for i in range(len(groups))), whole)
-    out = out.withColumn("_use0", use).withColumn("base_failed", base_failed(q))
-    far = _distance(q["x"], q["n_words"].cast("double"), F.col("_use0.center"), F.col("_use0.precision"))
+    out = measured.drop("base_failed", "kept", "_use", "_key")
+    side = estimate.select(F.col("key").alias("_key"), F.struct("center", "precision").alias("_use"))
+    # every row that passes the base rules is in its group's estimate
+    out = out.withColumn("_key", _keys([F.col(g) for g in groups])[0]).join(broadcast_if_small(side), "_key", "left")
+    q = F.col(name)
+    out = out.withColumn("base_failed", base_failed(q))
+    far = _distance(q["x"], q["n_words"].cast("double"), F.col("_use.center"), F.col("_use.precision"))
     inside = F.coalesce(far <= chi_square_quantile(DIMENSIONS, TAIL), F.lit(True))
     return out.withColumn("kept", ~F.col("base_failed") & inside).select(
         *(c for c in measured.columns if c not in ("base_failed", "kept")), "base_failed", "kept"

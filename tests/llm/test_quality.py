@@ -86,3 +86,28 @@ def test_concentration_from_bins_is_the_subset_estimate():
     cov = np.cov(near.T, bias=True) + np.diag(np.square(Q.FLOOR))
     scale = Q._LEAST * 2 ** ((edge + 1) / Q._PER_OCTAVE) / Q.chi_square_quantile(6, 0.25)
     assert np.allclose(center, near.mean(0)) and np.allclose(precision, np.linalg.inv(cov * max(1, scale)))
+
+
+def test_a_small_language_is_judged_by_its_own_centre(spark):
+    rng = random.Random(6)
+    rows = corpus()
+    signs = "\u6cb3\u6d41\u77f3\u5149\u56ed\u8d70\u5929\u5730\u5c71\u6c34"
+
+    def chinese():
+        return " ".join("".join(rng.choice(signs) for _ in range(rng.randint(8, 14))) + "\u3002" for _ in range(60))
+
+    rows += [(1000 + i, chinese(), "zh", f"z{i % 2}") for i in range(24)]
+    rows += [(1100, " ".join("%%% | " + w for w in sentence(rng, 60).split()), "zh", "z0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge_documents(docs).collect()}
+    assert all(kept[1000 + i] for i in range(24)) and not kept[1100]
+
+
+def test_verdicts_do_not_switch_with_the_size_of_the_table(spark):
+    rng = random.Random(8)
+    clean = [(i, sentence(rng, rng.randint(40, 90)), "en", "a") for i in range(30)]
+    junk = [(100, " | ".join(sentence(rng, 60).split()), "en", "a")]
+    for copies in (1, 8):  # 31 and 248 rows, on both sides of what were switches
+        docs = spark.createDataFrame((clean + junk) * copies, "doc_id long, text string, lang string, source string")
+        verdicts = {(r["doc_id"], r["kept"]) for r in Q.judge_documents(docs).collect() if not r["base_failed"]}
+        assert verdicts == {(i, True) for i in range(30)} | {(100, False)}
