@@ -8,14 +8,15 @@ all others can only be text) with one of the kinds or none.  Its potentials are
 * along the chain: a table over the labels of adjoining tokens,
 * across the document: a table over the labels of distant tokens that are equal
   or similar (same letters and digits, same name before the ``@``, or same seven or
-  more digits), each to the one before; and of the tokens of each run of adjoining
+  more digits), each to the first that a pattern recognised, or to the first; and of the tokens of each run of adjoining
   numbers to the pattern's span that their joint digits repeat (a phone's also
   without its country code, down to the last seven; an address's by its four
-  numbers), or to the run before with the same digits.  So ties grow with the
+  numbers), or to the first run with the same digits.  So ties grow with the
   text, not with its square.
 
 Tokens under a pattern's span are fixed to its kind, and damped loopy message
-passing spreads labels from there, so a number that a pattern recognised once is
+passing, swept until no message of a document changes by more than ``SETTLED``
+(``MOST_SWEEPS`` at most), spreads labels from there, so a number that a pattern recognised once is
 recognised where it stands in another form.  A run of tokens becomes a new span
 if its posterior favours a kind and at least one of its tokens is tied to a
 recognised one, or if all its posteriors reach a higher limit, which is set per
@@ -58,7 +59,8 @@ TRAIN_CHARS = 20_000
 MADE_DOCS = 400
 FEATURES = 4096
 ROUNDS = 30
-SWEEPS = 12
+MOST_SWEEPS = 300  # messages that still change then are taken as they are
+SETTLED = 1e-4  # largest change of a settled message
 DAMPING = 0.3
 STRONG = 0.5  # least posterior of a new token
 UNTIED = 0.8  # least posterior of a run without a tie to a recognised token
@@ -159,7 +161,7 @@ class Graph:
     def add(self, number: int, text: str, base: list[tuple[str, int, int]]) -> None:
         cover = sorted((a, b, KINDS.index(k) + 1) for k, a, b in base)
         at = 0
-        last: dict[str, int] = {}
+        hub: dict[str, int] = {}
         runs: list[list[int]] = []  # adjoining tokens that may be parts of one number
         open_run = False
         previous = None
@@ -190,9 +192,10 @@ class Graph:
             open_run = plain
             previous = end
             for key in _keys(token):
-                if key in last:
-                    self.ties.append((last[key], node))
-                last[key] = node
+                if key in hub:
+                    self.ties.append((hub[key], node))
+                if key not in hub or self.fixed[hub[key]] <= 0 < label:
+                    hub[key] = node
         self._run_features(runs, text)
         self._tie_runs(runs, self._anchors(text, base, first), text)
 
@@ -216,16 +219,16 @@ class Graph:
                 self.cells[n] += [zlib.crc32(name.encode()) % FEATURES for name in names]
 
     def _tie_runs(self, runs: list[list[int]], anchors: dict[tuple[str, ...], tuple[int, int]], text: str) -> None:
-        last: dict[str, list[int]] = {}
+        hub: dict[str, list[int]] = {}
         for run in runs:
             groups = [_GROUPS.findall(text, *self.spans[n][1:]) for n in run]
             if anchors:
                 self._tie_windows(run, groups, anchors)
             digits = "".join(g for own in groups for g in own)
             if len(run) > 1 and 7 <= len(digits) <= _MOST_DIGITS:
-                if digits in last:
-                    self.ties += [(last[digits][min(k, len(last[digits]) - 1)], node) for k, node in enumerate(run)]
-                last[digits] = run
+                first = hub.setdefault(digits, run)
+                if first is not run:
+                    self.ties += [(first[min(k, len(first) - 1)], node) for k, node in enumerate(run)]
 
     def _tie_windows(self, run: list[int], groups: list[list[str]], anchors: dict[tuple[str, ...], tuple[int, int]]) -> None:
         """Tie the longest stretches of a run whose joint key a recognised span has."""
@@ -469,13 +472,20 @@ def posteriors(graph: Graph, weights: dict[str, np.ndarray]) -> np.ndarray:
     tables = np.concatenate([table, table.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
     messages = np.zeros((len(source), LABELS))
-    for _ in range(SWEEPS if len(source) else 0):
+    document = np.array([d for d, _, _ in graph.spans])[source]
+    live = np.arange(len(source))  # edges of documents that are not settled
+    for _ in range(MOST_SWEEPS):
+        if not len(live):
+            break
         belief = unary.copy()
-        np.add.at(belief, target, messages)
-        out = (belief[source] - messages[back])[:, :, None] + tables
+        np.add.at(belief, target[live], messages[live])
+        out = (belief[source[live]] - messages[back[live]])[:, :, None] + tables[live]
         peak = out.max(1)
         new = _normal(peak + np.log(np.exp(out - peak[:, None, :]).sum(1)))
-        messages = DAMPING * messages + (1 - DAMPING) * new
+        change = (1 - DAMPING) * (new - messages[live])
+        messages[live] += change
+        moving = np.unique(document[live][np.abs(change).max(1) > SETTLED])
+        live = live[np.isin(document[live], moving)]
     belief = unary
     np.add.at(belief, target, messages)
     return _softmax(belief)

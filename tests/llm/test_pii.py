@@ -71,6 +71,31 @@ def test_messages_are_exact_on_trees():
     assert np.allclose(pii.posteriors(graph, w), want, atol=1e-3)
 
 
+def test_messages_reach_the_end_of_long_chains():
+    n = 60
+    graph = pii.Graph()
+    graph.spans = [(0, i, i + 1) for i in range(n)]
+    graph.cells = [[0] for _ in range(n)]
+    graph.fixed = [2] + [-1] * (n - 1)
+    graph.chain, graph.ties = [], [(i, i + 1) for i in range(n - 1)]
+    table = 6 * np.eye(5)
+    w = {"f": np.zeros((pii.FEATURES, 5)), "b": np.array([1e-3, 0, 0, 0, 0]), "c": np.zeros((5, 5)), "t": table}
+    ahead = np.eye(5)[2]
+    for _ in range(n - 1):
+        ahead = (ahead @ np.exp(table)) * np.exp(w["b"])
+        ahead /= ahead.sum()
+    assert np.allclose(pii.posteriors(graph, w)[-1], ahead, atol=1e-2)
+
+
+def test_repeats_are_tied_to_the_recognised_one():
+    text = "call +1 (988) 555-2485 " + "or 555-2485 now " * 40
+    graph = pii.Graph()
+    graph.add(0, text, pii.base_spans(text))
+    known = {n for n, k in enumerate(graph.fixed) if k > 0}
+    tied = {b for a, b in graph.ties if a in known}
+    assert len(tied - known) == 40
+
+
 def test_repeats_in_another_form_are_added(weights):
     text = "call +1 (988) 555-2485 now. Later, 988 555-2485, or (988) 555-2485 again. Born 1999, item 4471, section 12."
     found = pii.find([text], weights)[0]
