@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from flightlake.functions.messages import parsed_once
 from flightlake.operators.sizing import broadcast_if_small
 from flightlake.session import scratch_dir
+from flightlake.sources.quoted import read_records
 
 CORRUPT = "_corrupt_record"
 
@@ -63,6 +64,10 @@ def _typed(text: Column, kind: T.DataType, date_format: str | None, timestamp_fo
     return text.try_cast(kind)
 
 
+def _is_utf8(encoding: str) -> bool:
+    return encoding.upper().replace("-", "") == "UTF8"
+
+
 def _lines_after(spark: SparkSession, path: str | list[str], count: int, encoding: str) -> DataFrame:
     """Text lines of every file but its first ``count`` ones, blank lines counted.
 
@@ -70,7 +75,7 @@ def _lines_after(spark: SparkSession, path: str | list[str], count: int, encodin
     block, one value per file, tells which lines lead.  No file is read by one
     task for this.
     """
-    if encoding.upper().replace("-", "") != "UTF8":
+    if not _is_utf8(encoding):
         raise ValueError("leading lines are skipped in UTF-8 files only")
     placed = spark.read.text(path).select(
         "value",
@@ -115,8 +120,9 @@ def load_csv(
     A record with too few columns is bad, unless ``jagged`` rows are allowed;
     then it is good if the values that it has can be read.
 
-    With ``quoted_newlines`` a file is read by one task, because record borders
-    cannot be found from its middle: keep such files small.
+    With ``quoted_newlines`` values may hold line breaks, and ``skip_rows`` counts
+    records.  Record borders are found by many tasks in UTF-8 files; files in another
+    encoding are read by one task each and can have one leading line.
     """
     options = {
         "sep": "\t" if delimiter in TAB_NAMES else delimiter,
@@ -136,11 +142,13 @@ def load_csv(
         read_schema = schema
     else:
         read_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    if skip_rows and not quoted_newlines:
+    if quoted_newlines and quote and _is_utf8(encoding):
+        rows = _parse_lines(read_records(spark, path, quote, options["sep"], skip_rows), read_schema, options)
+    elif skip_rows and not quoted_newlines:
         rows = _parse_lines(_lines_after(spark, path, skip_rows, encoding), read_schema, options)
     else:
         if skip_rows > 1:
-            raise ValueError("with quoted line breaks only one leading line can be skipped")
+            raise ValueError("with quoted line breaks only one leading line can be skipped in other encodings than UTF-8")
         options["header"] = str(skip_rows == 1).lower()
         rows = spark.read.options(**options).schema(_with_corrupt(read_schema)).csv(path)
     if jagged:
