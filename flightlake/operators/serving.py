@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -77,38 +78,52 @@ def paged(df: DataFrame, order: list[str], start: int, size: int) -> tuple[DataF
     The part of the order that holds the page is narrowed down: sampled keys
     divide it into slices, one aggregation counts the rows of each, and the
     slices around the page are divided again, until few rows are left to sort.
+    Rows equal to a sampled key are a slice of their own.  They are alike in all
+    columns, so any of them will do, and however many they are, none is sorted.
     The number of passes grows with the logarithm of the table.  No row is
-    written or shuffled but those of the last slice, whatever the offset.
+    written or shuffled but those of the last slices, whatever the offset.
     """
     total = df.count()
-    key, rows, left = _key(df, order), df, total
-    skip = start
-    while left > SLICE_ROWS and skip < left:
-        # bounds only divide the work: any sample will do, and its size is fixed by the share
-        sample = rows.select(key.alias("k")).sample(min(1.0, SAMPLE / left), seed=left)
-        keys = [r["k"] for r in sample.distinct().orderBy("k").limit(2 * SAMPLE).collect()]
-        # each bound begins a slice; the last one ends the order
-        bounds = [_literal(k, df, key) for k in keys[:: max(1, len(keys) // SLICES)][1:]]
-        if not bounds:
-            break
-        at = F.size(F.filter(F.array(*bounds), lambda b: b <= key))
-        counts = {r["at"]: r["n"] for r in rows.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        before, chosen = 0, []
-        for slice_no in range(len(bounds) + 1):
-            n = counts.get(slice_no, 0)
-            if before + n > skip and before < skip + size:
-                chosen.append((slice_no, before, n))
-            before += n
-        inside = sum(n for _, _, n in chosen)
-        if inside == left:
-            break
-        low, high = chosen[0][0], chosen[-1][0]
-        if low > 0:
-            rows = rows.filter(key >= bounds[low - 1])
-        if high < len(bounds):
-            rows = rows.filter(key < bounds[high])
-        skip, left = skip - chosen[0][1], inside
-    return rows.orderBy(*_ordered(df, order)).offset(skip).limit(size), total
+    wanted = max(0, min(size, total - start))
+    pieces = _pieces(df, df, order, start, wanted, total) if wanted else []
+    if len(pieces) == 1:
+        return pieces[0], total
+    together = reduce(DataFrame.union, pieces) if pieces else df.limit(0)
+    return together.orderBy(*_ordered(df, order)).limit(wanted), total
+
+
+def _pieces(df: DataFrame, rows: DataFrame, order: list[str], skip: int, take: int, left: int) -> list[DataFrame]:
+    """``take`` of ``left`` rows from ``skip`` on, as frames that each sort a bounded number of rows."""
+    if left <= SLICE_ROWS:
+        return [rows.orderBy(*_ordered(df, order)).offset(skip).limit(take)]
+    key = _key(df, order)
+    # bounds only divide the work: any sample will do, and its size is fixed by the share
+    sample = rows.select(key.alias("k")).sample(min(1.0, SAMPLE / left), seed=left)
+    keys = [r["k"] for r in sample.distinct().orderBy("k").limit(2 * SAMPLE).collect()]
+    if not keys:
+        keys = [rows.select(key.alias("k")).first()["k"]]
+    bounds = [_literal(k, df, key) for k in keys[:: max(1, len(keys) // SLICES)]]
+    reached = F.filter(F.array(*bounds), lambda b: b <= key)
+    equal = F.coalesce(F.try_element_at(reached, F.lit(-1)) == key, F.lit(False))
+    # 2n is the slice after n bounds, 2n - 1 the rows equal to the n-th
+    slot = 2 * F.size(reached) - equal.cast("int")
+    counts = {r["slot"]: r["n"] for r in rows.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found, before = [], 0
+    for slot_no, n in sorted(counts.items()):
+        inside, own = max(0, skip - before), min(before + n, skip + take) - max(before, skip)
+        before += n
+        if own <= 0:
+            continue
+        if slot_no % 2:
+            found.append(rows.filter(key == bounds[slot_no // 2]).limit(own))
+            continue
+        part = rows
+        if slot_no > 0:
+            part = part.filter(key > bounds[slot_no // 2 - 1])
+        if slot_no // 2 < len(bounds):
+            part = part.filter(key < bounds[slot_no // 2])
+        found += _pieces(df, part, order, inside, own, n)
+    return found
 
 
 def _literal(value: Row, df: DataFrame, key: Column) -> Column:

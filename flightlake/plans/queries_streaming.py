@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from flightlake import schemas
 from flightlake.functions import messages
 from flightlake.functions.clocks import iso_text
+from flightlake.operators.tables import existing
 from flightlake.plans import views
 from flightlake.plans.catalog import query
 from flightlake.plans.queries_model import fitted
 from flightlake.session import scratch_dir
 from flightlake.sources import readers, writers
-from flightlake.streaming import jobs
+from flightlake.streaming import batching, jobs, matching
 
 
 def _paths(spark, *names):
@@ -136,31 +137,86 @@ def _(spark, sf):
     return spark.read.schema("messages bigint").parquet(counts).agg(F.sum("messages").alias("printed_from"))
 
 
-@query(
-    "stream_dual_match",
-    """SELECT 'evt-' || CAST(event_id AS VARCHAR) AS "UUID",
+_BOTH_ENGINES = """SELECT 'evt-' || CAST(event_id AS VARCHAR) AS "UUID",
        CAST(CASE WHEN event_id % 5 = 0 THEN 9 ELSE event_id % 4 END AS DOUBLE) AS first_prediction,
-       CASE WHEN event_type <> 'error' OR event_id % 7 = 0 THEN CAST(user_id % 4 AS DOUBLE) END AS second_prediction FROM events""",
-)
+       CASE WHEN event_type <> 'error' OR event_id % 7 = 0 THEN CAST(user_id % 4 AS DOUBLE) END AS second_prediction FROM events"""
+
+
+def _engine_answers(spark, sf):
+    """Per engine two parts of answers: all of the first engine and most of the second, then repeated and late ones."""
+    events = views.table(spark, sf, "events")
+    late = F.expr("event_type = 'error' AND event_id % 7 = 0")
+    parts = {
+        "first": [(events, F.col("event_id") % 4), (events.filter("event_id % 5 = 0"), F.lit(9))],
+        "second": [(events.filter("event_type <> 'error'"), F.col("user_id") % 4), (events.filter(late), F.col("user_id") % 4)],
+    }
+
+    def lines(rows, prediction):
+        answers = rows.select(
+            F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("UUID"),
+            iso_text(F.col("ts")).alias("Timestamp"), prediction.cast("double").alias("Prediction"),
+        )
+        return messages.emit_json(answers, ["UUID", "Timestamp", "Prediction"])
+
+    return {name: [lines(*part) for part in own] for name, own in parts.items()}
+
+
+@query("stream_dual_match", _BOTH_ENGINES)
 def _(spark, sf):
     """Both engines' answers per event; a second part repeats some answers and brings others late."""
-    events = views.table(spark, sf, "events")
 
-    def store(name, *parts):
+    def store(name, parts):
         topic, table, state = _paths(spark, f"{name}-topic", f"{name}-answers", f"{name}-state")
-        for rows, prediction in parts:
-            answers = rows.select(
-                F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("UUID"),
-                iso_text(F.col("ts")).alias("Timestamp"), prediction.cast("double").alias("Prediction"),
-            )
-            writers.write_topic(messages.emit_json(answers, ["UUID", "Timestamp", "Prediction"]), topic)
+        for lines in parts:
+            writers.write_topic(lines, topic)
             jobs.drain(jobs.start_answers(readers.read_topic(spark, topic), table, state))
         return table
 
-    first = store("first", (events, F.col("event_id") % 4), (events.filter("event_id % 5 = 0"), F.lit(9)))
-    late = F.expr("event_type = 'error' AND event_id % 7 = 0")
-    second = store("second", (events.filter("event_type <> 'error'"), F.col("user_id") % 4), (events.filter(late), F.col("user_id") % 4))
-    return jobs.matched_answers(spark, first, second)
+    answers = _engine_answers(spark, sf)
+    return jobs.matched_answers(spark, store("first", answers["first"]), store("second", answers["second"]))
+
+
+@query("stream_dual_match_live", _BOTH_ENGINES)
+def _(spark, sf):
+    """The same by a stream-stream join that is stopped and started between the parts; a last message moves time on."""
+    table, state, first, second = _paths(spark, "matches", "state", "first", "second")
+    answers = _engine_answers(spark, sf)
+    clock = spark.createDataFrame([('{"UUID":"clock-%s","Timestamp":"2999-01-01T00:00:00"}',)], "value string")
+    rounds = [*zip(answers["first"], answers["second"]), [clock.select(F.format_string("value", F.lit(n)).alias("value")) for n in ("a", "b")]]
+    for one, other in rounds:
+        writers.write_topic(one, first)
+        writers.write_topic(other, second)
+        for running in matching.start_matching(readers.read_topic(spark, first), readers.read_topic(spark, second), table, state):
+            jobs.drain(running)
+    return matching.read_matches(spark, table)
+
+
+@query(
+    "stream_batch_release",
+    """WITH c AS (SELECT "Origin", CAST(count(*) AS BIGINT) AS n FROM distances GROUP BY "Origin")
+       SELECT "Origin" AS bin, false AS released, CAST(10 AS BIGINT) AS n, n // 10 AS batches FROM c WHERE n >= 10
+       UNION ALL SELECT "Origin", true, n % 10, 1 FROM c WHERE n % 10 > 0""",
+    "distances",
+)
+def _(spark, sf):
+    """Batches of ten per origin; the rest of each comes out after a second."""
+    topic, table, state = _paths(spark, "topic", "batches", "state")
+    routes = views.distances(spark, sf)
+    writers.write_topic(messages.emit_json(routes, ["Origin", "Dest", "Distance"]), topic)
+    route = F.from_json("value", schemas.DISTANCE)
+    running = batching.start_binning(
+        readers.read_topic(spark, topic), route["Origin"], writers.insert_statement(route["Origin"], route["Dest"], route["Distance"]),
+        table, state, size=10, max_age_ms=1000, trigger={"processingTime": "200 milliseconds"},
+    )
+    total = routes.count()
+
+    def done():
+        stored = existing(spark, table)
+        return stored is not None and batching.insert_texts(spark, table).agg(F.sum("n")).first()[0] == total
+
+    jobs.run_until(running, done)
+    batches = batching.insert_texts(spark, table)
+    return batches.groupBy("bin", "released", "n").agg(F.count(F.lit(1)).alias("batches"))
 
 
 @query(

@@ -6,12 +6,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flightlake.operators import tables
+from flightlake.operators.incremental import IncrementalView
 from flightlake.operators.sizing import spread
 from flightlake.plans import views
 from flightlake.plans.catalog import query
-from flightlake.session import scratch_dir
+from flightlake.session import remove, scratch_dir
 from flightlake.sources import loads
-from flightlake.streaming import jobs
+from flightlake.streaming import jobs, totals
 
 ORDER_FIELDS = "o_orderkey:INTEGER,o_custkey:INTEGER,o_orderstatus,o_totalprice:FLOAT,o_orderpriority:STRING"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -592,6 +593,25 @@ def _(spark, sf):
     return spark.read.schema("event_id bigint, kind string").parquet(out)
 
 
+@query(
+    "w_continuous_query_totals",
+    """SELECT event_type, CAST(count(*) AS BIGINT) AS n, max(event_id) AS newest, CAST(sum(user_id) AS BIGINT) AS visitors FROM events GROUP BY event_type""",
+)
+def _(spark, sf):
+    """Totals over a growing folder: drained after each of three parts, stored once in between."""
+    topic, out, state = (scratch_dir(spark, n) for n in ("topic", "out", "state"))
+    rows = views.table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    text = "SELECT event_type, count(*) AS n, max(event_id) AS newest, sum(user_id) AS visitors FROM arriving_rows GROUP BY event_type"
+    schema = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("newest"), F.sum("user_id").alias("visitors")).schema
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).write.mode("append").json(topic)
+        stream = spark.readStream.schema(rows.schema).json(topic)
+        jobs.drain(totals.start_totals(spark, text, "arriving_rows", stream, out, state))
+        if part == 1:
+            totals.compact_totals(spark, out, schema, ["event_type"])
+    return totals.read_totals(spark, out, schema, ["event_type"])
+
+
 @query(
     "w_query_udf",
     """SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN 'small' WHEN o_totalprice < 300000 THEN 'middle' ELSE 'large' END AS class FROM orders""",
@@ -635,3 +655,29 @@ def _(spark, sf):
     )
     view.read(spark, now=1_000.0)
     return view.read(spark, now=1_060.0)
+
+
+@query(
+    "w_materialized_view_incremental",
+    """SELECT o_orderpriority, CAST(count(o_custkey) AS BIGINT) AS n, CAST(sum(o_custkey) AS BIGINT) AS customers,
+       min(o_orderkey) AS first_order, max(o_orderkey) AS last_order, avg(o_custkey) AS middle
+       FROM orders WHERE o_orderkey % 3 <> 1 GROUP BY o_orderpriority""",
+)
+def _(spark, sf):
+    """Refreshed after each change of the table: two parts come, then one goes and another comes."""
+    table, path = scratch_dir(spark, "orders"), scratch_dir(spark, "view")
+    view = IncrementalView(
+        table, path, ["o_orderpriority"],
+        {
+            "n": ("count", "o_custkey"), "customers": ("sum", "o_custkey"), "first_order": ("min", "o_orderkey"),
+            "last_order": ("max", "o_orderkey"), "middle": ("avg", "o_custkey"),
+        },
+    )
+    orders = _orders(spark, sf).select(*ORDER_COLUMNS)
+    now = 1000.0
+    for part in (0, 1):
+        orders.where(F.col("o_orderkey") % 3 == part).write.parquet(f"{table}/part={part}")
+        view.refresh(spark, now := now + 60)
+    remove(spark, f"{table}/part=1")
+    orders.where(F.col("o_orderkey") % 3 == 2).write.parquet(f"{table}/part=2")
+    return view.read(spark, now + 60)

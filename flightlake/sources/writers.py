@@ -68,11 +68,14 @@ def in_batches(rows: DataFrame, order: list[str], size: int = BATCH_ROWS, unique
     return numbered.withColumn("batch_no", F.floor((F.col("row_no") - 1) / size))
 
 
+def insert_statement(origin: Column, dest: Column, distance: Column) -> Column:
+    """The text of one insert."""
+    return F.format_string(INSERT_TEXT, origin, dest, distance.cast("string"))
+
+
 def insert_batches(distances: DataFrame, size: int = BATCH_ROWS) -> DataFrame:
     """Display text of the insert batches: one row per batch of ``size`` statements."""
-    statement = F.format_string(
-        INSERT_TEXT, F.col("Origin"), F.col("Dest"), F.col("Distance").cast("string")
-    )
+    statement = insert_statement(F.col("Origin"), F.col("Dest"), F.col("Distance"))
     batched = in_batches(distances, ["Origin", "Dest"], size).withColumn("statement", statement)
     ordered = F.sort_array(F.collect_list(F.struct("row_no", "statement")))
     body = F.concat_ws("", F.transform(ordered, lambda s: s["statement"]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -39,6 +40,18 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def run_until(query: StreamingQuery, done: Callable[[], bool], seconds: float = 300.0) -> None:
+    """Let a query go on until ``done`` or the time is over, then stop it; its failure is raised here."""
+    until = time.monotonic() + seconds
+    try:
+        while not done():
+            if time.monotonic() > until:
+                raise TimeoutError(f"not done after {seconds} seconds")
+            query.awaitTermination(0.2)
+    finally:
+        query.stop()
+
+
 def score_lines(lines: DataFrame, model: DelayModel) -> DataFrame:
     """Request messages to prediction messages; the same for batch and stream.
 
