@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions.labels import batch_label
@@ -65,48 +65,43 @@ def matching(df: DataFrame, args: Mapping[str, str | None], fields: list[str]) -
     return df
 
 
-def _key(df: DataFrame, first: list[str]) -> Column:
-    """The total order as one comparable value; nulls last."""
-    names = [*first, *[c for c in df.columns if c not in first]]
-    cells = [cell for c in names for cell in (F.col(c).isNull(), F.col(c))]
-    return F.struct(*[cell.alias(f"k{i}") for i, cell in enumerate(cells)])
-
-
 def paged(df: DataFrame, order: list[str], start: int, size: int) -> tuple[DataFrame, int]:
     """(``size`` rows from ``start`` on in a total order, number of all rows).
 
-    The part of the order that holds the page is narrowed down: sampled keys
-    divide it into slices, one aggregation counts the rows of each, and the
-    slices around the page are divided again, until few rows are left to sort.
-    Rows equal to a sampled key are a slice of their own.  They are alike in all
-    columns, so any of them will do, and however many they are, none is sorted.
-    The number of passes grows with the logarithm of the table.  No row is
-    written or shuffled but those of the last slices, whatever the offset.
+    The part of the order that holds the page is narrowed down, one column after
+    the other: sampled values divide it into slices, one aggregation counts the
+    rows of each, and the slices around the page are divided again, until few rows
+    are left to sort.  Rows with a sampled value are a slice of their own, which the
+    next column divides; rows alike in all columns need no order, so however many
+    they are, none is sorted.  The number of passes grows with the logarithm of the
+    table, conditions are on single columns and reach the files' statistics, and no
+    row is written or shuffled but those of the last slices, whatever the offset.
     """
     total = df.count()
+    names = [*order, *[c for c in df.columns if c not in order]]
     wanted = max(0, min(size, total - start))
-    pieces = _pieces(df, df, order, start, wanted, total) if wanted else []
+    pieces = _pieces(df, names, start, wanted, total) if wanted else []
     if len(pieces) == 1:
         return pieces[0], total
     together = reduce(DataFrame.union, pieces) if pieces else df.limit(0)
     return together.orderBy(*_ordered(df, order)).limit(wanted), total
 
 
-def _pieces(df: DataFrame, rows: DataFrame, order: list[str], skip: int, take: int, left: int) -> list[DataFrame]:
-    """``take`` of ``left`` rows from ``skip`` on, as frames that each sort a bounded number of rows."""
+def _pieces(rows: DataFrame, names: list[str], skip: int, take: int, left: int) -> list[DataFrame]:
+    """``take`` of ``left`` rows from ``skip`` on in the order of ``names``, as frames that
+    each sort a bounded number of rows."""
+    if not names:
+        return [rows.limit(take)]
     if left <= SLICE_ROWS:
-        return [rows.orderBy(*_ordered(df, order)).offset(skip).limit(take)]
-    key = _key(df, order)
+        return [rows.orderBy(*[F.col(c).asc_nulls_last() for c in names]).offset(skip).limit(take)]
+    lead = F.col(names[0])
+    kind = rows.select(lead).schema[0].dataType
     # bounds only divide the work: any sample will do, and its size is fixed by the share
-    sample = rows.select(key.alias("k")).sample(min(1.0, SAMPLE / left), seed=left)
-    keys = [r["k"] for r in sample.distinct().orderBy("k").limit(2 * SAMPLE).collect()]
-    if not keys:
-        keys = [rows.select(key.alias("k")).first()["k"]]
-    bounds = [_literal(k, df, key) for k in keys[:: max(1, len(keys) // SLICES)]]
-    reached = F.filter(F.array(*bounds), lambda b: b <= key)
-    equal = F.coalesce(F.try_element_at(reached, F.lit(-1)) == key, F.lit(False))
-    # 2n is the slice after n bounds, 2n - 1 the rows equal to the n-th
-    slot = 2 * F.size(reached) - equal.cast("int")
+    known = rows.select(lead.alias("k")).filter("k is not null")
+    sample = known.sample(min(1.0, SAMPLE / left), seed=left).distinct().orderBy("k").limit(2 * SAMPLE).collect() or known.limit(1).collect()
+    values = [F.lit(r["k"]).cast(kind) for r in sample[:: max(1, len(sample) // SLICES)]]
+    last = 2 * len(values) + 1  # the slice of nulls
+    slot = F.when(lead.isNull(), F.lit(last)).otherwise(_slot(lead, values, 0, len(values)))
     counts = {r["slot"]: r["n"] for r in rows.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
     found, before = [], 0
     for slot_no, n in sorted(counts.items()):
@@ -115,22 +110,22 @@ def _pieces(df: DataFrame, rows: DataFrame, order: list[str], skip: int, take: i
         if own <= 0:
             continue
         if slot_no % 2:
-            found.append(rows.filter(key == bounds[slot_no // 2]).limit(own))
+            alike = rows.filter(lead.isNull() if slot_no == last else lead == values[slot_no // 2])
+            found += _pieces(alike, names[1:], inside, own, n)
             continue
-        part = rows
-        if slot_no > 0:
-            part = part.filter(key > bounds[slot_no // 2 - 1])
-        if slot_no // 2 < len(bounds):
-            part = part.filter(key < bounds[slot_no // 2])
-        found += _pieces(df, part, order, inside, own, n)
+        part = rows.filter(lead > values[slot_no // 2 - 1]) if slot_no else rows
+        part = part.filter(lead < values[slot_no // 2]) if slot_no // 2 < len(values) else part
+        found += _pieces(part.filter(lead.isNotNull()), names, inside, own, n)
     return found
 
 
-def _literal(value: Row, df: DataFrame, key: Column) -> Column:
-    """A collected key as a constant of the key's type."""
-    kind = df.select(key.alias("k")).schema["k"].dataType
-    cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, kind.fields)]
-    return F.struct(*cells)
+def _slot(value: Column, bounds: list[Column], low: int, high: int) -> Column:
+    """2n after n bounds, 2n - 1 at the n-th; halved at each step."""
+    if low == high:
+        return F.lit(2 * low)
+    middle = (low + high) // 2
+    left, right = _slot(value, bounds, low, middle), _slot(value, bounds, middle + 1, high)
+    return F.when(value < bounds[middle], left).when(value > bounds[middle], right).otherwise(F.lit(2 * middle + 1))
 
 
 def page(df: DataFrame, order: list[str], start: int, size: int) -> DataFrame:
