@@ -69,12 +69,14 @@ UNTIED_ERROR = 0.005  # and the largest share of made look-alikes that may pass
 # Patterns of the base spans (fixed values).
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# No match begins inside a run of digits, and a part takes its whole run.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-_ACTIVE = re.compile(r"[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*")
+_ACTIVE = re.compile(r"[0-9@]")
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _GROUPS = re.compile(r"[0-9]+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -139,6 +141,16 @@ def _small(part: str) -> bool:
 # -- tokens and ties ----------------------------------------------------------
 
 
+def active_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit or an @ sign, found from these outward; every character is looked at a few times at most."""
+    at = 0
+    while (mark := _ACTIVE.search(text, at)) is not None:
+        begin = max(at, 1 + max(text.rfind(c, at, mark.start()) for c in " \t\n\v\f\r"))
+        blank = _BLANK.search(text, mark.end())
+        at = blank.start() if blank else len(text)
+        yield begin, at
+
+
 def _shape(token: str) -> str:
     out = []
     for c in token[:40]:
@@ -166,19 +178,16 @@ class Graph:
         open_run = False
         previous = None
         first = len(self.spans)
-        for match in _ACTIVE.finditer(text):
-            begin, end = match.span()
+        for begin, end in active_tokens(text):
             while at < len(cover) and cover[at][1] <= begin:
                 at += 1
-            label = -1
-            for a, b, kind in cover[at:]:
-                if a >= end:
-                    break
-                if b > begin:
-                    label = kind
-                    break
+            label, k = -1, at
+            while k < len(cover) and cover[k][0] < end and label < 0:
+                if cover[k][1] > begin:
+                    label = cover[k][2]
+                k += 1
             node = len(self.spans)
-            token = match.group()
+            token = text[begin:end]
             self.spans.append((number, begin, end))
             self.fixed.append(label)
             self.cells.append(self._features(token, text, begin, end))

@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -51,6 +52,27 @@ def test_long_runs_are_linear():
     assert pii.base_spans("a" * 300_000 + " @ " + "b" * 300_000 + "@x") == []
 
 
+def test_long_runs_of_anything_are_linear():
+    size = 1_000_000
+    for run in ("a" * size, "\u4e2d" * size, "7" * size, "1." * (size // 2), "+1" + "(" * size, ("x" * 999 + " ") * (size // 1000)):
+        began = time.perf_counter()
+        spans = pii.base_spans(run + " me@example.org 8.8.8.8 end")
+        tokens = list(pii.active_tokens(run + " me@example.org 8.8.8.8 end"))
+        assert time.perf_counter() - began < 20
+        assert ("email", len(run) + 1, len(run) + 15) in spans and ("ip", len(run) + 16, len(run) + 23) in spans
+        assert tokens[-2:] == [(len(run) + 1, len(run) + 15), (len(run) + 16, len(run) + 23)]
+
+
+def test_active_tokens_and_addresses_equal_their_patterns():
+    random.seed(3)
+    plain = re.compile(r"[^\x20\x09-\x0D0-9@]*[0-9@][^\x20\x09-\x0D]*")
+    address = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(3000):
+        text = "".join(random.choice("a1.2@ \n\x0b\u00a0x9") for _ in range(random.randint(0, 40)))
+        assert list(pii.active_tokens(text)) == [m.span() for m in plain.finditer(text)]
+        assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in address.finditer(text)]
+
+
 def test_messages_are_exact_on_trees():
     rng = np.random.default_rng(3)
     graph = pii.Graph()
