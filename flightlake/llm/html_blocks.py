@@ -1,9 +1,15 @@
-"""Leaf blocks of a web page: runs of text that no block-level tag divides."""
+"""Leaf blocks of a web page: runs of text that no block-level tag divides.
+
+Open elements are found by name and by kind, never by a walk over all of them, so a
+page whose tags are never closed takes time in proportion to its length.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from dataclasses import dataclass
 
 _TAG = re.compile(
@@ -31,6 +37,9 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Of a longer path a block keeps this many elements of either end, and this many
+# words of a class, id or role are kept.
+_PATH_END, _NAME_WORDS = 32, 12
 _CLOSERS = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 
 
@@ -45,7 +54,7 @@ def _element(name: str, attributes: str) -> str:
     words = [name]
     if attributes and "=" in attributes:
         for found in _NAMED.findall(attributes):
-            words += _PART.findall("".join(found).lower())[:12]
+            words += _PART.findall("".join(found).lower())[:_NAME_WORDS]
     return " ".join(words)
 
 
@@ -53,6 +62,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     names: list[str] = []
     path: list[str] = []  # elements of ``names`` with their words, inline ones empty
+    solid: list[int] = []  # where the block-level ones are
+    spots: dict[str, list[int]] = defaultdict(list)  # where those of a name are
     parts: list[str] = []
     links = linked = 0
     begun: tuple[str, ...] = ()
@@ -72,15 +83,20 @@ def blocks(page: str) -> list[Block]:
             if not parts:
                 if value.isspace():
                     return
-                begun = tuple(p for p in path if p)
+                shown = solid if len(solid) <= 2 * _PATH_END else solid[:_PATH_END] + solid[-_PATH_END:]
+                begun = tuple(path[i] for i in shown)
             parts.append(value)
             if links:
                 linked += len(value)
 
     def pop_to(index: int) -> None:
         nonlocal links
-        links -= names[index:].count("a")
-        del names[index:], path[index:]
+        while len(names) > index:
+            name = names.pop()
+            spots[name].pop()
+            links -= name == "a"
+            if path.pop():
+                solid.pop()
 
     at = 0
     while (tag := _TAG.search(page, at)) is not None:
@@ -93,12 +109,10 @@ def blocks(page: str) -> list[Block]:
         if tag["close"]:
             if name not in INLINE:
                 flush()
-            for i in range(len(names) - 1, -1, -1):
-                if names[i] == name:
-                    pop_to(i)
-                    break
-                if name in INLINE and path[i]:
-                    break  # an inline end tag does not reach beyond its block
+            own = spots[name]
+            # an inline end tag does not reach beyond its block
+            if own and (name not in INLINE or not solid or own[-1] > solid[-1]):
+                pop_to(own[-1])
             continue
         if name == "br":
             text(" ")
@@ -110,16 +124,17 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE:
             flush()
             closes, until = ENDS.get(name, (set(), set()))
-            for i in range(len(names) - 1, -1, -1):
-                if names[i] in until:
-                    break
-                if names[i] in closes:
-                    pop_to(i)
-            last = next((i for i in range(len(names) - 1, -1, -1) if path[i]), None)
-            if last is not None and names[last] == "p":
-                pop_to(last)
+            boundary = max((spots[u][-1] for u in until if spots[u]), default=-1)
+            ended = [spots[c][k] for c in closes if (k := bisect_right(spots[c], boundary)) < len(spots[c])]
+            if ended:
+                pop_to(min(ended))
+            if solid and names[solid[-1]] == "p":
+                pop_to(solid[-1])
         if name in VOID:
             continue
+        spots[name].append(len(names))
+        if name not in INLINE:
+            solid.append(len(names))
         names.append(name)
         path.append("" if name in INLINE else _element(name, tag["quoted"] or tag["plain"] or ""))
         links += name == "a"

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -27,6 +28,16 @@ def test_blocks_of_broken_and_odd_markup():
     assert texts("<p>a" * 3 + "<") == ["a", "a", "a<"]
 
 
+def test_tags_that_are_never_closed_take_linear_time():
+    count = 200_000
+    for page, found in (("<div>x" * count, count), ("<font>x<hr>" * count, count), ("</b></i></div>x" * count, count), ("<b><div><i>" * count + "</b>x</i>" * count, 1)):
+        began = time.perf_counter()
+        assert len(blocks(page)) == found
+        assert time.perf_counter() - began < 30
+    deep = blocks("".join(f"<div id=n{i}>" for i in range(100)) + "x")[0].path
+    assert len(deep) == 64 and deep[0] == "div n 0" and deep[31] == "div n 31" and deep[32] == "div n 68" and deep[-1] == "div n 99"
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     weights = H.new_weights(rng)
