@@ -253,7 +253,7 @@ def _states(answer: list[dict], chunks: Chunks, buckets: int) -> np.ndarray:
 _ROWS = "kind int, bucket int, block long, keys binary, sizes binary, data binary"
 _ROW_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 _ROW_NAMES = ["kind", "bucket", "block", "keys", "sizes", "data"]
-WORDS, WANTED, WAITING = range(3)
+WORDS, WANTED, WAITING, HELD = range(4)
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -261,7 +261,8 @@ def _squeeze(raw: bytes) -> bytes:
 
 
 def _own_chunks(path: str, text: str, buckets: int):
-    """Encoded chunks that the block owns, and its documents that hold shared chunks with the keys they want."""
+    """Encoded chunks that the block owns, and its documents that hold shared chunks with the keys
+    they want; for later, a bit per document that holds any."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = assembler(path)
@@ -287,6 +288,7 @@ def _own_chunks(path: str, text: str, buckets: int):
                 if b > a:
                     rows.append((WANTED, bucket, block, keys[wanted[a:b]].tobytes(), None, None))
             held = _holders(state, chunks.first)
+            rows.append((HELD, None, block, np.packbits(held).tobytes(), None, None))
             if held.any():
                 rows.append((WAITING, None, block, None, None, _squeeze(B.stream_bytes(batch.filter(pa.array(held))))))
             yield from B.emitted(rows, _ROW_NAMES, _ROW_TYPES)
@@ -340,16 +342,22 @@ def _result(batch: pa.RecordBatch, columns: list[str], ids: list[np.ndarray], to
     return pa.RecordBatch.from_arrays([made.get(c) if c in made else batch.column(c) for c in columns], names=columns)
 
 
-def _alone(path: str, text: str, buckets: int, columns: list[str]):
-    """Documents without a shared chunk."""
+def _alone(path: str, text: str, columns: list[str]):
+    """Documents without a shared chunk: nothing of them is cut or hashed again."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = assembler(path)
-        for _, batch, chunks, states in _opened(batches, text):
-            held = _holders(_states(states, chunks, buckets), chunks.first)
-            rows = np.flatnonzero(~held)
-            if len(rows):
-                yield _result(batch.take(pa.array(rows)), columns, tool.encode(chunks, rows.tolist(), {}), tool)
+        for batch in batches:
+            for row in B.rows_of(batch):
+                rows = B.open_block(row["data"])
+                if len(row["held"]) != (rows.num_rows + 7) // 8:
+                    raise ValueError("the documents changed between two readings; write them to a table first")
+                held = np.unpackbits(np.frombuffer(row["held"], np.uint8), count=rows.num_rows)
+                if held.all():
+                    continue
+                chosen = rows.take(pa.array(np.flatnonzero(held == 0)))
+                ids, bounds = tool.encoder.encode(strings(chosen.column(text)))
+                yield _result(chosen, columns, [ids[a:b] for a, b in zip(bounds, bounds[1:])], tool)
 
     return encode
 
@@ -382,14 +390,16 @@ def encode(docs: DataFrame, tokenizer: str | None = None, text_column: str = "te
     # The states are a byte per chunk; beyond the limit the blocks are shuffled to them.
     told = blocks.join(broadcast_if_small(states), "block", "left").select("block", "data", "states")
     sent = materialize(told.mapInArrow(_own_chunks(path, text_column, buckets), _ROWS), "chunks")
-    given = sent.where(F.col("kind") != WAITING).groupBy("bucket").applyInArrow(_answer, _ANSWER)
+    given = sent.where(F.col("kind") < WAITING).groupBy("bucket").applyInArrow(_answer, _ANSWER)
     answers = given.groupBy("block").agg(F.collect_list(F.struct("keys", "sizes", "data")).alias("answer"))
     waiting = sent.where(F.col("kind") == WAITING).select("block", "data").join(answers, "block")
 
     columns = [c for c in docs.columns if c not in ("ids", "decoded")] + ["ids", "decoded"]
     new = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
     schema = T.StructType([docs.schema[c] for c in columns[:-2]] + new)
-    alone = told.mapInArrow(_alone(path, text_column, buckets, columns), schema)
+    held = sent.where(F.col("kind") == HELD).select("block", F.col("keys").alias("held"))
+    known = blocks.join(broadcast_if_small(held), "block").select("data", "held")
+    alone = known.mapInArrow(_alone(path, text_column, columns), schema)
     return alone.unionByName(waiting.mapInArrow(_together(path, text_column, columns), schema))
 
 
