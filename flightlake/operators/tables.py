@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake.functions.messages import parsed_once
 from flightlake.operators.serving import page
 from flightlake.operators.sizing import broadcast_if_small
-from flightlake.session import materialize
+from flightlake.session import folders, materialize, remove
 from flightlake.sources.loads import CORRUPT, TAB_NAMES, accept, file_path, parse_strict
 
 # --- writing -----------------------------------------------------------------
@@ -137,19 +137,36 @@ def time_partition(df: DataFrame, field: str | None = None, unit: str = "DAY", i
     return df.withColumn(into, F.date_format(ts, PARTITION_FORMATS[unit]))
 
 
-def unexpired(df: DataFrame, seconds: int, now: Column, unit: str = "DAY", column: str = "partition_id") -> DataFrame:
-    """Partitions younger than their time plus ``seconds``; 0 or less keeps all.
-
-    The condition is on the partition column alone, so expired folders are not read.
-    """
-    if seconds <= 0:
-        return df
+def _alive(seconds: int, now: Column, unit: str, column: str) -> Column:
     # A bare year or month starts on its first day.
     first_day = {"YEAR": "0101", "MONTH": "01"}.get(unit, "")
     padded = F.rpad(F.concat(F.col(column).cast("string"), F.lit(first_day)), 10, "0")
     start = F.try_to_timestamp(padded, F.lit(PARTITION_FORMATS["HOUR"]))
     # Rows without a partition time never expire.
-    return df.filter(start.isNull() | (start + F.make_dt_interval(secs=F.lit(seconds)) > now))
+    return start.isNull() | (start + F.make_dt_interval(secs=F.lit(seconds)) > now)
+
+
+def unexpired(df: DataFrame, seconds: int, now: Column, unit: str = "DAY", column: str = "partition_id") -> DataFrame:
+    """Partitions younger than their time plus ``seconds``; 0 or less keeps all.
+
+    The condition is on the partition column alone, so expired folders are not read.
+    """
+    return df.filter(_alive(seconds, now, unit, column)) if seconds > 0 else df
+
+
+def drop_expired(spark: SparkSession, path: str, seconds: int, now: Column, unit: str = "DAY", column: str = "partition_id") -> list[str]:
+    """Delete the folders of expired partitions of the table at ``path``; returns their ids.
+
+    The ids come from the folder names, no file is read; 0 or less keeps all.
+    """
+    ids = [name.removeprefix(f"{column}=") for name in folders(spark, path) if name.startswith(f"{column}=")]
+    if seconds <= 0 or not ids:
+        return []
+    listed = spark.createDataFrame([(i,) for i in ids], f"`{column}` string")
+    expired = sorted(r[0] for r in listed.filter(~_alive(seconds, now, unit, column)).collect())
+    for partition in expired:
+        remove(spark, f"{path}/{column}={partition}")
+    return expired
 
 
 def range_partition(df: DataFrame, spec: str, into: str = "bucket_start") -> DataFrame:

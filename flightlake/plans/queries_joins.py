@@ -10,9 +10,11 @@ from flightlake.operators import aggregates, joins, training
 from flightlake.operators.latest import store_predictions
 from flightlake.plans import views
 from flightlake.plans.catalog import query
-from flightlake.session import materialize
+from flightlake.session import materialize, scratch_dir
+from flightlake.sources import writers
 from flightlake.streaming.jobs import MESSAGE_COLUMNS
 
+ROUTE_BUCKETS = 16
 ROUTE_COLUMNS = ("FlightNum", "TailNum", "FlightDate", "Origin", "Dest")
 
 
@@ -32,6 +34,21 @@ def _(spark, sf):
     return joins.distance_lookup(views.flights(spark, sf, *ROUTE_COLUMNS), known_distances(spark, sf))
 
 
+@query(
+    "distance_lookup_bucketed",
+    """SELECT f."FlightNum", f."TailNum", f."FlightDate", f."Origin", f."Dest", d."Distance"
+       FROM flights f LEFT JOIN distances d ON f."Origin" = d."Origin" AND f."Dest" = d."Dest" """,
+    "flights", "distances",
+)
+def _(spark, sf):
+    """Both sides stored in buckets of the route: joined without a shuffle, whatever their sizes."""
+    sides = []
+    for name, rows in (("flights", views.flights(spark, sf, *ROUTE_COLUMNS)), ("routes", views.distances(spark, sf))):
+        path = scratch_dir(spark, name)
+        sides.append(writers.write_bucketed(rows, joins.ROUTE, ROUTE_BUCKETS, f"{name}_{path[-32:]}", path))
+    return sides[0].join(sides[1], joins.ROUTE, "left").select(*ROUTE_COLUMNS, "Distance")
+
+
 # Routes between names of equal length are unknown in the next two.
 _PARTIAL = "length(Origin) <> length(Dest)"
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake import schemas
@@ -13,7 +16,7 @@ from flightlake.plans.catalog import query
 from flightlake.plans.queries_model import fitted
 from flightlake.session import scratch_dir
 from flightlake.sources import readers, writers
-from flightlake.streaming import batching, jobs, matching
+from flightlake.streaming import batching, daily, jobs, matching
 
 
 def _paths(spark, *names):
@@ -219,27 +222,47 @@ def _(spark, sf):
     return batches.groupBy("bin", "released", "n").agg(F.count(F.lit(1)).alias("batches"))
 
 
-@query(
-    "stream_daily_index",
-    """SELECT event_date, kind, CAST(count(*) AS BIGINT) AS n FROM (
+_BY_DAY = """SELECT event_date, kind, CAST(count(*) AS BIGINT) AS n FROM (
          SELECT strftime(ts, '%Y.%m.%d') AS event_date, 'asked' AS kind FROM events WHERE event_id % 97 <> 0
          UNION ALL SELECT strftime(ts, '%Y.%m.%d'), 'answered' FROM events
-         UNION ALL SELECT 'today', 'broken' FROM events WHERE event_id % 97 = 0) GROUP BY ALL""",
-)
-def _(spark, sf):
-    out, state = _paths(spark, "index", "state")
-    answered = readers.read_topic(spark, _prediction_topic(spark, views.predictions_a(spark, sf)))
-    rows = jobs.index_rows(_request_topic(spark, sf), answered)
-    jobs.drain(jobs.start_daily(rows, out, state))
+         UNION ALL SELECT 'today', 'broken' FROM events WHERE event_id % 97 = 0) GROUP BY ALL"""
+
+
+def _counts_by_day(stored):
     kind = (
         F.when(F.col("UUID").isNull(), "broken").when(F.col("Prediction").isNull(), "asked").otherwise("answered")
     )
-    stored = spark.read.schema("UUID string, Prediction double, batch_id bigint, event_date string").parquet(out)
     # A message without a readable time is filed under the day it arrived.
     day = F.when(kind == "broken", "today").otherwise(F.col("event_date"))
     return stored.groupBy(day.alias("event_date"), kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stream_daily_index", _BY_DAY)
+def _(spark, sf):
+    out, state = _paths(spark, "index", "state")
+    answered = readers.read_topic(spark, _prediction_topic(spark, views.predictions_a(spark, sf)))
+    rows = jobs.index_rows(_request_topic(spark, sf), answered)
+    jobs.drain(jobs.start_daily(rows, out, state))
+    return _counts_by_day(spark.read.schema("UUID string, Prediction double, batch_id bigint, event_date string").parquet(out))
+
+
+@query("stream_daily_index_compacted", _BY_DAY)
+def _(spark, sf):
+    """Stored day by day in two parts; every third day is put together after each."""
+    out, state, asked, answered = _paths(spark, "index", "state", "asked", "answered")
+    requests, predictions = views.request_lines(spark, sf), messages.emit_json(views.predictions_a(spark, sf), jobs.MESSAGE_COLUMNS)
+    schema = spark.createDataFrame([], "UUID string, Prediction double").schema
+    for part in (0, 1):
+        for lines, topic in ((requests, asked), (predictions, answered)):
+            writers.write_topic(lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part), topic)
+        rows = jobs.index_rows(readers.read_topic(spark, asked), readers.read_topic(spark, answered))
+        jobs.drain(daily.start_days(rows, out, state))
+        days = daily.stored_days(spark, out)
+        for day in days[::3]:
+            daily.compact_day(spark, out, day, rows.schema)
+    return _counts_by_day(reduce(DataFrame.unionByName, [daily.read_day(spark, out, day, schema) for day in days]))
+
+
 @query("stream_refresh_dim", """SELECT "Origin", "Dest", "Distance" + 1 AS "Distance" FROM distances""", "distances")
 def _(spark, sf):
     """The route files change under the same names; the second reload sees the new distances."""

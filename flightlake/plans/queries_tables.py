@@ -375,6 +375,20 @@ def _(spark, sf):
     return kept.select("event_id", F.col("partition_id").cast("string").alias("partition_id"))
 
 
+@query(
+    "w_partition_expiry_dropped",
+    """SELECT event_id, strftime(ts, '%Y%m%d') AS partition_id FROM events
+       WHERE date_trunc('day', ts) + INTERVAL 10 DAY > TIMESTAMP '2024-01-25 12:00:00'""",
+)
+def _(spark, sf):
+    """Folders of expired days are deleted; the table is then read without any condition."""
+    dated = tables.time_partition(views.table(spark, sf, "events").select("event_id", "ts"), "ts")
+    path = scratch_dir(spark, "days")
+    tables.write_table(dated, path, partition_by=["partition_id"])
+    tables.drop_expired(spark, path, 10 * 24 * 3600, F.lit("2024-01-25 12:00:00").cast("timestamp"))
+    return spark.read.parquet(path).select("event_id", F.col("partition_id").cast("string").alias("partition_id"))
+
+
 @query(
     "w_range_partition",
     """WITH v AS (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 9007199254740992 + o_custkey ELSE o_custkey END AS k FROM orders)

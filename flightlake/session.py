@@ -76,3 +76,10 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whatever file system holds it; whether it was there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; empty if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []

@@ -20,7 +20,7 @@ from flightlake.operators.joins import engine_match
 from flightlake.operators.latest import latest_per_key, prediction_rows
 from flightlake.operators.model import SCORING_COLUMNS, DelayModel
 from flightlake.operators.tables import existing
-from flightlake.session import scratch_dir
+from flightlake.session import folders, remove, scratch_dir
 from flightlake.sources.loads import file_path
 from flightlake.sources.writers import event_day
 
@@ -224,6 +224,23 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str
     return last
 
 
+def tidy(spark: SparkSession, path: str) -> int:
+    """Remove what readers no longer need after compactions; returns the number of folders removed.
+
+    The newest compacted table and the one before it stay, and so do the micro-batches
+    after that one, for readers that began before the newest was there.
+    """
+    tables = sorted(int(f.removeprefix("upto=")) for f in folders(spark, _base(path)) if f.startswith("upto="))
+    if len(tables) < 2:
+        return 0
+    gone = [f"{_base(path)}/upto={n}" for n in tables[:-2]]
+    batches = [int(f.removeprefix("batch_id=")) for f in folders(spark, path) if f.startswith("batch_id=")]
+    gone += [f"{path}/batch_id={n}" for n in batches if n <= tables[-2]]
+    for folder in gone:
+        remove(spark, folder)
+    return len(gone)
+
+
 # When a message arrived inside its micro-batch: file and line of a folder topic.
 ARRIVAL = (
     T.StructType().add("arrived", T.TimestampType()).add("file", T.StringType())

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from flightlake.operators.tables import existing
+from flightlake.session import folders
 from flightlake.sources import readers, writers
-from flightlake.streaming import batching, jobs, matching, totals
+from flightlake.streaming import batching, daily, jobs, matching, totals
 from tests.conftest import rows
 
 
@@ -124,3 +125,48 @@ def test_windows_leave_the_state(spark, tmp_path):
         jobs.drain(totals.start_totals(spark, text, "timed", stream, table, state, event_time="at", lateness="30 minutes"))
     got = {r["hour"].hour: r["n"] for r in totals.read_totals(spark, table, schema, ["hour"]).collect()}
     assert got == {10: 2, 11: 1, 15: 2}
+
+
+def test_days_are_put_together_while_they_are_read(spark, tmp_path):
+    topic, path, state = (str(tmp_path / n) for n in ("topic", "log", "state"))
+    schema = spark.createDataFrame([], "k int, event_date string").schema
+
+    def add(*dated):
+        spark.createDataFrame(dated, schema).repartition(3).write.mode("append").parquet(topic)
+        jobs.drain(daily.start_days(spark.readStream.schema(schema).parquet(topic), path, state))
+
+    def day(name):
+        return rows(daily.read_day(spark, path, name, schema), "k")
+
+    add(*[(i, "2024.01.01") for i in range(20)], (100, "2024.01.02"))
+    add((20, "2024.01.01"))
+    assert daily.stored_days(spark, path) == ["2024.01.01", "2024.01.02"] and len(day("2024.01.01")) == 21
+    before = day("2024.01.01")
+    assert daily.compact_day(spark, path, "2024.01.01", schema) == 1 and day("2024.01.01") == before
+    files = daily.read_day(spark, path, "2024.01.01", schema).inputFiles()
+    assert len(files) == 1 and "upto=1" in files[0]
+    assert daily.compact_day(spark, path, "2024.01.01", schema) == 1  # nothing new
+    add((21, "2024.01.01"), (101, "2024.01.02"))
+    assert len(day("2024.01.01")) == 22 and day("2024.01.02") == [(100,), (101,)]
+    # a compaction that was cut short does not count
+    (tmp_path / "log-days" / "event_date=2024.01.01" / "upto=2").mkdir()
+    assert len(day("2024.01.01")) == 22
+    assert daily.compact_day(spark, path, "2024.01.01", schema) == 2 and len(day("2024.01.01")) == 22
+    assert sorted(folders(spark, f"{path}/event_date=2024.01.01")) == ["batch_id=2"]
+    assert daily.compact_day(spark, path, "2030.01.01", schema) == -1 and day("2030.01.01") == []
+
+
+def test_compacted_micro_batches_are_removed(spark, tmp_path):
+    table = str(tmp_path / "table")
+    schema = spark.createDataFrame([], "k string, v int").schema
+
+    def newest():
+        return rows(jobs.newest(spark, table, schema, ["k"], []))
+
+    for n in range(6):
+        jobs.write_batch(spark.createDataFrame([("a", n), (f"b{n}", n)], schema), table, n)
+        if n in (1, 3, 4):
+            jobs.compact(spark, table, schema, ["k"], [])
+    want = newest()
+    assert jobs.tidy(spark, table) == 1 + 4 and newest() == want and len(want) == 7
+    assert sorted(folders(spark, table)) == ["batch_id=4", "batch_id=5"] and jobs.tidy(spark, table) == 0

@@ -80,3 +80,14 @@ def test_newest_rows_are_combined_before_the_shuffle(spark):
 def test_counts_use_no_python(spark):
     for name in ("g_du", "dual_engine_match", "delay_histogram"):
         assert "Python" not in _plan(spark_entry.queries()[name](spark, SF))
+
+
+def test_bucketed_sides_are_joined_without_a_shuffle(spark):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = _plan(spark_entry.queries()["distance_lookup_bucketed"](spark, SF))
+    finally:
+        spark.conf.set(setting, before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2

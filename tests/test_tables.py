@@ -303,3 +303,14 @@ def test_continuous_query_view_needs_its_stream(spark):
 def test_sql_function_in_a_query(spark):
     got = tables.query_with_function(spark, "plus_two(x INT) RETURNS INT RETURN x + 2", "SELECT plus_two(id) AS y FROM {t}", t=spark.range(2))
     assert rows(got) == [(2,), (3,)]
+
+
+def test_expired_folders_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days = spark.createDataFrame([("20240101", 1), ("20240102", 2), ("20240103", 3), (None, 4)], "partition_id string, v int")
+    tables.write_table(days, path, partition_by=["partition_id"])
+    now = F.lit("2024-01-04 00:00:00").cast("timestamp")
+    assert tables.drop_expired(spark, path, 0, now) == []
+    assert tables.drop_expired(spark, path, 2 * 24 * 3600, now) == ["20240101", "20240102"]
+    assert rows(spark.read.parquet(path), "v") == [(3,), (4,)]
+    assert tables.drop_expired(spark, str(tmp_path / "none"), 5, now) == []
