@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flightlake import schemas
 from flightlake.functions import messages
 from flightlake.functions.clocks import iso_text
+from flightlake.operators import versions
 from flightlake.operators.tables import existing
 from flightlake.plans import views
 from flightlake.plans.catalog import query
@@ -275,6 +276,18 @@ def _(spark, sf):
     return stored
 
 
+@query("stream_refresh_dim_versions", """SELECT "Origin", "Dest", "Distance" + 2 AS "Distance" FROM distances""", "distances")
+def _(spark, sf):
+    """Three reloads into a table of versions, each complete before it counts."""
+    feed, table = _paths(spark, "feed", "table")
+    routes = views.distances(spark, sf)
+    for extra in (0, 1, 2):
+        lines = messages.emit_json(routes.withColumn("Distance", F.col("Distance") + extra), ["Origin", "Dest", "Distance"])
+        lines.write.mode("overwrite").text(feed)
+        jobs.reload_versioned(spark, feed, table)
+    return versions.current(spark, table)
+
+
 @query("stream_checkpoint", _NEWEST, "predictions_a")
 def _(spark, sf):
     """Stopped after part of the topic and started again from the checkpoint."""

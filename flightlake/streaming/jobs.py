@@ -15,6 +15,7 @@ from flightlake import schemas
 from flightlake.functions import defaults, messages
 from flightlake.functions.clocks import parse_any
 from flightlake.functions.features import route_or_null
+from flightlake.operators import versions
 from flightlake.operators.aggregates import union_topics
 from flightlake.operators.joins import engine_match
 from flightlake.operators.latest import latest_per_key, prediction_rows
@@ -329,22 +330,34 @@ def start_daily(rows: DataFrame, path: str, checkpoint: str, trigger: Trigger =
     return start_batches(rows, handle, checkpoint, trigger)
 
 
-def reload_distances(spark: SparkSession, feed: str, path: str) -> DataFrame:
-    """Read all route files anew, also those that changed under the same name.
+def _routes(spark: SparkSession, feed: str) -> DataFrame:
+    """The routes of all route files, also of those that changed under the same name.
 
-    Of several lines for a route the one in the newest file counts, then the
-    last.  The table is replaced.
+    Of several lines for a route the one in the newest file counts, then the last.
     """
     placed = _placed(spark.read.text(feed)).withColumn("line", F.monotonically_increasing_id())
     arrival = ARRIVAL.fieldNames()
     parsed = placed.select(F.from_json("value", schemas.DISTANCE).alias("d"), *arrival).select("d.*", *arrival)
-    routes = latest_per_key(parsed.na.drop("any"), ["Origin", "Dest"], arrival).drop(*arrival)
+    return latest_per_key(parsed.na.drop("any"), ["Origin", "Dest"], arrival).drop(*arrival)
+
+
+def reload_distances(spark: SparkSession, feed: str, path: str) -> DataFrame:
+    """Read all route files anew; the table is replaced in place."""
+    routes = _routes(spark, feed)
     routes.write.mode("overwrite").parquet(path)
     return spark.read.schema(routes.schema).parquet(path)
 
 
-def start_refresh(spark: SparkSession, feed: str, path: str, checkpoint: str, trigger: Trigger | None = None) -> StreamingQuery:
+def reload_versioned(spark: SparkSession, feed: str, path: str) -> DataFrame:
+    """The same into a table of versions: readers are not disturbed, a failed reload changes nothing."""
+    return versions.replace(_routes(spark, feed), path)
+
+
+def start_refresh(
+    spark: SparkSession, feed: str, path: str, checkpoint: str, trigger: Trigger | None = None, versioned: bool = False
+) -> StreamingQuery:
     """Reload the route distances at every trigger, by default once an hour."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
-    reload = lambda _ticks, _batch_id: reload_distances(spark, feed, path)
+    load = reload_versioned if versioned else reload_distances
+    reload = lambda _ticks, _batch_id: load(spark, feed, path)
     return start_batches(ticks, reload, checkpoint, trigger or {"processingTime": REFRESH_EVERY})
