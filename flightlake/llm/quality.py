@@ -1,25 +1,33 @@
 """Quality rules: base counts, and robust multivariate outliers per language and source.
 
 Each text gives a vector of transformed statistics (log word length; square
-roots of the shares of symbols, repeated words, upper case, punctuation and
-stuttered words), shrunk towards its group's median where the text is short.
-Per (language, source) the minimum-covariance-determinant estimate is sought by
-concentration steps from a fixed start (medians and quartiles): keep the share
-``COVERAGE`` of rows that lie nearest, take their mean and covariance, repeat.
-A row whose Mahalanobis distance is beyond the chi-square quantile is rejected.
-
-All rows enter all estimates.  A step is one aggregation by (group, distance
-bin): sums within a bin are enough to find the nearest share and its moments,
-so no row is sorted or gathered, and a source with a third of all rows is
-combined before the shuffle.  Every group is judged by its own centre, however
-small it is.  Its covariance C of n rows is shrunk towards that P of its
-language, (n C + ``PRIOR_ROWS`` P) / (n + ``PRIOR_ROWS``), and a language's in the
-same way towards the mean covariance within languages (weights n).
+roots of the shares of symbols, repeated words, upper case, punctuation,
+stuttered words and lines seen before, without those that lie in repeated words),
+shrunk towards its group's centre where the text is short.  Per (language, source) the minimum-covariance-determinant
+estimate is sought by concentration: take mean and covariance of the half of
+rows that lie nearest, repeat.  Three starts (medians, shortest halves, lower
+quartiles) take ``STARTING_STEPS`` steps, the one with the least determinant goes
+on until its determinant no longer falls.  The starts lie among the rows' middle:
+a tight cluster of just under half the rows, whose determinant may be less still,
+is not looked for.  Mean and covariance of all rows within
+the quantile ``INNER`` of that estimate are then the final one, and a row whose
+Mahalanobis distance is beyond the quantile of ``TAIL`` is rejected.  Covariances
+have the squares of ``FLOOR`` added, also where determinants are compared.
+
+All texts enter all estimates; equal vectors of one group count once, so that a
+text copied many times does not make outliers of the others.  A step is one
+aggregation by (group, start, distance bin): sums within a bin are enough to find
+the nearest half and its moments, so no row is sorted or gathered, and a source
+with a third of all rows is combined before the shuffle.  Every group is judged
+by its own centre, however small it is.  Its covariance C of n vectors is shrunk
+towards that P of its language, (n C + ``PRIOR_ROWS`` P) / (n + ``PRIOR_ROWS``), and a
+language's in the same way towards the mean covariance within languages (weights n).
 
 Words are maximal runs without space and 0x09-0x0D.  Null text has no words and
 fails the base rules, as does an empty one; null languages and sources form
-groups of their own; repeated rows count each; an empty table gives an empty
-result.  Other columns stay; a column named as a result column is replaced.
+groups of their own; an empty table gives an empty result.  Other columns stay;
+``judge_documents`` replaces a column named as a result column, ``keep_good`` leaves
+columns of every name as they are.
 """
 
 from __future__ import annotations
@@ -42,16 +50,17 @@ from flightlake.session import materialize
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
 REPEAT_WINDOW = 8
-COVERAGE = 0.75
-STEPS = 4
-TAIL = 1e-5
+STARTING_STEPS = 2
+SETTLED = 1e-2  # least fall of a log determinant that counts
+INNER = 0.975
+TAIL = 2.5e-5
 PRIOR_ROWS = 200  # rows that a parent's covariance counts as
 SHRINK_WORDS = 20
-DIMENSIONS = 6
+DIMENSIONS = 7
 # Least standard deviation of each statistic: what a clean text may vary by even
 # where a group's texts are all alike (word length, symbols, repeats, upper case,
-# punctuation, stutter).
-FLOOR = (0.05, 0.1, 0.1, 0.03, 0.08, 0.1)
+# punctuation, stutter, lines seen before).
+FLOOR = (0.05, 0.1, 0.1, 0.03, 0.08, 0.1, 0.1)
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -65,22 +74,24 @@ def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _duplicate_lines(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Per text, lines with a word that equal an earlier line of the text."""
+def _line_counts(data: np.ndarray, offsets: np.ndarray, words: W.Words, repeated: np.ndarray) -> list[np.ndarray]:
+    """Per text: lines with a word; those that equal an earlier line of the text; those of the latter with a word not ``repeated``."""
     breaks = np.flatnonzero(data == 10)
     begins = np.concatenate([offsets[:-1], breaks + 1])
     ends = np.concatenate([offsets[1:], breaks])
     begins, ends = np.sort(begins), np.sort(ends)
-    words = np.concatenate([[0], np.cumsum(W.IS_WORD[data])])
-    filled = words[ends] > words[begins]
+    signs = np.concatenate([[0], np.cumsum(W.IS_WORD[data])])
+    filled = signs[ends] > signs[begins]
     begins, ends = begins[filled], ends[filled]
     text = np.searchsorted(offsets, begins, "right") - 1
+    fresh = np.concatenate([[0], np.cumsum(~repeated)])
+    beside = fresh[np.searchsorted(words.begins, ends)] > fresh[np.searchsorted(words.begins, begins)]
     keys = W.spans_hash(W._BYTE[0][data], begins, ends, W._BASE[0])
     order = np.lexsort((keys, text))
-    keys, text = keys[order], text[order]
+    keys, text, beside = keys[order], text[order], beside[order]
     again = np.zeros(len(keys), bool)
     again[1:] = (keys[1:] == keys[:-1]) & (text[1:] == text[:-1])
-    return np.bincount(text[again], minlength=len(offsets) - 1)
+    return [np.bincount(chosen, minlength=len(offsets) - 1) for chosen in (text, text[again], text[again & beside])]
 
 
 def _repeated_words(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -116,10 +127,12 @@ def text_stats(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray],
     n = np.diff(first)
     chars = _per_text(W.IS_WORD[data] & _HEAD[data], offsets)
     symbols = _per_text(_SYMBOL[data], offsets)
-    repeated = _per_text(_repeated_words(hashes, first), first)
+    repeats = _repeated_words(hashes, first)
+    repeated = _per_text(repeats, first)
     stutter = np.zeros(len(hashes), bool)
     stutter[1:] = hashes[1:] == hashes[:-1]
     stutter[first[:-1][first[:-1] < len(hashes)]] = False
+    lines, seen, seen_apart = _line_counts(data, offsets, words, repeats)
     some, wide = np.maximum(n, 1), np.maximum(chars, 1)
     vectors = np.stack(
         [
@@ -129,10 +142,11 @@ def text_stats(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray],
             np.sqrt(_per_text(_upper(data), offsets) / wide),
             np.sqrt(_per_text(_MARK[data], offsets) / some),
             np.sqrt(_per_text(stutter, first) / some),
+            np.sqrt(seen_apart / np.maximum(lines, 1)),
         ],
         axis=1,
     )
-    return [n, chars, symbols, _duplicate_lines(data, offsets), repeated], vectors
+    return [n, chars, symbols, seen, repeated], vectors
 
 
 def _measurer(text: str, name: str, columns: list[str]):
@@ -161,13 +175,20 @@ def base_failed(stats: Column) -> Column:
     return (stats["n_words"] < LEAST_WORDS) | repeated
 
 
+def chi_square_above(x: float, dimensions: int) -> float:
+    """How probable a chi-square variable above ``x`` is."""
+    odd = dimensions % 2
+    above = math.erfc(math.sqrt(x / 2)) if odd else 0.0
+    powers = [k + odd / 2 for k in range(dimensions // 2)]
+    return above + math.exp(-x / 2) * sum((x / 2) ** k / math.gamma(k + 1) for k in powers)
+
+
 def chi_square_quantile(dimensions: int, tail: float) -> float:
-    """Where an even-dimensional chi-square variable exceeds with probability ``tail``."""
+    """Where a chi-square variable exceeds with probability ``tail``."""
     low, high = 0.0, 1000.0
     for _ in range(100):
         x = (low + high) / 2
-        above = math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(dimensions // 2))
-        low, high = (x, high) if above > tail else (low, x)
+        low, high = (x, high) if chi_square_above(x, dimensions) > tail else (low, x)
     return low
 
 
@@ -176,49 +197,103 @@ _BINS, _PER_OCTAVE, _LEAST = 480, 16, 2.0**-12
 _GRAIN = 1000  # bins of the starting medians, per unit
 
 _ESTIMATE = "key string, rows bigint, center array<double>, precision array<double>"
+_STEP = "key string, start int, rows bigint, center array<double>, precision array<double>, spread double"
+_STEP_COLUMNS = ["key", "start", "rows", "center", "precision", "spread"]
+
+
+def _half(rows: int) -> int:
+    """The number of rows that the determinant is taken of."""
+    return min(rows, (rows + DIMENSIONS + 1) // 2)
 
 
-def _start(rows: pd.DataFrame) -> pd.DataFrame:
-    """Medians and quartile widths of a group from (dim, cell, rows)."""
-    center, spread, total = [], [], 0
+def _starts(rows: pd.DataFrame) -> pd.DataFrame:
+    """The starts of a group from (dim, cell, rows): medians, middles of the shortest halves, lower quartiles."""
+    centers, spreads, total = [], [], 0
     for dim in range(DIMENSIONS):
         own = rows[rows["dim"] == dim].sort_values("cell")
         total = int(own["rows"].sum())
-        below = own["rows"].cumsum().to_numpy()
-        low, mid, high = (own["cell"].iloc[int(np.searchsorted(below, q * total))] / _GRAIN for q in (0.25, 0.5, 0.75))
-        center.append(float(mid))
-        spread.append(((high - low) / 1.349) ** 2 + FLOOR[dim] ** 2)
-    precision = np.diag(1 / np.array(spread)).ravel().tolist()
-    return pd.DataFrame([(rows["key"].iloc[0], total, center, precision)], columns=["key", "rows", "center", "precision"])
+        values, below = own["cell"].to_numpy() / _GRAIN, own["rows"].cumsum().to_numpy()
+        low, mid, high = (values[int(np.searchsorted(below, q * total))] for q in (0.25, 0.5, 0.75))
+        ends = np.searchsorted(below, below - own["rows"].to_numpy() + _half(total))
+        begins = np.flatnonzero(ends < len(values))
+        widths = values[ends[begins]] - values[begins]
+        at = int(np.argmin(widths))
+        middle = (values[begins[at]] + values[ends[begins[at]]]) / 2
+        # every statistic but the word length is a share of what poor text has more of
+        centers.append((mid, middle, low if dim else mid))
+        spreads.append((high - low, widths[at], high - low))
+    variances = np.square(np.array(spreads) / 1.349) + np.square(FLOOR)[:, None]
+    found = [
+        (rows["key"].iloc[0], start, total, [float(c[start]) for c in centers], np.diag(1 / variances[:, start]).ravel().tolist(), math.inf)
+        for start in range(variances.shape[1])
+    ]
+    return pd.DataFrame(found, columns=_STEP_COLUMNS)
+
+
+def _covariance(rows: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    center = sums / rows
+    upper = np.zeros((DIMENSIONS, DIMENSIONS))
+    upper[np.triu_indices(DIMENSIONS)] = products / rows
+    return center, upper + np.triu(upper, 1).T - np.outer(center, center)
 
 
-def concentrate(bins: np.ndarray, counts: np.ndarray, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Centre and precision of the nearest share of rows, from sums per distance bin."""
+def concentrate(bins: np.ndarray, counts: np.ndarray, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centre, precision and log determinant of the nearest half of rows, from sums per distance bin.
+
+    Of the bin in which the half ends, a share of its sums is taken.
+    """
     order = np.argsort(bins)
     below = np.cumsum(counts[order])
-    need = math.ceil(COVERAGE * below[-1])
+    total = int(below[-1])
+    need = _half(total)
     last = int(np.searchsorted(below, need))
+    share = np.ones(last + 1)
+    share[last] = 1 - (below[last] - need) / counts[order[last]]
     near = order[: last + 1]
-    n = counts[near].sum()
-    center = sums[near].sum(0) / n
-    upper = np.zeros((DIMENSIONS, DIMENSIONS))
-    upper[np.triu_indices(DIMENSIONS)] = products[near].sum(0) / n
-    covariance = upper + np.triu(upper, 1).T - np.outer(center, center)
+    center, covariance = _covariance(need, share @ sums[near], share @ products[near])
+    covariance += np.diag(np.square(FLOOR))
     edge = _LEAST * 2 ** ((bins[order[last]] + 1) / _PER_OCTAVE)
-    # The share's widest distance should be that of as large a share of a normal
+    # The half's widest distance should be that of as large a share of a normal
     # distribution.  The floors make distances smaller, which is meant.
-    scale = max(1.0, edge / chi_square_quantile(DIMENSIONS, 1 - COVERAGE))
-    return center, np.linalg.inv((covariance + np.diag(np.square(FLOOR))) * scale)
+    scale = max(1.0, edge / chi_square_quantile(DIMENSIONS, 1 - need / (total + 1)))
+    return center, np.linalg.inv(covariance * scale), float(np.linalg.slogdet(covariance)[1])
+
+
+_X = [f"x{i}" for i in range(DIMENSIONS)]
+_SUMS = [f"s{i}" for i in range(DIMENSIONS)]
+_PRODUCTS = [f"p{i}_{j}" for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+
+
+def _moments() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *(F.sum(x).alias(s) for x, s in zip(_X, _SUMS)),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)),
+    ]
 
 
 def _step(rows: pd.DataFrame) -> pd.DataFrame:
-    x = [f"s{i}" for i in range(DIMENSIONS)]
-    xx = [f"p{i}_{j}" for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
-    center, precision = concentrate(
-        rows["bin"].to_numpy(), rows["rows"].to_numpy(), rows[x].to_numpy(), rows[xx].to_numpy()
+    center, precision, spread = concentrate(
+        rows["bin"].to_numpy(), rows["rows"].to_numpy(), rows[_SUMS].to_numpy(), rows[_PRODUCTS].to_numpy()
     )
-    total = int(rows["rows"].sum())
-    return pd.DataFrame([(rows["key"].iloc[0], total, center.tolist(), precision.ravel().tolist())], columns=["key", "rows", "center", "precision"])
+    first = rows.iloc[0]
+    found = (first["key"], first["start"], int(rows["rows"].sum()), center.tolist(), precision.ravel().tolist(), spread)
+    return pd.DataFrame([found], columns=_STEP_COLUMNS)
+
+
+def _reweighted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Estimates from the moments of the rows within the inner quantile."""
+    inner = chi_square_quantile(DIMENSIONS, 1 - INNER)
+    factor = INNER / (1 - chi_square_above(inner, DIMENSIONS + 2))  # what cutting there takes off a normal covariance
+    for part in parts:
+        found = []
+        for key, total, rows, sums, products in zip(
+            part["key"], part["total"], part["rows"], part[_SUMS].to_numpy(), part[_PRODUCTS].to_numpy()
+        ):
+            center, covariance = _covariance(rows, sums, products)
+            precision = np.linalg.inv(covariance * factor + np.diag(np.square(FLOOR)))
+            found.append((key, total, center.tolist(), precision.ravel().tolist()))
+        yield pd.DataFrame(found, columns=["key", "rows", "center", "precision"])
 
 
 def _shrunk(x: Column, center: Column, n_words: Column, i: int) -> Column:
@@ -242,32 +317,59 @@ def _keys(groups: list[Column]) -> list[Column]:
     return [F.concat_ws("\x1f", F.lit(str(k)), *texts[:k]) for k in range(len(groups), min(len(groups), 1) - 1, -1)]
 
 
+def _placed(leveled: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Rows beside their groups' estimates: squared distance ``far``, and ``_X``, what shrinking leaves around the centre."""
+    side = estimate.select("key", "start", "center", "precision")
+    joined = leveled.join(broadcast_if_small(side), "key")
+    far = _distance(F.col("x"), F.col("n"), F.col("center"), F.col("precision"))
+    off = [_shrunk(F.col("x"), F.col("center"), F.col("n"), i) + F.col("center")[i] for i in range(DIMENSIONS)]
+    return joined.select("key", "start", far.alias("far"), *(o.alias(x) for o, x in zip(off, _X)))
+
+
+def _concentrated(leveled: DataFrame, estimate: DataFrame) -> DataFrame:
+    """One concentration step of each estimate."""
+    cell = F.floor(F.log2(F.greatest("far", F.lit(_LEAST)) / _LEAST) * _PER_OCTAVE)
+    binned = _placed(leveled, estimate).withColumn("bin", F.least(cell, F.lit(_BINS - 1)).cast("int"))
+    sums = binned.groupBy("key", "start", "bin").agg(*_moments())
+    return sums.groupBy("key", "start").applyInPandas(_step, _STEP)
+
+
+def least_determinant(leveled: DataFrame) -> DataFrame:
+    """Per ``key`` of rows (n, x, key) the settled estimate of least determinant: ``_STEP`` and ``moving`` (written)."""
+    cells = leveled.select("key", F.posexplode("x").alias("dim", "v")).select(
+        "key", "dim", F.floor(F.col("v") * _GRAIN + 0.5).alias("cell")
+    )
+    counted = cells.groupBy("key", "dim", "cell").agg(F.count(F.lit(1)).alias("rows"))
+    tried = materialize(counted.groupBy("key").applyInPandas(_starts, _STEP), "estimate")
+    for _ in range(STARTING_STEPS):
+        tried = materialize(_concentrated(leveled, tried), "estimate")
+    least = F.min_by(F.struct(*_STEP_COLUMNS[1:]), F.struct("spread", "start")).alias("best")
+    best = materialize(tried.groupBy("key").agg(least).select("key", "best.*", F.lit(True).alias("moving")), "estimate")
+    # every round lowers some determinant by a least amount, and floors bound them from below
+    while not best.where("moving").isEmpty():
+        after = _concentrated(leveled, best.where("moving"))
+        all_of = F.struct(*_STEP_COLUMNS[1:])
+        both = best.select("key", F.lit(0).alias("at"), all_of.alias("found")).unionAll(after.select("key", F.lit(1), all_of))
+        pairs = both.groupBy("key").agg(F.min_by("found", "at").alias("old"), F.max_by("found", "at").alias("new"))
+        falls = F.col("new.spread") < F.col("old.spread") - SETTLED
+        chosen = pairs.select("key", falls.alias("moving"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("found"))
+        best = materialize(chosen.select("key", "found.*", "moving"), "estimate")
+    return best
+
+
 def fit(measured: DataFrame, groups: list[str], name: str = "quality") -> DataFrame:
     """One estimate per group at each level (written)."""
     q = F.col(name)
     good = measured.where(~base_failed(q)).select(
         q["n_words"].cast("double").alias("n"), q["x"].alias("x"), F.array(*_keys([F.col(g) for g in groups])).alias("keys")
     )
-    rows = materialize(good, "statistics")
+    rows = materialize(good.distinct(), "statistics")
     leveled = rows.select("n", "x", F.explode("keys").alias("key"))
-    cells = leveled.select("key", F.posexplode("x").alias("dim", "v")).select(
-        "key", "dim", F.floor(F.col("v") * _GRAIN + 0.5).alias("cell")
-    )
-    counted = cells.groupBy("key", "dim", "cell").agg(F.count(F.lit(1)).alias("rows"))
-    estimate = materialize(counted.groupBy("key").applyInPandas(_start, _ESTIMATE), "estimate")
-    for _ in range(STEPS):
-        joined = leveled.join(broadcast_if_small(estimate.drop("rows")), "key")
-        far = _distance(F.col("x"), F.col("n"), F.col("center"), F.col("precision"))
-        cell = F.floor(F.log2(F.greatest(far, F.lit(_LEAST)) / _LEAST) * _PER_OCTAVE)
-        # moments of what the shrinking leaves, around the old centre
-        off = [_shrunk(F.col("x"), F.col("center"), F.col("n"), i) + F.col("center")[i] for i in range(DIMENSIONS)]
-        cut = joined.select("key", F.least(cell, F.lit(_BINS - 1)).cast("int").alias("bin"), *(o.alias(f"x{i}") for i, o in enumerate(off)))
-        sums = cut.groupBy("key", "bin").agg(
-            F.count(F.lit(1)).alias("rows"),
-            *(F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMENSIONS)),
-            *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)),
-        )
-        estimate = materialize(sums.groupBy("key").applyInPandas(_step, _ESTIMATE), "estimate")
+    best = least_determinant(leveled)
+    near = _placed(leveled, best).where(F.col("far") <= chi_square_quantile(DIMENSIONS, 1 - INNER))
+    totals = best.select("key", F.col("rows").alias("total"))
+    sums = near.groupBy("key").agg(*_moments()).join(broadcast_if_small(totals), "key")
+    estimate = materialize(sums.mapInPandas(_reweighted, _ESTIMATE), "estimate")
     return _toward_parents(estimate, rows)
 
 
@@ -337,7 +439,9 @@ def judge_documents(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source"
 
 def keep_good(docs: DataFrame, groups: tuple[str, ...] = ("lang", "source"), text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns as they are."""
-    name = "quality" if "quality" not in docs.columns else "quality_of_text"
-    slim = measure(docs.select(F.col(text_column).alias("text"), *groups)).drop("text")
-    estimate = fit(slim, list(groups))
-    return judge(measure(docs, text_column, name), estimate, list(groups), name).where("kept").select(*docs.columns)
+    plain = {c: f"column{i}" for i, c in enumerate(docs.columns)}  # no column has a name that is used here
+    renamed = docs.toDF(*plain.values())
+    text, by = plain[text_column], [plain[g] for g in groups]
+    estimate = fit(measure(renamed.select(text, *by), text).drop(text), by)
+    kept = judge(measure(renamed, text), estimate, by).where("kept")
+    return kept.select(*plain.values()).toDF(*plain)

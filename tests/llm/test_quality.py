@@ -70,22 +70,70 @@ def test_keep_good_keeps_columns_and_empty_tables(spark):
     assert Q.judge_documents(docs.limit(0).drop("kept")).count() == 0
 
 
-def test_concentration_from_bins_is_the_subset_estimate():
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(400, 6)) * 3
+def sums_by_bin(x):
     d2 = (x**2).sum(1)
     bins = np.floor(np.log2(np.maximum(d2, Q._LEAST) / Q._LEAST) * Q._PER_OCTAVE).astype(int)
     keys = np.unique(bins)
-    upper = np.triu_indices(6)
+    upper = np.triu_indices(Q.DIMENSIONS)
     sums = np.array([x[bins == k].sum(0) for k in keys])
     products = np.array([(x[bins == k].T @ x[bins == k])[upper] for k in keys])
-    counts = np.array([(bins == k).sum() for k in keys])
-    center, precision = Q.concentrate(keys, counts, sums, products)
-    edge = np.sort(bins)[int(np.ceil(0.75 * 400)) - 1]
-    near = x[bins <= edge]
-    cov = np.cov(near.T, bias=True) + np.diag(np.square(Q.FLOOR))
-    scale = Q._LEAST * 2 ** ((edge + 1) / Q._PER_OCTAVE) / Q.chi_square_quantile(6, 0.25)
-    assert np.allclose(center, near.mean(0)) and np.allclose(precision, np.linalg.inv(cov * max(1, scale)))
+    return bins, keys, np.array([(bins == k).sum() for k in keys]), sums, products
+
+
+def test_concentration_from_bins_is_the_subset_estimate():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, Q.DIMENSIONS)) * 3
+    bins, keys, counts, sums, products = sums_by_bin(x)
+    need = (400 + Q.DIMENSIONS + 1) // 2
+    edge = np.sort(bins)[need - 1]
+    weight = np.where(bins < edge, 1.0, 0.0)
+    weight[bins == edge] = (need - weight.sum()) / (bins == edge).sum()
+    center, precision, spread = Q.concentrate(keys, counts, sums, products)
+    mean = weight @ x / need
+    cov = (x.T * weight) @ x / need - np.outer(mean, mean) + np.diag(np.square(Q.FLOOR))
+    scale = Q._LEAST * 2 ** ((edge + 1) / Q._PER_OCTAVE) / Q.chi_square_quantile(Q.DIMENSIONS, 1 - need / 401)
+    assert np.allclose(center, mean) and np.allclose(precision, np.linalg.inv(cov * max(1, scale)))
+    assert np.isclose(spread, np.log(np.linalg.det(cov)))
+
+
+def test_chi_square_quantiles():
+    known = {(1, 0.05): 3.8415, (2, 0.05): 5.9915, (6, 1e-5): 33.1071, (7, 0.025): 16.0128, (7, 0.5): 6.3458, (9, 0.05): 16.9190}
+    for (dimensions, tail), value in known.items():
+        assert abs(Q.chi_square_quantile(dimensions, tail) - value) < 1e-3
+
+
+def test_the_determinant_is_that_of_many_random_starts(spark):
+    """Three starts reach what the best of 200 random ones reaches, rows sorted by their exact distances."""
+    rng = np.random.default_rng(3)
+    mix = rng.normal(size=(Q.DIMENSIONS, Q.DIMENSIONS)) * 0.3
+    groups = {}
+    for key, share in (("a", 0.0), ("b", 0.2), ("c", 0.4), ("d", 0.48)):
+        n = 300
+        x = rng.normal(size=(n, Q.DIMENSIONS)) @ mix
+        x[: int(share * n)] += 4
+        groups[key] = x
+    tight = rng.normal(size=(300, Q.DIMENSIONS)) @ mix
+    tight[:120] = rng.normal(size=(120, Q.DIMENSIONS)) * 0.2 + 4
+    groups["tight"] = tight
+    long = 1e12  # so long that nothing is shrunk
+    rows = [(long, [float(v) for v in r], key) for key, x in groups.items() for r in x]
+    leveled = spark.createDataFrame(rows, "n double, x array<double>, key string")
+    got = {r["key"]: r for r in Q.least_determinant(leveled).collect()}
+    floor = np.diag(np.square(Q.FLOOR))
+    # a tight cluster with a few others has the least determinant; the estimate stays with the larger part
+    assert np.abs(np.array(got["tight"]["center"])).max() < 1
+    del groups["tight"]
+    for key, x in groups.items():
+        need, best = (len(x) + Q.DIMENSIONS + 1) // 2, np.inf
+        for _ in range(200):
+            near = rng.choice(len(x), Q.DIMENSIONS + 1, replace=False)
+            for _ in range(30):
+                off = x - x[near].mean(0)
+                far = np.einsum("ij,jk,ik->i", off, np.linalg.inv(np.cov(x[near].T, bias=True) + floor), off)
+                near = np.argsort(far)[:need]
+            best = min(best, np.linalg.slogdet(np.cov(x[near].T, bias=True) + floor)[1])
+        assert got[key]["spread"] < best + 0.25, (key, got[key]["spread"], best)
+        assert not got[key]["moving"]
 
 
 def test_a_small_language_is_judged_by_its_own_centre(spark):
@@ -111,3 +159,41 @@ def test_verdicts_do_not_switch_with_the_size_of_the_table(spark):
         docs = spark.createDataFrame((clean + junk) * copies, "doc_id long, text string, lang string, source string")
         verdicts = {(r["doc_id"], r["kept"]) for r in Q.judge_documents(docs).collect() if not r["base_failed"]}
         assert verdicts == {(i, True) for i in range(30)} | {(100, False)}
+
+
+def test_junk_that_makes_up_much_of_a_source_is_rejected(spark):
+    for share in (10, 30, 45):
+        rng = random.Random(share)
+        rows = [(i, sentence(rng, rng.randint(40, 200)), "en", "a") for i in range(400)]
+        junk = {i for i in range(400) if i % 100 < share}
+        rows = [(i, " ".join(w + "%%%" for w in t.split()) if i in junk else t, lang, s) for i, t, lang, s in rows]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        kept = {r["doc_id"] for r in Q.judge_documents(docs).where("kept").collect()}
+        assert kept == set(range(400)) - junk
+
+
+def test_copies_of_one_text_do_not_make_outliers_of_the_others(spark):
+    rng = random.Random(12)
+    clean = [(i, "\n".join(sentence(rng, rng.randint(5, 30)) for _ in range(4)), "en", "a") for i in range(60)]
+    rows = clean + [(1000 + i, clean[0][1], "en", "a") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert Q.judge_documents(docs).where("NOT kept AND NOT base_failed").count() == 0
+
+
+def test_lines_that_come_again_between_others_count(spark):
+    rng = random.Random(13)
+    clean = [(i, "\n".join(sentence(rng, rng.randint(5, 12)) for _ in range(12)), "en", "a") for i in range(300)]
+    again = [(1000 + i, "\n".join(f"{sentence(rng, 8)}\nshare this page" for _ in range(20)), "en", "a") for i in range(10)]
+    docs = spark.createDataFrame(clean + again, "doc_id long, text string, lang string, source string")
+    judged = {r["doc_id"]: r for r in Q.judge_documents(docs).collect()}
+    assert all(judged[i]["kept"] for i in range(300))
+    assert all(not judged[1000 + i]["kept"] and judged[1000 + i]["n_dup_lines"] == 19 for i in range(10))
+
+
+def test_keep_good_leaves_columns_of_every_name(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string, lang string, source string")
+    named = docs.selectExpr("*", "'a' AS _key", "2 AS _use", "doc_id AS kept", "true AS base_failed", "3 AS quality")
+    kept = Q.keep_good(named)
+    rows = kept.collect()
+    assert kept.columns == named.columns and len(rows) > 500
+    assert all((r["_key"], r["_use"], r["kept"], r["base_failed"], r["quality"]) == ("a", 2, r["doc_id"], True, 3) for r in rows)
