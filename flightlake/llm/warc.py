@@ -313,7 +313,7 @@ def _page_record(row: dict) -> bytes:
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
     """Read ARC files and write the equivalent WARC files."""
-    seen = _lines_of(spark, arc_path).mapInArrow(_digester, _DIGESTS)
+    seen = materialize(_lines_of(spark, arc_path).mapInArrow(_digester, _DIGESTS), "digests")
     order = F.struct(F.coalesce("page_id", F.lit(-(2**63))).alias("p"), "file", "position", "record_id", "uri", "date")
     large = seen.where(F.col("size") >= least)
     kept = large.groupBy("digest", "size").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
@@ -322,7 +322,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REV
         .select("record_id", F.col("best.record_id").alias("original"), F.col("best.uri").alias("original_uri"), F.col("best.date").alias("original_date"))
     )
     records = _lines_of(spark, arc_path).mapInArrow(_converter, "record_id string, uri string, date string, ip string, content binary")
-    told = records.join(broadcast_if_small(revisits), "record_id", "left")
+    told = records.join(broadcast_if_small(materialize(revisits, "revisits")), "record_id", "left")
     _write(told.mapInArrow(_warc_writer, "value string"), warc_path)
 
 
