@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,9 @@ from flightlake.functions.units import human_size
 # Fixed value: most parts that may be joined into one object.
 COMPOSE_PARTS = 32
 
+# Bytes of a piece whose checksum one row takes.
+PIECE_BYTES = 1 << 16
+
 
 def list_files(spark: SparkSession, root: str, hashes: bool = False) -> DataFrame:
     """Manifest of a folder tree; file contents are read only for hashes."""
@@ -81,11 +84,28 @@ def usage(manifest: DataFrame, patterns: Sequence[str] = (), summary_only: bool
     return rows
 
 
-def hashes(objects: DataFrame, content: str = "content", encoding: str = "base64") -> DataFrame:
-    """MD5 (base64 or hex) and CRC-32 of each object's bytes."""
+def hashes(
+    objects: DataFrame, content: str = "content", encoding: str = "base64", crc: Callable[[str], Column] = F.crc32
+) -> DataFrame:
+    """MD5 (base64 or hex) and a CRC of each object's bytes.
+
+    CRC-32 is built in; ``checksums.crc32c`` is the sum that object stores list, at
+    about a microsecond a byte.
+    """
     md5 = F.md5(content)
     shown = F.base64(F.unhex(md5)) if encoding == "base64" else md5
-    return objects.withColumns({"md5": shown, "crc": F.crc32(content)}).drop(content)
+    return objects.withColumns({"md5": shown, "crc": crc(content)}).drop(content)
+
+
+def in_pieces(objects: DataFrame, content: str = "content", size: int = PIECE_BYTES) -> DataFrame:
+    """Each object's bytes as rows ``start, content`` beside its other columns; an empty one is one piece, a null one too."""
+    last = F.greatest(F.octet_length(content) - 1, F.lit(0))
+    starts = F.coalesce(F.sequence(F.lit(0), last, F.lit(size)), F.array(F.lit(0)))
+    cut = F.transform(starts, lambda s: F.struct(
+        s.cast("bigint").alias("start"), F.substring(F.col(content), s + 1, F.lit(size)).alias("content")
+    ))
+    rest = [c for c in objects.columns if c != content]
+    return objects.select(*rest, F.explode(cut).alias("_piece")).select(*rest, "_piece.*")
 
 
 def sync_plan(

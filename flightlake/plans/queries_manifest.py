@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flightlake.functions import checksums
 from flightlake.functions.units import human_size, short_count
 from flightlake.operators import manifest
+from flightlake.operators.sizing import spread
 from flightlake.plans import views
 from flightlake.plans.catalog import query
 from flightlake.session import scratch_dir
@@ -125,6 +127,31 @@ def _(spark, sf):
     return both.select("doc_id", "md5_base64", "md5_hex")
 
 
+_CRC32C = f"""SELECT doc_id, "size", crc32c, to_base64(unhex(lpad(to_hex(crc32c), 8, '0'))) AS shown FROM (
+  SELECT doc_id, "size", xor(list_reduce(list_prepend({checksums.START}, bytes), lambda c, b:
+      xor(({checksums.byte_table()}::BIGINT[])[(xor(c, b) & 255) + 1], c >> 8)), {checksums.START}) AS crc32c
+  FROM (SELECT doc_id, CAST(strlen("text") AS BIGINT) AS "size",
+    list_transform(regexp_extract_all(hex(encode("text")), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM documents))"""
+
+
+@query("g_crc32c", _CRC32C)
+def _(spark, sf):
+    content = F.col("text").cast("binary")
+    docs = spread(views.table(spark, sf, "documents").select("doc_id", content.alias("content")))
+    sized = docs.withColumn("size", F.octet_length("content").cast("bigint"))
+    summed = manifest.hashes(sized, crc=checksums.crc32c).withColumnRenamed("crc", "crc32c")
+    return summed.select("doc_id", "size", "crc32c", checksums.crc_text("crc32c").alias("shown"))
+
+
+@query("g_crc32c_pieces", _CRC32C)
+def _(spark, sf):
+    """The same sums from pieces, which may lie in any order in any task."""
+    docs = views.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    pieces = manifest.in_pieces(spread(docs), size=4096).hint("rebalance", "start")
+    summed = checksums.crc32c_of_pieces(pieces, "doc_id")
+    return summed.select("doc_id", "size", "crc32c", checksums.crc_text("crc32c").alias("shown"))
+
+
 def _plan_sql(removes: str, differs: str) -> str:
     return f"""SELECT * FROM (SELECT coalesce(s."path", t."path") AS "path",
       CASE WHEN t."path" IS NULL THEN 'copy' WHEN s."path" IS NULL THEN {removes} WHEN {differs} THEN 'copy'

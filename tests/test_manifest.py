@@ -6,6 +6,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from flightlake.functions import checksums
 from flightlake.operators import manifest
 from tests.conftest import rows
 
@@ -45,6 +46,46 @@ def test_files_and_hashes(spark, tmp_path):
     assert got.md5 == hashlib.md5(b"hello").hexdigest() and got.crc == zlib.crc32(b"hello")
 
 
+# Published check values of the Castagnoli sum.
+KNOWN = [
+    (b"123456789", 0xE3069283), (bytes(32), 0x8A9136AA), (b"\xff" * 32, 0x62A8AB43),
+    (bytes(range(32)), 0x46DD794E), (bytes(range(31, -1, -1)), 0x113FDB5C), (b"", 0),
+]
+
+
+def test_crc32c_known_values(spark):
+    objects = spark.createDataFrame([(content, want) for content, want in KNOWN], "content binary, want bigint")
+    got = manifest.hashes(objects, encoding="hex", crc=checksums.crc32c)
+    assert all(r.crc == r.want for r in got.collect())
+    shown = {r.want: (r.a, r.b) for r in objects.select(
+        "want", checksums.crc_text("want").alias("a"), checksums.crc_text("want", "hex").alias("b")
+    ).collect()}
+    assert shown[0xE3069283] == ("4waSgw==", "E3069283") and shown[0] == ("AAAAAA==", "00000000")
+    assert spark.createDataFrame([(None,)], "content binary").select(checksums.crc32c("content")).first()[0] is None
+
+
+@pytest.mark.parametrize("size", [1, 7, 4096])
+def test_crc32c_of_pieces_in_any_order(spark, size):
+    texts = [*(k for k, _ in KNOWN), bytes(i * i % 251 for i in range(1000))]
+    objects = spark.createDataFrame(list(enumerate(texts)), "id int, content binary")
+    whole = rows(objects.select("id", F.octet_length("content").cast("bigint"), checksums.crc32c("content")))
+    pieces = manifest.in_pieces(objects, size=size)
+    assert pieces.agg(F.max(F.octet_length("content"))).first()[0] <= size
+    assert rows(checksums.crc32c_of_pieces(pieces.orderBy(F.desc("start")), "id")) == whole
+
+
+def test_crc32c_of_pieces_with_one_missing(spark):
+    schema = "id int, start bigint, content binary"
+    pieces = [(1, 0, b"1234"), (1, 8, b"9"), (2, 0, None), (3, 4, b"56789"), (3, 0, b"1234")]
+    got = {r.id: r.crc32c for r in checksums.crc32c_of_pieces(spark.createDataFrame(pieces, schema), "id").collect()}
+    assert got == {1: None, 2: None, 3: 0xE3069283}
+    # far beyond what one value can hold: only places count, not bytes between them
+    far = spark.createDataFrame([(1, 0, b"\x01"), (1, 1 << 40, b"\x01")], schema)
+    row = checksums.crc32c_of_pieces(far, "id").first()
+    assert row["size"] == (1 << 40) + 1 and row.crc32c is None
+    assert checksums.crc32c_of_pieces(far.limit(0), "id").count() == 0
+
+
 SCHEMA = "path string, size bigint, mtime bigint, md5 string, crc bigint"
 SOURCE = [
     ("new", 1, 1, "a", None), ("same", 1, 1, "a", None), ("older", 1, 1, "a", None), ("resized", 2, None, "a", None),
