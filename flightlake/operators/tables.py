@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.functions.messages import parsed_once
+from flightlake.operators import insert_log
 from flightlake.operators.serving import page
 from flightlake.operators.sizing import broadcast_if_small
 from flightlake.session import folders, materialize, remove
@@ -368,9 +369,10 @@ def insert_rows(
     stored = existing(lines.sparkSession, target)
     if insert_id:
         rows = rows.dropDuplicates(["insert_id"])
-        if stored is not None:
-            # ids of this request only, so the join reads one narrow column of the table
-            known = stored.select("insert_id").filter(F.col("insert_id").startswith(f"{insert_id}_"))
+        # One narrow column of the files that hold rows of this request; a first attempt reads none.
+        held = insert_log.files_of(stored, target, insert_id) if stored is not None else []
+        if held:
+            known = lines.sparkSession.read.parquet(*held).select("insert_id").filter(F.col("insert_id").startswith(f"{insert_id}_"))
             rows = rows.join(known, "insert_id", "left_anti").select(*rows.columns)
     rows.write.mode("append").parquet(target)
     return lines.sparkSession.read.schema(rows.schema).parquet(target)
