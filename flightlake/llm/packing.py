@@ -6,13 +6,14 @@ decreasing: pieces in order of falling length, each into the open window with
 the least room that still holds it.  A segment tree indexed by remaining room
 finds that window.
 
-Rows: pieces are dealt to groups by a hash of (document, start), about
-``GROUP_PIECES`` to a group, and each group is packed by itself, so the memory of
-a task is bounded and at most a few windows per group stay part empty.  Token
+Rows: pieces are numbered as they are written and dealt to groups by a hash of
+that number, about ``GROUP_PIECES`` to a group, whatever share of the rows has the
+same id or none.  Each group is packed by itself, so the memory of a task is
+bounded and at most a few windows per group stay part empty.  Token
 ids never leave the task that made them; only piece lengths are shuffled.
 
 Null text counts as empty (a document of the end id alone), repeated rows are
-packed each on their own, ties in length go by doc_id and start, an empty table
+packed each on their own, ties in length go by doc_id, start and number, an empty table
 gives an empty result, and other columns of the input are ignored.
 """
 
@@ -121,12 +122,12 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
 
 def _packer(window: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
+        rows = rows.sort_values(["length", "doc_id", "start", "piece"], ascending=[False, True, True, True])
         windows, offsets = best_fit(rows["length"].tolist(), window)
         group = int(rows["pack_group"].iloc[0])
         rows["sequence_id"] = np.asarray(windows, np.int64) + (group << 32)
         rows["offset"] = np.asarray(offsets, np.int64)
-        return rows.drop(columns="pack_group")
+        return rows.drop(columns=["piece", "pack_group"])
 
     return pack
 
@@ -142,7 +143,8 @@ def pack(
     """One row per piece: where it begins in its document and where it lies in its sequence."""
     tokenizer = tokenizer or bpe.tokenizer_path()
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    pieces = materialize(slim.mapInArrow(_cutter(tokenizer, window, end_id), PIECES), "pieces")
+    cut = slim.mapInArrow(_cutter(tokenizer, window, end_id), PIECES)
+    pieces = materialize(cut.withColumn("piece", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(pieces.count() / GROUP_PIECES))
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("piece"), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInPandas(_packer(window), PACKED)

@@ -90,6 +90,18 @@ def test_pack_covers_every_id_once(spark):
         assert sum(n for _, n in spans) <= 64
 
 
+def test_pieces_of_one_id_or_none_are_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 100)
+    docs = spark.range(900).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7L ELSE id END AS doc_id", "repeat('a b ', CAST(1 + id % 5 AS INT)) AS text"
+    )
+    got = packing.pack(docs, window=64).collect()
+    assert len(got) == 900
+    assert sum(r["doc_id"] is None for r in got) == sum(r["doc_id"] == 7 for r in got) == 300
+    groups = np.unique([r["sequence_id"] >> 32 for r in got], return_counts=True)[1]
+    assert len(groups) == 9 and groups.max() < 200
+
+
 def test_pack_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0
