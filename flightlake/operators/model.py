@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from functools import reduce
+
+from pyspark import StorageLevel, keyword_only
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasInputCols, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.operators.encode import apply_codes, assembler, fit_codes, small_columns
-from flightlake.schemas import CATEGORICAL, FEATURES, LABEL
+from flightlake.schemas import CATEGORICAL, LABEL, NUMERIC
+from flightlake.session import drop_unused_shuffles
 
 # Size and seed of the forest.
 TREES = 100
@@ -17,13 +23,40 @@ DEPTH = 12
 SEED = 42
 
 # Rows in a piece of the training set.  Bagging draws per piece, so pieces must
-# depend on the rows alone, not on the cores.
-PIECE_ROWS = 50_000
+# depend on the rows alone, not on the cores.  A piece shuffles counts of every
+# node and bin that its rows reach; large pieces share more of them.
+PIECE_ROWS = 500_000
+
+# Trees grown at a time: at least the first, more while rows times trees stay below
+# the second.  While they grow, every row is held with a number per tree, and the
+# counts of all their nodes stay on disk.
+GROUP_TREES = 5
+GROUP_CELLS = 5_000_000
+_SEED_STEP = 1_000_003
 
 VECTOR = "Features_vec"
 SCORING_COLUMNS = [VECTOR, "rawPrediction", "probability", "indices", "values"]
 
 
+class Votes(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """The class with the most votes of several forests together, the smaller one of equals.
+
+    The votes are dropped.
+    """
+
+    @keyword_only
+    def __init__(self, *, inputCols: list[str] | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._setDefault(outputCol="prediction")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        votes = [vector_to_array(c) for c in self.getInputCols()]
+        together = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), votes)
+        best = F.array_max(F.transform(together, lambda v, i: F.struct(v.alias("votes"), (-i).alias("place"))))
+        return dataset.withColumn(self.getOutputCol(), (-best["place"]).cast("double")).drop(*self.getInputCols())
+
+
 class DelayModel:
     """A vocabulary table plus a fitted forest.
 
@@ -36,6 +69,11 @@ class DelayModel:
         # Measured once, not per micro-batch.
         self._small = small_columns(codes)
 
+    @property
+    def forests(self) -> list[RandomForestClassificationModel]:
+        """The parts of the forest, which vote together."""
+        return [s for s in self.forest.stages if isinstance(s, RandomForestClassificationModel)]
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Add integer ``Prediction``; works on batch and streaming frames."""
         scored = self.forest.transform(apply_codes(df, self.codes, CATEGORICAL, self._small))
@@ -61,9 +99,7 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomFo
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        # Deep trees: remember each row's node instead of replaying the trees,
-        # and let one pass over the data grow many nodes.
-        cacheNodeIds=True,
+        # One pass over the data grows many nodes.
         maxMemoryInMB=1024,
     )
 
@@ -71,20 +107,36 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomFo
 def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> DelayModel:
     """Fit codes and forest on a training set; all passes run on the executors.
 
-    ``df`` is read several times: give it a table.
+    ``df`` is read several times: give it a table.  Trees do not depend on each
+    other, so they are grown in groups, which bounds what a row and a group's
+    shuffles take; the groups vote as one forest.
     """
     codes = fit_codes(df)
-    columns = [*FEATURES, LABEL]
-    pieces = max(8, -(-df.count() // PIECE_ROWS))
-    dealt = df.repartition(pieces, F.xxhash64(*columns)).sortWithinPartitions(*columns)
-    vectors = assembler().transform(apply_codes(dealt, codes)).select(VECTOR, LABEL)
-    # The forest passes over the vectors once per group of nodes.
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    pieces = max(8, -(-n // PIECE_ROWS))
+    size = max(GROUP_TREES, GROUP_CELLS // max(1, n))
+    columns = [*NUMERIC, *[f"{c}_code" for c in CATEGORICAL], LABEL]
+    coded = apply_codes(df, codes).select(*columns)
+    dealt = coded.repartition(pieces, F.xxhash64(*columns)).sortWithinPartitions(*columns)
+    # Every group passes over the rows.
+    dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = assembler().transform(dealt).select(VECTOR, LABEL)
+    firsts = range(0, trees, size)
+    fitted: list[RandomForestClassificationModel] = []
     try:
-        fitted: RandomForestClassificationModel = forest(trees, depth, seed).fit(vectors)
+        for i, first in enumerate(firsts):
+            # Bagging counts its pieces on from the seed.
+            group = forest(min(size, trees - first), depth, seed + i * _SEED_STEP)
+            if len(firsts) > 1:
+                # As for the whole forest; by itself a group of one tree would take all features.
+                group.setFeatureSubsetStrategy("sqrt")
+                group.setRawPredictionCol(f"votes_{i}").setProbabilityCol("").setPredictionCol("")
+            fitted.append(group.fit(vectors))
+            drop_unused_shuffles(df.sparkSession)
     finally:
-        vectors.unpersist()
-    return DelayModel(codes, PipelineModel([assembler(), fitted]))
+        dealt.unpersist()
+    votes = [Votes(inputCols=[f.getRawPredictionCol() for f in fitted])] if len(fitted) > 1 else []
+    return DelayModel(codes, PipelineModel([assembler(), *fitted, *votes]))
 
 
 def accuracy(scored: DataFrame, label: str = LABEL, prediction: str = "Prediction") -> DataFrame:

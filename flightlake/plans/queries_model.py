@@ -13,13 +13,14 @@ from flightlake.functions import defaults, features, messages
 from flightlake.operators import encode, model, registry, training
 from flightlake.plans import views
 from flightlake.plans.catalog import query
-from flightlake.session import materialize, scratch_dir
+from flightlake.session import drop_unused_shuffles, materialize, scratch_dir
 
 TRAINING_INPUT = [c for c in schemas.FEATURES if c != "Route"] + ["ArrDelay"]
 
 
 def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = materialize(training.training_set(views.flights(spark, sf, *TRAINING_INPUT)), "training")
+    drop_unused_shuffles(spark)
     return training.split_by_key(rows, [*schemas.FEATURES, schemas.LABEL])
 
 
@@ -138,13 +139,14 @@ _TEST_ROWS = f"""SELECT * FROM training WHERE {_SHARE} >= 0.8 * 4294967296"""
 def _(spark, sf):
     """Trains here, not through the cache: training rows per class, and the forest that they made."""
     train, _test = _parts(spark, sf)
-    forest = model.train(train).forest.stages[-1]
-    importance = forest.featureImportances.toArray()
-    deepest = max(tree.depth for tree in forest.trees)
+    forests = model.train(train).forests
+    importance = sum(f.featureImportances.toArray() * f.getNumTrees for f in forests)
+    grown = sum(f.getNumTrees for f in forests)
+    allowed = max(f.getMaxDepth() for f in forests)
+    deepest = max(tree.depth for f in forests for tree in f.trees)
     return train.groupBy(schemas.LABEL).agg(F.count(F.lit(1)).alias("n")).select(
-        schemas.LABEL, "n", F.lit(forest.getNumTrees).alias("trees"),
-        F.lit(forest.getMaxDepth() if deepest <= forest.getMaxDepth() else deepest).alias("depth"),
-        F.lit(forest.numFeatures).alias("features"), F.lit(round(float(importance.sum()), 9)).alias("importance"),
+        schemas.LABEL, "n", F.lit(grown).alias("trees"), F.lit(max(allowed, deepest)).alias("depth"),
+        F.lit(max(f.numFeatures for f in forests)).alias("features"), F.lit(round(float(importance.sum() / grown), 9)).alias("importance"),
     )
 
 

@@ -72,6 +72,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_unused_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results nobody holds any more.
+
+    Its cleaner learns of them when the driver's garbage is collected, which a
+    driver that has little to do may put off for half an hour.
+    """
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whatever file system holds it; whether it was there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

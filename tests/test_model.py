@@ -1,6 +1,7 @@
 """Training and scoring."""
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from flightlake import schemas
@@ -59,3 +60,43 @@ def test_confusion_and_accuracy(spark):
 def test_default_size():
     assert (model.TREES, model.DEPTH, model.SEED) == (100, 12, 42)
     assert schemas.FEATURES == ["Carrier", "Origin", "Dest", "Route", "DepDelay", "Distance", "DayOfMonth", "DayOfWeek", "DayOfYear"]
+
+
+def test_trees_are_grown_in_groups_and_vote_together(spark, tmp_path, monkeypatch):
+    """What a row holds and a group's shuffles must not grow with the number of trees."""
+    grown = []
+    plain = model.RandomForestClassifier.fit
+
+    def fit(self, dataset, *args):
+        grown.append((self.getNumTrees(), self.getSeed(), self.getCacheNodeIds()))
+        return plain(self, dataset, *args)
+
+    monkeypatch.setattr(model.RandomForestClassifier, "fit", fit)
+    monkeypatch.setattr(model, "GROUP_CELLS", 0)
+    data = materialize(training.training_set(views.flights(spark, SF, *TRAINING_INPUT)), "training")
+    fitted_model = model.train(data, trees=12, depth=4)
+    assert [n for n, _, _ in grown] == [5, 5, 2]
+    assert len({seed for _, seed, _ in grown}) == 3 and not any(ids for _, _, ids in grown)
+
+    votes = model.apply_codes(data, fitted_model.codes)
+    for stage in fitted_model.forest.stages[:-1]:
+        votes = stage.transform(votes)
+    together, expected = 0, {}
+    names = [f.getRawPredictionCol() for f in fitted_model.forests]
+    for r in votes.select(*schemas.FEATURES, *names).collect():
+        sums = [sum(v) for v in zip(*[r[n] for n in names])]
+        expected[tuple(r[c] for c in schemas.FEATURES)] = sums
+    for r in fitted_model.transform(data).collect():
+        sums = expected[tuple(r[c] for c in schemas.FEATURES)]
+        together += sums.index(max(sums)) == r["Prediction"]
+    assert together == data.count()
+
+    fitted_model.save(str(tmp_path / "m"))
+    loaded = model.DelayModel.load(spark, str(tmp_path / "m"))
+    assert [f.getNumTrees for f in loaded.forests] == [5, 5, 2]
+    assert rows(loaded.transform(data)) == rows(fitted_model.transform(data))
+
+
+def test_equal_votes_name_the_smaller_class(spark):
+    pair = spark.createDataFrame([(1, Vectors.dense(1, 2, 0), Vectors.dense(1, 0, 2)), (2, Vectors.dense(0, 1, 3), Vectors.dense(0, 1, 0))], ["id", "a", "b"])
+    assert rows(model.Votes(inputCols=["a", "b"]).transform(pair)) == [(1, 0.0), (2, 2.0)]
