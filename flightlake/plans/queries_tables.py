@@ -75,30 +75,38 @@ def _(spark, sf):
     return loads.accept(loads.load_csv(spark, path, schema, quoted_newlines=True))
 
 
+# Text in the files of a language, at most (about).
+_FILE_BYTES = 64 * 1024 * 1024
+
+
 @query(
     "w_load_csv_quoted_blocks",
     """SELECT doc_id, lang, source, "text" FROM documents""",
 )
 def _(spark, sf):
-    """One large file per language, with two lead records that have line breaks; every file is read in many pieces."""
+    """Large files per language, each with two lead records that have line breaks; every file is read in many pieces."""
     path = scratch_dir(spark, "csv")
     docs = views.table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # One task writes a file: a language has as many as keep each bounded.
+    files = 1 + size // _FILE_BYTES
 
     def quoted(name):
         return F.concat(F.lit('"'), F.replace(F.col(name), F.lit('"'), F.lit('""')), F.lit('"'))
 
-    rows = docs.select("lang", F.lit(2).alias("part"), F.concat_ws(",", "doc_id", quoted("lang"), "source", quoted("text")).alias("value"))
-    leads = docs.select("lang").distinct().select("lang", F.explode(F.array(
+    rows = docs.select("lang", F.pmod(F.monotonically_increasing_id(), F.lit(files)).alias("no"), F.lit(2).alias("part"), F.concat_ws(",", "doc_id", quoted("lang"), "source", quoted("text")).alias("value"))
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(files - 1).cast("bigint"))).alias("no")
+    leads = docs.select("lang").distinct().select("lang", numbers).select("lang", "no", F.explode(F.array(
         F.struct(F.lit(0).alias("part"), F.lit('"all documents\n""of"" a language"').alias("value")),
         F.struct(F.lit(1).alias("part"), F.lit('doc_id,lang,source,"the\ntext"').alias("value")),
-    )).alias("l")).select("lang", "l.*")
-    laid = rows.unionByName(leads).repartition("lang").sortWithinPartitions("lang", "part")
-    laid.select(F.col("lang").alias("file"), "value").write.partitionBy("file").text(path)
+    )).alias("l")).select("lang", "no", "l.*")
+    laid = rows.unionByName(leads).repartition("lang", "no").sortWithinPartitions("lang", "no", "part")
+    laid.select(F.col("lang").alias("file"), "no", "value").write.partitionBy("file", "no").text(path)
     setting = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(256 * 1024))  # small files here, so that several tasks meet in each
     try:
-        return loads.accept(loads.load_csv(spark, f"{path}/file=*", loads.schema_from_text("doc_id:INTEGER,lang,source,text"), skip_rows=2, quoted_newlines=True))
+        return loads.accept(loads.load_csv(spark, f"{path}/file=*/no=*", loads.schema_from_text("doc_id:INTEGER,lang,source,text"), skip_rows=2, quoted_newlines=True))
     finally:
         spark.conf.set(setting, before)
 

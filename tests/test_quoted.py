@@ -5,7 +5,10 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from flightlake.plans import queries_tables
+from flightlake.plans.catalog import QUERIES
 from flightlake.sources import loads, quoted
 from tests.conftest import rows
 
@@ -81,3 +84,15 @@ def test_empty_files_and_other_encodings(spark, tmp_path):
     (tmp_path / "l" / "c.csv").write_bytes('h,h\n1,"é\nb"\n'.encode("latin-1"))
     loaded = loads.load_csv(spark, str(tmp_path / "l"), schema, encoding="ISO-8859-1", skip_rows=1, quoted_newlines=True)
     assert rows(loads.accept(loaded)) == [(1, "é\nb")]
+
+
+def test_a_language_is_written_to_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    texts = [(i, f'{i} says "{"abc " * 40}"\nand\r\ngoes, on', "en" if i % 10 else "de") for i in range(400)]
+    made = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").withColumn("source", F.lit("src1"))
+    made.write.parquet(str(tmp_path / "in/documents.parquet"))
+    monkeypatch.setattr(queries_tables, "_FILE_BYTES", 16 * 1024)
+    monkeypatch.setattr(queries_tables, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    loaded = QUERIES["w_load_csv_quoted_blocks"](spark, str(tmp_path / "in"))
+    assert rows(loaded, "doc_id", "lang", "source", "text") == rows(made, "doc_id", "lang", "source", "text")
+    sizes = [f.stat().st_size for f in (tmp_path / "csv").rglob("part-*")]
+    assert max(sizes) < 2 * 16 * 1024 < sum(sizes) / 2
