@@ -99,7 +99,9 @@ def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomFo
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-        # One pass over the data grows many nodes.
+        # Deep trees: remember each row's node instead of replaying the trees,
+        # and let one pass over the data grow many nodes.
+        cacheNodeIds=True,
         maxMemoryInMB=1024,
     )
 
@@ -130,6 +132,8 @@ def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEE
             if len(firsts) > 1:
                 # As for the whole forest; by itself a group of one tree would take all features.
                 group.setFeatureSubsetStrategy("sqrt")
+                # Two more numbers per row and tree, where there are many rows.
+                group.setCacheNodeIds(False)
                 group.setRawPredictionCol(f"votes_{i}").setProbabilityCol("").setPredictionCol("")
             fitted.append(group.fit(vectors))
             drop_unused_shuffles(df.sparkSession)
