@@ -135,7 +135,8 @@ def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEE
                 # Two more numbers per row and tree, where there are many rows.
                 group.setCacheNodeIds(False)
                 group.setRawPredictionCol(f"votes_{i}").setProbabilityCol("").setPredictionCol("")
-            fitted.append(group.fit(vectors))
+            # A copy holds no training summary, which would keep the dealt rows and their shuffle.
+            fitted.append(group.fit(vectors).copy())
             drop_unused_shuffles(df.sparkSession)
     finally:
         dealt.unpersist()

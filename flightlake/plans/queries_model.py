@@ -20,7 +20,6 @@ TRAINING_INPUT = [c for c in schemas.FEATURES if c != "Route"] + ["ArrDelay"]
 
 def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     rows = materialize(training.training_set(views.flights(spark, sf, *TRAINING_INPUT)), "training")
-    drop_unused_shuffles(spark)
     return training.split_by_key(rows, [*schemas.FEATURES, schemas.LABEL])
 
 
@@ -28,7 +27,10 @@ def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def fitted(spark: SparkSession, sf: str) -> tuple[model.DelayModel, DataFrame]:
     """(model, test rows), trained once per session and folder."""
     train, test = _parts(spark, sf)
-    return model.train(train), test
+    trained = model.train(train)
+    # The rows as they were dealt for training.
+    drop_unused_shuffles(spark, wait=3)
+    return trained, test
 
 
 @query(

@@ -54,6 +54,15 @@ def flights(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     wanted = columns or tuple(expressions)
     rows = table(spark, sf, "lineitem")
     nation = table(spark, sf, "nation")
+    if {"Dest", "Distance", "AirTime"} & set(wanted):
+        dest = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
+        customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+        # Customers meet the orders first, so the line items are shuffled at
+        # most once, on the order key, and before other joins make them wider.
+        orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        orders = orders.join(dest, orders.c_nationkey == dest.cn_key)
+        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
     if {"Carrier"} & set(wanted):
         part = table(spark, sf, "part").select("p_partkey", "p_brand")
         rows = rows.join(part, rows.l_partkey == part.p_partkey)
@@ -64,15 +73,6 @@ def flights(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
         # only this way small tables are broadcast by their real size.
         rows = rows.join(supplier, rows.l_suppkey == supplier.s_suppkey)
         rows = rows.join(origin, rows.s_nationkey == origin.sn_key)
-    if {"Dest", "Distance", "AirTime"} & set(wanted):
-        dest = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cn_name"))
-        customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-        # Customers meet the orders first, so the line items are shuffled at
-        # most once, on the order key.
-        orders = orders.join(customer, orders.o_custkey == customer.c_custkey)
-        orders = orders.join(dest, orders.c_nationkey == dest.cn_key)
-        rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey)
     return rows.select(*[expressions[c].alias(c) for c in wanted])
 
 

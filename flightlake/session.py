@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,9 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+# Whether a query's shuffle files go when it ends, not when the driver's garbage is collected.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_scratch: str | None = None
 
 
@@ -65,19 +70,31 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a shared table and go on from the written rows.
 
     Later readers then know the exact size (so Spark can decide on a broadcast
-    by itself) and a lost executor re-reads files instead of recomputing.
+    by itself) and a lost executor re-reads files instead of recomputing.  The
+    shuffle files of the write are deleted when it ends.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_unused_shuffles(spark: SparkSession) -> None:
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    # Only for the write: a frame that is executed again may still need its shuffles.
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_unused_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
     """Let Spark delete the shuffle files of jobs whose results nobody holds any more.
 
     Its cleaner learns of them when the driver's garbage is collected, which a
-    driver that has little to do may put off for half an hour.
+    driver that has little to do may put off for half an hour.  With ``wait``, what
+    Python has just dropped counts too, which it tells the driver's JVM a little later.
     """
+    if wait:
+        gc.collect()
+        time.sleep(wait)
     spark._jvm.System.gc()
 
 

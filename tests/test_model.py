@@ -1,5 +1,7 @@
 """Training and scoring."""
 
+import os
+
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -100,3 +102,30 @@ def test_trees_are_grown_in_groups_and_vote_together(spark, tmp_path, monkeypatc
 def test_equal_votes_name_the_smaller_class(spark):
     pair = spark.createDataFrame([(1, Vectors.dense(1, 2, 0), Vectors.dense(1, 0, 2)), (2, Vectors.dense(0, 1, 3), Vectors.dense(0, 1, 0))], ["id", "a", "b"])
     assert rows(model.Votes(inputCols=["a", "b"]).transform(pair)) == [(1, 0.0), (2, 2.0)]
+
+
+def _shuffle_files(spark):
+    """Files that the executors hold for shuffles, in the folders of a local master."""
+    folders = [str(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    held = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    written = materialize(held, "counts")
+    assert not _shuffle_files(spark) - before
+    assert rows(written) == rows(held)
+
+
+def test_a_model_keeps_no_training_rows(spark):
+    data = materialize(training.training_set(views.flights(spark, SF, *TRAINING_INPUT)), "training")
+    trained_model = model.train(data, trees=2, depth=3)
+    assert not any(f.hasSummary for f in trained_model.forests)
+
+
+def test_narrow_line_items_meet_the_orders_first(spark):
+    """The joins that add names come after the one that shuffles all line items."""
+    plan = views.flights(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    depth = {t: next(len(l) - len(l.lstrip(" :+-")) for l in plan.splitlines() if f"{t}#" in l and "Relation" in l) for t in ("o_orderkey", "p_partkey", "s_suppkey")}
+    assert depth["o_orderkey"] > max(depth["p_partkey"], depth["s_suppkey"])
