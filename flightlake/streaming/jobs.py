@@ -95,6 +95,8 @@ def start_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "text", tr
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if by.get("partition_by"):
         writer = writer.partitionBy(by["partition_by"])
+    if by.get("compression"):
+        writer = writer.option("compression", by["compression"])
     return writer.trigger(**trigger).start(path)
 
 

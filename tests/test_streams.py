@@ -147,3 +147,14 @@ def test_log_rows_of_two_topics(spark, tmp_path):
     assert rows(got, "UUID", "Distance", "Prediction", "log_type", "event_date") == [
         ("u", 5.0, None, "flight_prediction", "2024.01.01"), ("u", None, 1.0, "flight_prediction", "2024.01.02"),
     ]
+
+
+def test_compressed_topic_and_answers_read_back_whole(spark, model, tmp_path):
+    topic, out, state = (tmp_path / n for n in ("topic", "out", "state"))
+    lines = views.request_lines(spark, SF)
+    writers.write_topic(lines, str(topic), compression="gzip")
+    jobs.drain(jobs.start_files(jobs.score_lines(readers.read_topic(spark, str(topic)), model), str(out), str(state), compression="gzip"))
+    assert rows(readers.text_lines(spark, str(out))) == rows(jobs.score_lines(lines, model))
+    for folder in (topic, out):
+        names = [f.name for f in folder.glob("part-*")]
+        assert names and all(n.endswith(".gz") for n in names)
