@@ -334,17 +334,22 @@ def _concentrated(leveled: DataFrame, estimate: DataFrame) -> DataFrame:
     return sums.groupBy("key", "start").applyInPandas(_step, _STEP)
 
 
+def _written(estimate: DataFrame, label: str = "estimate") -> DataFrame:
+    """A written table of a few rows per group, in as many files as there are cores at most."""
+    return materialize(estimate.coalesce(estimate.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def least_determinant(leveled: DataFrame) -> DataFrame:
     """Per ``key`` of rows (n, x, key) the settled estimate of least determinant: ``_STEP`` and ``moving`` (written)."""
     cells = leveled.select("key", F.posexplode("x").alias("dim", "v")).select(
         "key", "dim", F.floor(F.col("v") * _GRAIN + 0.5).alias("cell")
     )
     counted = cells.groupBy("key", "dim", "cell").agg(F.count(F.lit(1)).alias("rows"))
-    tried = materialize(counted.groupBy("key").applyInPandas(_starts, _STEP), "estimate")
+    tried = _written(counted.groupBy("key").applyInPandas(_starts, _STEP))
     for _ in range(STARTING_STEPS):
-        tried = materialize(_concentrated(leveled, tried), "estimate")
+        tried = _written(_concentrated(leveled, tried))
     least = F.min_by(F.struct(*_STEP_COLUMNS[1:]), F.struct("spread", "start")).alias("best")
-    best = materialize(tried.groupBy("key").agg(least).select("key", "best.*", F.lit(True).alias("moving")), "estimate")
+    best = _written(tried.groupBy("key").agg(least).select("key", "best.*", F.lit(True).alias("moving")))
     # every round lowers some determinant by a least amount, and floors bound them from below
     while not best.where("moving").isEmpty():
         after = _concentrated(leveled, best.where("moving"))
@@ -353,7 +358,7 @@ def least_determinant(leveled: DataFrame) -> DataFrame:
         pairs = both.groupBy("key").agg(F.min_by("found", "at").alias("old"), F.max_by("found", "at").alias("new"))
         falls = F.col("new.spread") < F.col("old.spread") - SETTLED
         chosen = pairs.select("key", falls.alias("moving"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("found"))
-        best = materialize(chosen.select("key", "found.*", "moving"), "estimate")
+        best = _written(chosen.select("key", "found.*", "moving"))
     return best
 
 
@@ -369,7 +374,7 @@ def fit(measured: DataFrame, groups: list[str], name: str = "quality") -> DataFr
     near = _placed(leveled, best).where(F.col("far") <= chi_square_quantile(DIMENSIONS, 1 - INNER))
     totals = best.select("key", F.col("rows").alias("total"))
     sums = near.groupBy("key").agg(*_moments()).join(broadcast_if_small(totals), "key")
-    estimate = materialize(sums.mapInPandas(_reweighted, _ESTIMATE), "estimate")
+    estimate = _written(sums.mapInPandas(_reweighted, _ESTIMATE))
     return _toward_parents(estimate, rows)
 
 
@@ -395,7 +400,7 @@ def _blended(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _toward_parents(estimate: DataFrame, rows: DataFrame) -> DataFrame:
     """The estimates with their covariances shrunk towards their parents', level by level from the coarsest."""
-    family = materialize(rows.select("keys").distinct(), "family")
+    family = _written(rows.select("keys").distinct(), "family")
     levels = len((family.first() or {"keys": [None]})["keys"])
     with_covariance = "key string, rows bigint, center array<double>, precision array<double>, covariance array<double>"
     done = None
@@ -410,7 +415,7 @@ def _toward_parents(estimate: DataFrame, rows: DataFrame) -> DataFrame:
             above = done.mapInPandas(_covariance_of, with_covariance).select(F.col("key").alias("parent"), F.col("covariance").alias("parent_covariance"))
             side = own.join(broadcast_if_small(above), "parent")
         blended = side.select("key", "rows", "center", "precision", "parent_covariance").mapInPandas(_blended, _ESTIMATE)
-        done = materialize(blended, "estimate")
+        done = _written(blended)
     return done
 
 

@@ -20,22 +20,39 @@ LOWER[65:91] += 32
 _random = np.random.default_rng(20240607)
 _BYTE = _random.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = [0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1]
-_powers: dict[tuple[int, bool], np.ndarray] = {}
+# Powers that are remembered: those below this, and those of its multiples.
+_TABLE = 1 << 16
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
-def powers(base: int, count: int, inverse: bool = False) -> np.ndarray:
-    """base**i (or its inverse) modulo 2**64 for i below ``count``."""
-    known = _powers.get((base, inverse))
+def _table(base: int, step: int, count: int) -> np.ndarray:
+    """base**(i * step) modulo 2**64 for i below ``count``; a negative step gives powers of the inverse."""
+    known = _powers.get((base, step))
     if known is None or len(known) < count:
-        step = pow(base, -1, 1 << 64) if inverse else base
-        terms = np.full(max(count, 1 << 16), step, np.uint64)
+        terms = np.full(max(count, _TABLE if abs(step) == 1 else 64), pow(base, step, 1 << 64), np.uint64)
         terms[0] = 1
-        known = np.multiply.accumulate(terms)
-        if len(known) <= 1 << 21:  # tables for longer texts are not kept
-            _powers[base, inverse] = known
+        known = _powers[base, step] = np.multiply.accumulate(terms)
     return known[:count]
 
 
+def powers(base: int, count: int) -> np.ndarray:
+    """base**i modulo 2**64 for i below ``count``; a long row of them is made anew each time, not kept."""
+    low = _table(base, 1, min(count, _TABLE))
+    if count <= _TABLE:
+        return low
+    high = _table(base, _TABLE, -(-count // _TABLE))
+    return np.multiply.outer(high, low).ravel()[:count]
+
+
+def inverse_powers_at(base: int, places: np.ndarray) -> np.ndarray:
+    """The inverse of base**i modulo 2**64 for each i of ``places``."""
+    h = _table(base, -1, _TABLE)[places & (_TABLE - 1)]
+    above = int(places.max(initial=0)) // _TABLE
+    if above:
+        h *= _table(base, -_TABLE, above + 1)[places // _TABLE]
+    return h
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (in place)."""
     h ^= h >> np.uint64(33)
@@ -49,10 +66,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 def spans_hash(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of ``values[begin:end]`` for each span."""
     prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=prefix[1:])
+    np.multiply(values, powers(base, len(values)), out=prefix[1:])
+    np.cumsum(prefix[1:], out=prefix[1:])
     h = prefix[ends] - prefix[begins]
     if len(h):
-        h *= powers(base, len(values) + 1, inverse=True)[begins]
+        h *= inverse_powers_at(base, begins)
     return mix(h + (ends - begins).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
