@@ -18,7 +18,7 @@ text, which bounds the memory of a bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +36,17 @@ BUCKET_BYTES = 4 << 20
 BLOCKS = "block bigint, raw bigint, data binary"
 
 
-def _pack(text: str, size: int):
+# What a block holds of the rows that were cut for it.
+Turn = Callable[[pa.RecordBatch], pa.RecordBatch]
+
+
+def _pack(text: str, size: int, turn: Turn | None):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         task = TaskContext.get().partitionId()
         number = 0
         for batch in slices(batches, text, size):
-            data = squeeze.compress(stream_bytes(batch))
+            data = squeeze.compress(stream_bytes(turn(batch) if turn else batch))
             raw = int(text_lengths(batch.column(text)).sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(task << 32) + number], pa.int64()), pa.array([raw], pa.int64()), pa.array([data], pa.binary())],
@@ -60,14 +64,14 @@ def stream_bytes(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def as_blocks(df: DataFrame, text: str, size: int | None = None) -> DataFrame:
-    """The rows of ``df`` as compressed blocks, made anew whenever they are read."""
-    return df.mapInArrow(_pack(text, size or BLOCK_BYTES), BLOCKS)
+def as_blocks(df: DataFrame, text: str, size: int | None = None, turn: Turn | None = None) -> DataFrame:
+    """The rows of ``df`` (or what ``turn`` makes of them) as compressed blocks, made anew whenever they are read."""
+    return df.mapInArrow(_pack(text, size or BLOCK_BYTES, turn), BLOCKS)
 
 
-def to_blocks(df: DataFrame, text: str) -> DataFrame:
-    """The rows of ``df`` as a written table of compressed blocks."""
-    return materialize(as_blocks(df, text), "blocks")
+def to_blocks(df: DataFrame, text: str, turn: Turn | None = None) -> DataFrame:
+    """The rows of ``df`` (or what ``turn`` makes of them) as a written table of compressed blocks."""
+    return materialize(as_blocks(df, text, turn=turn), "blocks")
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:

@@ -20,10 +20,12 @@ from flightlake.llm.words import spans_hash
 
 TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
-# Distinct pieces that a worker remembers; the memory is emptied beyond it.
+# Distinct pieces that a worker remembers; beyond it those go that were not met again.
 KEPT_PIECES = 500_000
 # Pieces given to the library at once; its results are much larger than their ids.
 LIBRARY_PIECES = 4096
+# Pieces that share one result of the library, as the words of one text.
+TOGETHER = 512
 
 BLANK, SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(6)
 # Endings that are a piece of their own after an apostrophe (fixed values).
@@ -106,6 +108,9 @@ class PieceEncoder:
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.kinds = code_point_classes()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes per id
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.calls = 0  # texts and pieces given to the library
         self._forget()
 
@@ -113,18 +118,45 @@ class PieceEncoder:
         self.keys = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
+        self.again = np.zeros(0, bool)  # met in a later slice than the first
         self.ids = np.zeros(0, np.uint32)
 
+    def _make_room(self, wanted: int) -> None:
+        """Forget pieces that no later slice held, or all if the others leave no room."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > KEPT_PIECES // 2 or len(kept) + wanted > KEPT_PIECES:
+            return self._forget()
+        count = self.count[kept]
+        begin = np.cumsum(count) - count
+        self.ids = self.ids[np.arange(count.sum()) + np.repeat(self.begin[kept] - begin, count)]
+        self.keys, self.begin, self.count = self.keys[kept], begin, count
+        self.again = np.zeros(len(kept), bool)
+
     def _library(self, texts: list[str]) -> list[list[int]]:
         self.calls += len(texts)
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of pieces in one array, how many each has); the library takes each piece as a word of its own."""
+        groups = [pieces[a : a + TOGETHER] for a in range(0, len(pieces), TOGETHER)]
         parts, counts = [], []
-        for a in range(0, len(pieces), LIBRARY_PIECES):
-            got = self._library(pieces[a : a + LIBRARY_PIECES])
-            counts.append(np.fromiter(map(len, got), np.int64, len(got)))
-            parts.append(np.fromiter((i for ids in got for i in ids), np.uint32, int(counts[-1].sum())))
+        for group, got in zip(groups, self.tokenizer.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
+            ids = np.array(got.ids, np.uint32)
+            byte = np.cumsum(self.sizes[ids])
+            end = np.cumsum([len(p.encode()) for p in group])
+            if len(ids) and byte[-1] == end[-1]:
+                self.calls += len(group)
+                last = np.searchsorted(byte, end) + 1
+                parts.append(ids)
+                counts.append(np.diff(last, prepend=0))
+            else:  # a vocabulary that lacks bytes
+                each = self._library(group)
+                parts.append(np.array([i for e in each for i in e], np.uint32))
+                counts.append(np.array([len(e) for e in each]))
+        return np.concatenate(parts), np.concatenate(counts)
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        parts, counts = zip(*(self._pieces(pieces[a : a + LIBRARY_PIECES]) for a in range(0, len(pieces), LIBRARY_PIECES)))
         count = np.concatenate(counts)
         begin = len(self.ids) + np.cumsum(count) - count
         self.ids = np.concatenate([self.ids, *parts])
@@ -133,6 +165,14 @@ class PieceEncoder:
         self.keys = keys[order]
         self.begin = np.concatenate([self.begin, begin])[order]
         self.count = np.concatenate([self.count, count])[order]
+        self.again = np.concatenate([self.again, np.zeros(len(count), bool)])[order]
+
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where distinct keys are or would be, which are not there)."""
+        at = np.searchsorted(self.keys, keys)
+        new = at == len(self.keys)
+        new[~new] = self.keys[at[~new]] != keys[~new]
+        return at, new
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, where each text's ids begin and the total)."""
@@ -165,11 +205,11 @@ class PieceEncoder:
         values ^= values >> np.uint64(31)
         hashes = spans_hash(values, starts, ends, _BASE)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > KEPT_PIECES:
-            self._forget()
-        at = np.searchsorted(self.keys, keys)
-        new = at == len(self.keys)
-        new[~new] = self.keys[at[~new]] != keys[~new]
+        at, new = self._known(keys)
+        if new.any() and len(self.keys) + int(new.sum()) > KEPT_PIECES:
+            self._make_room(len(keys))
+            at, new = self._known(keys)
+        self.again[at[~new]] = True
         if new.any():
             pick = where[new]
             self._learn(keys[new], [joined[a:b] for a, b in zip(starts[pick].tolist(), ends[pick].tolist())])

@@ -8,8 +8,8 @@ the target's size.  The score of a document is the mean over its tokens of the
 target's loss minus the background's (nats; low is like the target).  A document
 is left out of the counts that it is scored with.
 
-Counts come from every document.  Each block of documents sends its distinct
-bigrams with their counts, packed, to buckets by a hash of the bigram; a bucket
+Counts come from every document, each encoded once: its ids are written, in blocks.
+Each block of documents sends its distinct bigrams with their counts, packed, to buckets by a hash of the bigram; a bucket
 adds them up and answers each block with the totals of the bigrams that it
 sent.  The vocabulary bounds the unigram counts, which are collected; bigrams
 grow with the corpus and stay distributed.
@@ -62,25 +62,58 @@ def unpack(raw: bytes, rising: bool = False) -> np.ndarray:
 # -- tokens of a block --------------------------------------------------------
 
 
+def _ids(path: str) -> B.Turn:
+    """Rows of text become their doc_id and the ids of the text."""
+
+    def turn(rows: pa.RecordBatch) -> pa.RecordBatch:
+        ids, bounds = bpe.encoder(path).encode(strings(rows.column("text")))
+        lists = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(ids, pa.uint32()).cast(pa.uint16()))
+        return pa.RecordBatch.from_arrays([rows.column("doc_id"), lists], names=["doc_id", "ids"])
+
+    return turn
+
+
 class Tokens:
     """Ids of a block's texts, each with the id before it."""
 
-    def __init__(self, path: str, texts: list[str]):
-        ids, self.bounds = bpe.encoder(path).encode(texts)
-        self.ids = ids.astype(np.int64)
+    def __init__(self, lists: pa.LargeListArray):
+        self.bounds = lists.offsets.to_numpy()
+        self.ids = lists.values.to_numpy().astype(np.int64)
         self.before = np.empty_like(self.ids)
         self.before[1:] = self.ids[:-1]
         count = np.diff(self.bounds)
         self.before[self.bounds[:-1][count > 0]] = START
-        self.text = np.repeat(np.arange(len(texts)), count)
+        self.text = np.repeat(np.arange(len(count)), count)
         self.key = self.before << 16 | self.ids
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values are in rising order, and where each distinct one begins in it, with the total.
+
+    Values and places share 64 bits: up to 2**32 places of values below 2**32.
+    """
+    shift = np.uint64(len(values).bit_length())
+    packed = values.astype(np.uint64) << shift | np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    packed >>= shift
+    head = np.ones(len(values) + 1, bool)
+    np.not_equal(packed[1:], packed[:-1], out=head[1:-1])
+    return order, np.flatnonzero(head) if len(values) else np.zeros(1, np.int64)
+
+
+def _index(order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The number of each place's distinct value."""
+    index = np.empty(len(order), np.int64)
+    index[order] = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return index
+
+
 def _bucketed(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of distinct keys by bucket, then key, and where each bucket begins."""
-    bucket = (mix(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    bucket = mix(keys.astype(np.uint64)) % np.uint64(buckets)
+    order = np.argsort(bucket << np.uint64(32) | keys.astype(np.uint64))
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
 
 
 _SENT = "bucket int, block bigint, keys binary, target binary, every binary"
@@ -99,13 +132,14 @@ def _in_target(row: dict, count: int) -> np.ndarray:
     return flags
 
 
-def _send(path: str, buckets: int):
+def _send(buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, rows in _opened(batches):
-            tokens = Tokens(path, strings(rows.column("text")))
+            tokens = Tokens(rows.column("ids"))
             chosen = _in_target(row, rows.num_rows)[tokens.text]
-            keys, index, every = np.unique(tokens.key, return_inverse=True, return_counts=True)
-            target = np.bincount(index[chosen], minlength=len(keys))
+            place, begin = runs(tokens.key)
+            keys, every = tokens.key[place[begin[:-1]]], np.diff(begin)
+            target = np.diff(np.concatenate([[0], np.cumsum(chosen[place])])[begin])
             order, first = _bucketed(keys, buckets)
             out = []
             for bucket, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
@@ -120,7 +154,9 @@ def _send(path: str, buckets: int):
 
 def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
     parts = [unpack(k, True) for k in table.column("keys").to_pylist()]
-    keys, index = np.unique(np.concatenate(parts), return_inverse=True)
+    sent = np.concatenate(parts)
+    order, first = runs(sent)
+    keys, index = sent[order[first[:-1]]], _index(order, first)
     totals = []
     for name in ("target", "every"):
         own = np.concatenate([unpack(v) for v in table.column(name).to_pylist()])
@@ -163,24 +199,28 @@ def losses(pair: np.ndarray, context: np.ndarray, one: np.ndarray, total: float)
     return -np.log((pair + PRIOR * unigram) / (context + PRIOR))
 
 
-def _own_counts(text: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """How often each token's key occurs in its own text."""
-    _, index, count = np.unique(text << 32 | key, return_inverse=True, return_counts=True)
-    return count[index].astype(np.float64)
+def _own_counts(text: np.ndarray, values: np.ndarray, most: int) -> np.ndarray:
+    """How often each token's value, below ``most``, occurs in its own text."""
+    order, first = runs(text * most + values)
+    times = np.diff(first)
+    out = np.empty(len(order))
+    out[order] = np.repeat(times, times)
+    return out
 
 
-def _score(path: str, buckets: int, ones: dict[str, np.ndarray]):
+def _score(buckets: int, ones: dict[str, np.ndarray]):
     sizes = {m: float(ones[m].sum()) for m in ("target", "every")}
     scale = sizes["target"] / sizes["every"] if sizes["target"] else 1.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, rows in _opened(batches):
-            tokens = Tokens(path, strings(rows.column("text")))
-            keys, index = np.unique(tokens.key, return_inverse=True)
+            tokens = Tokens(rows.column("ids"))
+            place, begin = runs(tokens.key)
+            keys, index = tokens.key[place[begin[:-1]]], _index(place, begin)
             order, first = _bucketed(keys, buckets)
             chosen = _in_target(row, rows.num_rows)[tokens.text]
-            own_pair, own_before = _own_counts(tokens.text, tokens.key), _own_counts(tokens.text, tokens.before)
-            own_one = _own_counts(tokens.text, tokens.ids)
+            own_pair = _own_counts(tokens.text, index, len(keys))
+            own_before, own_one = (_own_counts(tokens.text, v, VOCABULARY) for v in (tokens.before, tokens.ids))
             length = np.diff(tokens.bounds)[tokens.text]
             sums = []
             for model, share, size in (("target", 1.0, sizes["target"]), ("every", scale, sizes["every"])):
@@ -218,14 +258,14 @@ def score(docs: DataFrame, target: DataFrame, tokenizer: str | None = None, text
     """Losses per token of every document; ``target`` holds the doc_ids of the target documents."""
     path = tokenizer or bpe.tokenizer_path()
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    stored = B.to_blocks(slim, "text")
+    stored = B.to_blocks(slim, "text", _ids(path))
     buckets = B.bucket_count(stored)
     places = stored.mapInArrow(_places, "doc_id bigint, block bigint, row int")
     wanted = target.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     chosen = materialize(places.join(wanted, "doc_id").groupBy("block").agg(F.collect_list("row").alias("chosen")), "chosen")
     told = stored.join(broadcast_if_small(chosen), "block", "left")
 
-    sent = told.select("block", "data", "chosen").mapInArrow(_send(path, buckets), _SENT)
+    sent = told.select("block", "data", "chosen").mapInArrow(_send(buckets), _SENT)
     grouped = materialize(sent, "bigrams").groupBy("bucket")
     counted = grouped.applyInArrow(_ones, _ONES).groupBy("id").agg(*(F.sum(c).alias(c) for c in ("target", "every", "target_before", "every_before")))
     ones = {c: np.zeros(VOCABULARY) for c in ("target", "every", "target_before", "every_before")}
@@ -233,4 +273,4 @@ def score(docs: DataFrame, target: DataFrame, tokenizer: str | None = None, text
         for c in ones:
             ones[c][r["id"]] = r[c]
     totals = grouped.applyInArrow(_totals, _TOTAL).groupBy("block").agg(F.collect_list(F.struct("bucket", "target", "every")).alias("totals"))
-    return told.select("block", "data", "chosen").join(totals, "block", "left").mapInArrow(_score(path, buckets, ones), RESULT)
+    return told.select("block", "data", "chosen").join(totals, "block", "left").mapInArrow(_score(buckets, ones), RESULT)

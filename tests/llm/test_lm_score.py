@@ -82,3 +82,41 @@ def test_packed_integers():
     for values in (np.zeros(0, np.int64), np.array([7]), rng.integers(0, 1 << 32, 500)):
         assert (L.unpack(L.pack(values)) == values).all()
         assert (L.unpack(L.pack(np.sort(values), True), True) == np.sort(values)).all()
+
+
+def test_texts_are_encoded_once(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["the river flows", None, "", "BUY now now now", "the river flows", "é!! <|endoftext|> the"]
+    rows = list(enumerate(texts))
+    turn = L._ids(bpe.tokenizer_path())
+    data = L.B.zstandard.ZstdCompressor().compress(
+        L.B.stream_bytes(turn(pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows], "text": texts})))
+    )
+    want = brute(rows, {0, 4})
+
+    def refuse(path):
+        raise AssertionError("a text is encoded again")
+
+    monkeypatch.setattr(bpe, "encoder", refuse)
+    block = {"block": [7], "data": [data], "chosen": [[0, 4]]}
+    (sent,) = L._send(2)(iter([pa.RecordBatch.from_pydict(block)]))
+    tables = [t for t in (pa.Table.from_batches([sent]).filter(pa.compute.equal(sent["bucket"], k)) for k in range(2)) if len(t)]
+    ones = {f.split(" ")[0]: np.zeros(L.VOCABULARY) for f in L._ONES.split(", ")[1:]}
+    totals = []
+    for table in tables:
+        totals += L._totals(table).select(["bucket", "target", "every"]).to_pylist()
+        counted = L._ones(table)
+        for name, values in ones.items():
+            values[counted["id"].to_numpy()] += counted[name].to_numpy()
+    (got,) = L._score(2, ones)(iter([pa.RecordBatch.from_pydict(block | {"totals": [totals]})]))
+    compare([tuple(r.values()) for r in got.to_pylist()], want)
+
+
+def test_runs_of_values():
+    rng = np.random.default_rng(5)
+    for values in (np.zeros(0, np.int64), np.array([9]), rng.integers(0, 4, 300), rng.integers(0, 1 << 32, 257), np.full(64, (1 << 32) - 1)):
+        order, first = L.runs(values)
+        assert order.tolist() == np.argsort(values, kind="stable").tolist()
+        want, count = np.unique(values, return_counts=True)
+        assert first[-1] == len(values) and (values[order[first[:-1]]] == want).all() and (np.diff(first) == count).all()

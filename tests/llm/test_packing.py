@@ -105,3 +105,18 @@ def test_pieces_of_one_id_or_none_are_spread_over_groups(spark, monkeypatch):
 def test_pack_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0
+
+
+def test_pieces_met_again_are_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 100)
+    coder = bpe.PieceEncoder(TOKENIZER)
+    library = bpe.load_tokenizer(TOKENIZER)
+    often = " often" + "".join(f" w{chr(97 + k)}é" for k in range(10))
+    for k in range(60):
+        text = often + "".join(f" x{chr(97 + k % 26)}{chr(97 + j)}{'yz' * (k // 26)}" for j in range(15))
+        ids, _ = coder.encode([text])
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.keys) <= 100
+        if not k:
+            first = coder.calls
+    assert coder.calls == first + 59 * 15  # only what is new
