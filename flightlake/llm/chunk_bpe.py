@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from flightlake.llm import blocks as B
 from flightlake.llm import bpe
 from flightlake.llm.arrow import strings
-from flightlake.llm.words import spans_hash
+from flightlake.llm.words import ranges, rolling_hash, spans_hash
 from flightlake.operators.sizing import broadcast_if_small
 from flightlake.session import materialize
 
@@ -62,9 +62,9 @@ class Chunks:
         values = self.codes.astype(np.uint64) + np.uint64(0x2545)
         values *= np.uint64(0xBF58476D1CE4E5B9)
         values ^= values >> np.uint64(29)
-        places = np.arange(ROLL, len(values))
-        rolled = spans_hash(values, places - ROLL, places, _BASES[0])
-        self.begins, self.first = self._cut(places[(rolled >> np.uint64(20)) % np.uint64(MEAN - LEAST) == 0].tolist())
+        rolled = rolling_hash(values, ROLL, _BASES[0])
+        places = np.flatnonzero(rolled < np.uint64((1 << 64) // (MEAN - LEAST))) + ROLL
+        self.begins, self.first = self._cut(places.tolist())
         self.ends = np.append(self.begins[1:], len(values)) if len(self.begins) else np.zeros(0, np.int64)
         self.keys = np.empty(len(self.begins), B.WIDE)
         self.keys["a"] = spans_hash(values, self.begins, self.ends, _BASES[0])
@@ -101,6 +101,8 @@ class Assembler:
         for token, number in vocabulary.items():
             self.tokens[number] = token.encode() if token in special else bytes(letters[c] for c in token)
         self.sizes = np.array([len(t) for t in self.tokens])
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.begin = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, chunks: Chunks, rows: list[int], known: dict[bytes, np.ndarray]) -> list[np.ndarray]:
         """The ids of the chosen texts."""
@@ -174,6 +176,22 @@ class Assembler:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
+    def decode_texts(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts of ids that lie one text after the other."""
+        size = self.sizes[ids]
+        data = self.bytes[ranges(self.begin[ids], size)]
+        offsets = np.concatenate([[0], np.cumsum(size)])[bounds]
+        heads = data[offsets[offsets < len(data)]]
+        try:
+            data.tobytes().decode()
+        except UnicodeDecodeError:
+            valid = False
+        else:
+            valid = not (heads & 0xC0 == 0x80).any()  # no code point across two texts
+        if not valid or len(data) >> 31:
+            return pa.array([self.decode(ids[a:b]) for a, b in zip(bounds, bounds[1:])], pa.string())
+        return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+
 
 def _byte_letters() -> dict[str, int]:
     """The printable stand-in of every byte in a byte-level vocabulary."""
@@ -332,12 +350,10 @@ def _unpack(row: dict) -> dict[bytes, np.ndarray]:
     return {k.tobytes(): ids[b - n : b] for k, n, b in zip(keys, sizes.tolist(), after.tolist())}
 
 
-def _result(batch: pa.RecordBatch, columns: list[str], ids: list[np.ndarray], tool: Assembler) -> pa.RecordBatch:
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-    bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+def _result(batch: pa.RecordBatch, columns: list[str], ids: np.ndarray, bounds: np.ndarray, tool: Assembler) -> pa.RecordBatch:
     made = {
-        "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat.astype(np.int32))),
-        "decoded": pa.array([tool.decode(i) for i in ids], pa.string()),
+        "ids": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))),
+        "decoded": tool.decode_texts(ids, bounds),
     }
     return pa.RecordBatch.from_arrays([made.get(c) if c in made else batch.column(c) for c in columns], names=columns)
 
@@ -357,7 +373,7 @@ def _alone(path: str, text: str, columns: list[str]):
                     continue
                 chosen = rows.take(pa.array(np.flatnonzero(held == 0)))
                 ids, bounds = tool.encoder.encode(strings(chosen.column(text)))
-                yield _result(chosen, columns, [ids[a:b] for a, b in zip(bounds, bounds[1:])], tool)
+                yield _result(chosen, columns, ids, bounds, tool)
 
     return encode
 
@@ -374,7 +390,9 @@ def _together(path: str, text: str, columns: list[str]):
                 for part in row["answer"]:
                     known.update(_unpack(part))
                 chunks = Chunks(strings(rows.column(text)))
-                yield _result(rows, columns, tool.encode(chunks, list(range(rows.num_rows)), known), tool)
+                parts = tool.encode(chunks, list(range(rows.num_rows)), known)
+                bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+                yield _result(rows, columns, np.concatenate(parts), bounds, tool)
 
     return encode
 

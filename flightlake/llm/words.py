@@ -74,6 +74,20 @@ def spans_hash(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: i
     return mix(h + (ends - begins).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
+def rolling_hash(values: np.ndarray, width: int, base: int) -> np.ndarray:
+    """Hash of ``values[i:i + width]`` for each i; only its upper bits depend on all of the values' bits."""
+    if len(values) < width:
+        return np.zeros(0, np.uint64)
+    h, size = values, 1
+    for bit in bin(width)[3:]:
+        h = h[:-size] + h[size:] * np.uint64(pow(base, size, 1 << 64))
+        size *= 2
+        if bit == "1":
+            h = values[: len(values) - size] + h[1:] * np.uint64(base)
+            size += 1
+    return h
+
+
 @dataclass
 class Words:
     """Words of several texts that lie one after the other."""

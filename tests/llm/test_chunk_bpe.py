@@ -88,3 +88,27 @@ def test_shared_chunks_are_encoded_once(spark):
     states = {r["block"]: np.frombuffer(r["bits"], np.uint8) for r in C._owners(pa.concat_tables(tables)).to_pylist()}
     assert (states[0] == 1).sum() == (states[1] == 2).sum() > 3
     assert (states[2] == 1).sum() == 0 or len(C.Chunks(["other " * 50]).keys) > 1
+
+
+def test_many_texts_are_decoded_at_once():
+    rng = np.random.default_rng(9)
+    tool = C.assembler(PATH)
+    library = bpe.load_tokenizer(PATH)
+    whole = library.encode("é 日本 🙂 plain words", add_special_tokens=False).ids
+    cases = [(whole, [0, 0, len(whole), len(whole)]), (whole, range(len(whole) + 1)), ([], [0]), ([], [0, 0, 0])]
+    cases += [(rng.integers(0, 50257, 40), [0, 13, 13, 40]) for _ in range(50)]
+    for ids, bounds in cases:
+        ids, bounds = np.array(ids, np.uint32), np.array(bounds)
+        got = tool.decode_texts(ids, bounds)
+        got.validate(full=True)
+        want = [library.decode(ids[a:b].tolist(), skip_special_tokens=False) for a, b in zip(bounds, bounds[1:])]
+        assert got.to_pylist() == want == [tool.decode(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+@pytest.mark.parametrize("width", [1, 2, 6, 7, 16])
+def test_rolling_hash_is_that_of_each_window(width):
+    values = np.random.default_rng(width).integers(0, 1 << 63, 40, dtype=np.uint64)
+    base = 0x9E3779B97F4A7C15
+    got = C.rolling_hash(values, width, base).tolist()
+    want = [sum(int(v) * base**j for j, v in enumerate(values[i : i + width])) % (1 << 64) for i in range(41 - width)]
+    assert got == want and len(C.rolling_hash(values[: width - 1], width, base)) == 0
