@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -14,24 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.operators.encode import apply_codes, assembler, fit_codes, small_columns
+from flightlake.operators.forest import RandomForestClassifier, deal, thresholds
 from flightlake.schemas import CATEGORICAL, LABEL, NUMERIC
-from flightlake.session import drop_unused_shuffles
+from flightlake.session import drop_unused_shuffles, materialize
 
 # Size and seed of the forest.
 TREES = 100
 DEPTH = 12
 SEED = 42
 
+# Bins per feature, as Spark's default.
+BINS = 32
+
 # Rows in a piece of the training set.  Bagging draws per piece, so pieces must
 # depend on the rows alone, not on the cores.  A piece shuffles counts of every
-# node and bin that its rows reach; large pieces share more of them.
+# node and bin that its rows reach.
 PIECE_ROWS = 500_000
 
 # Trees grown at a time: at least the first, more while rows times trees stay below
-# the second.  While they grow, every row is held with a number per tree, and the
-# counts of all their nodes stay on disk.
+# the second.  While a level grows, the counts of all its nodes are on disk.
 GROUP_TREES = 5
-GROUP_CELLS = 5_000_000
+GROUP_CELLS = 800_000_000
 _SEED_STEP = 1_000_003
 
 VECTOR = "Features_vec"
@@ -92,54 +96,44 @@ class DelayModel:
         return cls(codes, PipelineModel.load(f"{path}/forest"))
 
 
-def forest(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        featuresCol=VECTOR,
-        labelCol=LABEL,
-        numTrees=trees,
-        maxDepth=depth,
-        seed=seed,
-        # Deep trees: remember each row's node instead of replaying the trees,
-        # and let one pass over the data grow many nodes.
-        cacheNodeIds=True,
-        maxMemoryInMB=1024,
-    )
+def forest(edges: list[np.ndarray], classes: int, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassifier:
+    return RandomForestClassifier(edges, classes, featuresCol=VECTOR, labelCol=LABEL, numTrees=trees, maxDepth=depth, maxBins=BINS, seed=seed)
 
 
 def train(df: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> DelayModel:
     """Fit codes and forest on a training set; all passes run on the executors.
 
     ``df`` is read several times: give it a table.  Trees do not depend on each
-    other, so they are grown in groups, which bounds what a row and a group's
-    shuffles take; the groups vote as one forest.
+    other, so they are grown in groups, which bounds what a group's shuffles take;
+    the groups vote as one forest.
     """
+    spark = df.sparkSession
     codes = fit_codes(df)
-    n = df.count()
-    pieces = max(8, -(-n // PIECE_ROWS))
-    size = max(GROUP_TREES, GROUP_CELLS // max(1, n))
-    columns = [*NUMERIC, *[f"{c}_code" for c in CATEGORICAL], LABEL]
-    coded = apply_codes(df, codes).select(*columns)
-    dealt = coded.repartition(pieces, F.xxhash64(*columns)).sortWithinPartitions(*columns)
-    # Every group passes over the rows.
-    dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
-    vectors = assembler().transform(dealt).select(VECTOR, LABEL)
+    n, top = df.agg(F.count(F.lit(1)), F.max(LABEL)).first()
+    if not n:
+        raise ValueError("no training rows")
+    number = max(8, -(-n // PIECE_ROWS))
+    size = max(GROUP_TREES, GROUP_CELLS // n)
+    columns = [*NUMERIC, *[f"{c}_code" for c in CATEGORICAL]]
+    coded = apply_codes(df, codes).select(*columns, LABEL)
+    edges = thresholds(coded, columns, BINS)
+    dealt = materialize(deal(coded, columns, LABEL, edges, number), "pieces")
+    # Every level of every group passes over the rows, a piece in a task.
+    pieces = dealt.repartitionByRange(number, "piece").persist(StorageLevel.MEMORY_AND_DISK)
     firsts = range(0, trees, size)
     fitted: list[RandomForestClassificationModel] = []
     try:
         for i, first in enumerate(firsts):
-            # Bagging counts its pieces on from the seed.
-            group = forest(min(size, trees - first), depth, seed + i * _SEED_STEP)
+            # Bagging counts its trees on from the seed.
+            group = forest(edges, max(2, int(top) + 1), min(size, trees - first), depth, seed + i * _SEED_STEP)
             if len(firsts) > 1:
                 # As for the whole forest; by itself a group of one tree would take all features.
                 group.setFeatureSubsetStrategy("sqrt")
-                # Two more numbers per row and tree, where there are many rows.
-                group.setCacheNodeIds(False)
                 group.setRawPredictionCol(f"votes_{i}").setProbabilityCol("").setPredictionCol("")
-            # A copy holds no training summary, which would keep the dealt rows and their shuffle.
-            fitted.append(group.fit(vectors).copy())
-            drop_unused_shuffles(df.sparkSession)
+            fitted.append(group.fit(pieces).copy())
+            drop_unused_shuffles(spark)
     finally:
-        dealt.unpersist()
+        pieces.unpersist()
     votes = [Votes(inputCols=[f.getRawPredictionCol() for f in fitted])] if len(fitted) > 1 else []
     return DelayModel(codes, PipelineModel([assembler(), *fitted, *votes]))
 
